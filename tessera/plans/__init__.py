@@ -7,5 +7,5 @@ from .common import ORACLE, QUERIES
 
 def load_all():
     """Import every query module so its registrations run."""
-    from . import text_queries  # noqa: F401
+    from . import store_queries, text_queries  # noqa: F401
     return QUERIES, ORACLE
