@@ -24,3 +24,25 @@ def fan_out_cap(df: DataFrame, run_col: str, order_col: str, cap: int = 10, pos_
     than any other."""
     w = Window.partitionBy(run_col).orderBy(order_col)
     return df.withColumn(pos_col, F.row_number().over(w).cast("long")).where(F.col(pos_col) <= cap)
+
+
+def global_index(df: DataFrame, order_cols: list, start: int = 1, out_col: str = "row_idx") -> DataFrame:
+    """Consecutive index over the whole table in the given order, without funnelling the rows
+    through one task (which a window with no partition key would do).
+
+    The table is range-sorted (a distributed sort), cut from its lineage by a checkpoint in the
+    shared checkpoint folder so both passes see identical partitions, rows are counted per
+    partition (one small row per partition), and each row's index is its partition's offset
+    plus its position inside the partition.  The offset table is bounded by the number of
+    partitions, so it is broadcast."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    s = df.orderBy(*order_cols).checkpoint(eager=True)
+    s = s.withColumn("_pid", F.spark_partition_id()) \
+         .withColumn("_ord", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    counts = s.groupBy("_pid").agg(F.count("*").alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    out = s.join(F.broadcast(offsets), "_pid")
+    return out.withColumn(out_col, (F.col("_off") + F.col("_ord") + start).cast("long")).drop("_pid", "_ord", "_off")
