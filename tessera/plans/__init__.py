@@ -7,5 +7,5 @@ from .common import ORACLE, QUERIES
 
 def load_all():
     """Import every query module so its registrations run."""
-    from . import lookup_queries, message_queries, records_queries, research_queries, store_queries, text_queries  # noqa: F401
+    from . import cleanup_queries, lookup_queries, message_queries, records_queries, research_queries, store_queries, text_queries  # noqa: F401
     return QUERIES, ORACLE
