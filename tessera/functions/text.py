@@ -65,15 +65,21 @@ def chunk_array(sents: Column, batch_size: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(sents, i * batch_size + 1, batch_size), " "))
 
 
+NON_WORD = r"[^\p{L}\p{N}_]+"
+
+
 def word_tokens(text: Column) -> Column:
-    """Lower-cased word tokens (letters, digits, underscore; Unicode-aware)."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD_TOKEN), 0)
+    """Lower-cased word tokens (letters, digits, underscore; Unicode-aware).
+
+    Same tokens as extracting ``WORD_TOKEN`` matches, computed as a split on the complement
+    class with empty edge pieces removed (a built-in, no lambda), which is faster."""
+    return F.array_remove(F.split(F.lower(text), NON_WORD, -1), "")
 
 
 def key_terms(text: Column, n: int = KEY_TERM_COUNT) -> Column:
-    """First ``n`` distinct ASCII key terms in order of first occurrence, stopwords dropped."""
-    toks = F.regexp_extract_all(text, F.lit(WORD_TOKEN), 0)
-    toks = F.filter(F.transform(toks, F.lower), lambda t: t.rlike(KEY_TERM))
+    """First ``n`` distinct ASCII key terms in order of first occurrence, stopwords dropped
+    (the text is lower-cased before tokenising, as the reference does)."""
+    toks = F.filter(word_tokens(text), lambda t: t.rlike(KEY_TERM))
     stop = F.array(*[F.lit(s) for s in KEY_TERM_STOPWORDS])
     return F.slice(F.array_except(toks, stop), 1, n)
 

@@ -19,34 +19,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .arrays import posexplode_rows
 from .text import word_tokens
 
 DEFAULT_DIM = 64
 
 
+_TOKEN_CACHE: dict[tuple[str, int], tuple[int, int]] = {}
+_CACHE_LIMIT = 2_000_000
+
+
+def _token_hashes(uniq: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, sign) of each distinct token; kept in a bounded per-worker cache."""
+    if len(_TOKEN_CACHE) > _CACHE_LIMIT:
+        _TOKEN_CACHE.clear()
+    b = np.empty(len(uniq), dtype=np.int64)
+    s = np.empty(len(uniq), dtype=np.float64)
+    for j, t in enumerate(uniq):
+        hs = _TOKEN_CACHE.get((t, dim))
+        if hs is None:
+            h = hashlib.md5(t.encode("utf-8")).hexdigest()
+            hs = (int(h[:7], 16) % dim, -1 if int(h[7], 16) & 1 else 1)
+            _TOKEN_CACHE[(t, dim)] = hs
+        b[j], s[j] = hs
+    return b, s
+
+
 def _hashed_vector_udf(dim: int):
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def embed(tokens: pd.Series) -> pd.Series:
-        cache: dict[str, tuple[int, int]] = {}
-        out = []
-        for toks in tokens:
-            v = np.zeros(dim, dtype=np.float64)
-            if toks is not None and len(toks):
-                idx = np.empty(len(toks), dtype=np.int64)
-                sgn = np.empty(len(toks), dtype=np.float64)
-                for j, t in enumerate(toks):
-                    hs = cache.get(t)
-                    if hs is None:
-                        h = hashlib.md5(t.encode("utf-8")).hexdigest()
-                        hs = (int(h[:7], 16) % dim, -1 if int(h[7], 16) & 1 else 1)
-                        cache[t] = hs
-                    idx[j], sgn[j] = hs
-                np.add.at(v, idx, sgn)
-                nrm = np.sqrt(np.dot(v, v))
-                if nrm > 0:
-                    v /= nrm
-            out.append(v)
-        return pd.Series(out)
+        # One pass per Arrow batch: flatten the token lists, hash each distinct token once,
+        # and sum signed counts into a (rows x dim) matrix with a single bincount.
+        n = len(tokens)
+        lens = np.fromiter((0 if a is None else len(a) for a in tokens), dtype=np.int64, count=n)
+        m = np.zeros((n, dim), dtype=np.float64)
+        if lens.sum():
+            flat = np.concatenate([a for a in tokens if a is not None and len(a)])
+            codes, uniq = pd.factorize(flat)
+            bucket, sign = _token_hashes(uniq, dim)
+            rows = np.repeat(np.arange(n, dtype=np.int64), lens)
+            m = np.bincount(rows * dim + bucket[codes], weights=sign[codes], minlength=n * dim).reshape(n, dim)
+            nrm = np.sqrt((m * m).sum(1))
+            m = np.divide(m, nrm[:, None], out=np.zeros_like(m), where=nrm[:, None] > 0)
+        return pd.Series(list(m))
 
     return embed
 
@@ -75,7 +90,7 @@ def check_dim(df: DataFrame, col: str, dim: int) -> DataFrame:
 
 def sparse_components(df: DataFrame, id_col: str, vec_col: str = "embedding") -> DataFrame:
     """(id, dim_idx, value) for the non-zero components, value rounded to 6 places."""
-    return (df.select(id_col, F.posexplode(vec_col).alias("dim_idx", "value"))
+    return (posexplode_rows(df, [id_col], vec_col, "dim_idx", "value")
               .where(F.col("value") != 0)
               .select(id_col, F.col("dim_idx").cast("long"), F.round("value", 6).alias("value")))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import posexplode_rows
+
 
 def zip_shortest(df: DataFrame, left: str, right: str, left_name: str, right_name: str,
                  keep: list[str], pos_col: str = "pos") -> DataFrame:
@@ -12,7 +14,7 @@ def zip_shortest(df: DataFrame, left: str, right: str, left_name: str, right_nam
     with nulls, so the zipped array is cut to the smaller size first)."""
     n = F.least(F.size(left), F.size(right))
     z = F.slice(F.arrays_zip(F.col(left).alias(left_name), F.col(right).alias(right_name)), 1, n)
-    return (df.select(*keep, F.posexplode(z).alias(pos_col, "pair"))
+    return (posexplode_rows(df, keep, z, pos_col, "pair")
               .select(*keep, F.col(pos_col).cast("long"), f"pair.{left_name}", f"pair.{right_name}"))
 
 

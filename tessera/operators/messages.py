@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..functions.arrays import posexplode_rows
 
 PART_FIELDS = "part_kind:string, content:{c}, tool_name:string, args:{a}, timestamp:string"
 MESSAGE_SCHEMA = f"array<struct<kind:string, timestamp:string, parts:array<struct<{PART_FIELDS.format(c='string', a='string')}>>>>"
@@ -26,7 +27,7 @@ def message_log(batches: DataFrame, variant: bool = False) -> DataFrame:
     Order is (batch_id, pos): batch ids are assigned on append, so the log reads back in
     insertion order.  ``variant=True`` keeps ``content``/``args`` as VARIANT for type tests."""
     schema = MESSAGE_SCHEMA_VARIANT if variant else MESSAGE_SCHEMA
-    m = batches.select("batch_id", F.posexplode(F.from_json("message_list", schema)).alias("pos", "m"))
+    m = posexplode_rows(batches, ["batch_id"], F.from_json("message_list", schema), "pos", "m")
     return m.select("batch_id", F.col("pos").cast("long"), "m.kind", "m.timestamp", "m.parts")
 
 
@@ -62,8 +63,8 @@ def write_ndjson(lines: DataFrame, folder: str) -> None:
 
 
 def parts_of(messages: DataFrame) -> DataFrame:
-    return messages.select("batch_id", "pos", F.posexplode("parts").alias("part_pos", "p")) \
-                   .withColumn("part_pos", F.col("part_pos").cast("long"))
+    return posexplode_rows(messages, ["batch_id", "pos"], "parts", "part_pos", "p") \
+        .withColumn("part_pos", F.col("part_pos").cast("long"))
 
 
 def _is_json_string(v: Column) -> Column:
@@ -76,8 +77,8 @@ def fetched_pages(messages_v: DataFrame, tool: str = "web_fetch") -> DataFrame:
     and non-object items give nothing."""
     p = parts_of(messages_v).where((F.col("p.part_kind") == "tool-return") & (F.col("p.tool_name") == tool))
     p = p.where(F.schema_of_variant("p.content").startswith("ARRAY"))
-    items = p.select("batch_id", "pos", "part_pos",
-                     F.posexplode(F.variant_get("p.content", "$", "array<variant>")).alias("item_pos", "it"))
+    items = posexplode_rows(p, ["batch_id", "pos", "part_pos"], F.variant_get("p.content", "$", "array<variant>"),
+                            "item_pos", "it")
     url = F.try_variant_get("it", "$.url", "variant")
     body = F.try_variant_get("it", "$.content", "variant")
     ok = items.where(_is_json_string(url) & _is_json_string(body))
@@ -95,10 +96,9 @@ def message_lines(batches: DataFrame, include_tools: bool = True) -> DataFrame:
     VARIANT view tells the JSON types) and the two are zipped positionally: no join."""
     ms = F.from_json("message_list", MESSAGE_SCHEMA)
     mv = F.from_json("message_list", MESSAGE_SCHEMA_VARIANT)
-    m = batches.select("batch_id", F.posexplode(F.arrays_zip(ms.alias("s"), mv.alias("v"))).alias("pos", "m"))
-    p = m.select("batch_id", F.col("pos").cast("long"),
-                 F.posexplode(F.arrays_zip(F.col("m.s.parts").alias("s"), F.col("m.v.parts").alias("v")))
-                  .alias("part_pos", "p"))
+    m = posexplode_rows(batches, ["batch_id"], F.arrays_zip(ms.alias("s"), mv.alias("v")), "pos", "m")
+    p = posexplode_rows(m, ["batch_id", F.col("pos").cast("long").alias("pos")],
+                        F.arrays_zip(F.col("m.s.parts").alias("s"), F.col("m.v.parts").alias("v")), "part_pos", "p")
     kind, name = F.col("p.s.part_kind"), F.coalesce(F.col("p.s.tool_name"), F.lit(""))
     va, vc = F.col("p.v.args"), F.col("p.v.content")
     args_txt = (F.when(va.isNull() | (F.schema_of_variant(va) == "VOID"), F.lit("{}"))
@@ -131,7 +131,7 @@ def pieces(df: DataFrame, text_col: str, size: int, keep: list[str]) -> DataFram
     """Cut a text into consecutive ``size``-character pieces: (keep..., seq, delta)."""
     n = F.length(text_col)
     idx = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / size).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-    return (df.select(*keep, text_col, F.posexplode(idx).alias("seq", "i"))
+    return (posexplode_rows(df, [*keep, text_col], idx, "seq", "i")
               .select(*keep, F.col("seq").cast("long"), F.substring(F.col(text_col), F.col("i") * size + 1, F.lit(size))
                       .alias("delta")))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..functions.arrays import explode_rows
 
 # fixed values: field names of the three search providers' payloads
 PROVIDER_FIELDS = {
@@ -70,11 +71,11 @@ def search_pages(queries: DataFrame, pages: DataFrame, max_results: int = 5,
     aggregated before the shuffle.  Score: distinct matched terms desc, total matched
     occurrences desc, page_id asc; top ``max_results`` per query."""
     qtext = queries.select("text").distinct().withColumn("qkey", F.md5("text"))
-    terms = qtext.select("qkey", F.explode(F.array_distinct(_terms(F.col("text")))).alias("token")).distinct()
+    terms = explode_rows(qtext, ["qkey"], F.array_distinct(_terms(F.col("text"))), "token").distinct()
     stats = terms.agg(F.count("*").alias("n"), F.sum(F.length("token") + 40).alias("b")).first()
     if (stats["b"] or 0) <= max_query_bytes:
         terms = F.broadcast(terms)
-    ptok = pages.select("page_id", "url", F.explode(_terms(tx.html_to_text(F.col("html")))).alias("token"))
+    ptok = explode_rows(pages, ["page_id", "url"], _terms(tx.html_to_text(F.col("html"))), "token")
     hits = (ptok.join(terms, "token")
                 .groupBy("qkey", "page_id", "url")
                 .agg(F.countDistinct("token").alias("distinct_hits"), F.count("*").alias("total_hits")))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.arrays import explode_rows, posexplode_rows
 
 # fixed values: base of documentation URIs (a parameter of doc_sections)
 DOC_BASE_URL = "https://docs.example.com/docs/"
@@ -34,8 +35,8 @@ def chunk_text(df: DataFrame, sentences_col: str = "sentences", batch_size: int
 
 def explode_indexed(df: DataFrame, array_col: str, idx_col: str, value_col: str, keep: list[str]) -> DataFrame:
     """One row per array element with its 0-based position (``posexplode``)."""
-    return df.select(*keep, F.posexplode(array_col).alias(idx_col, value_col)) \
-             .withColumn(idx_col, F.col(idx_col).cast("long"))
+    return posexplode_rows(df, keep, array_col, idx_col, value_col) \
+        .withColumn(idx_col, F.col(idx_col).cast("long"))
 
 
 def book_sections(chunks: DataFrame, path_col: str = "path", idx_col: str = "chunk_idx",
@@ -124,7 +125,7 @@ def detect_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return detector(df, id_col, text_col)
     spark = df.sparkSession
     words = F.broadcast(function_word_table(spark))
-    toks = df.select(id_col, F.explode(tx.word_tokens(F.col(text_col))).alias("word"))
+    toks = explode_rows(df, [id_col], tx.word_tokens(F.col(text_col)), "word")
     votes = toks.join(words, "word").groupBy(id_col, "lang").agg(F.count("*").alias("hits"))
     w = Window.partitionBy(id_col).orderBy(F.col("hits").desc(), F.col("lang"))
     best = votes.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")

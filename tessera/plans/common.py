@@ -23,8 +23,19 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+# Tables whose rows carry long texts: per-row work (regex passes, tokenising, hashing) is heavy,
+# so a scan with fewer tasks than cores is spread out first.  On a cluster the scan of a large
+# table already has far more splits than cores and this never triggers.
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores * 2)
+    return df
 
 
 # --- DuckDB fragments ---------------------------------------------------------
@@ -58,8 +69,7 @@ def sql_word_tokens(e: str) -> str:
 
 
 def sql_key_terms(e: str, n: int = tx.KEY_TERM_COUNT) -> str:
-    toks = f"list_filter(list_transform(regexp_extract_all({e}, {q(tx.WORD_TOKEN)}), lambda t: lower(t)), " \
-           f"lambda t: regexp_full_match(t, '[a-z]{{3,}}'))"
+    toks = f"list_filter({sql_word_tokens(e)}, lambda t: regexp_full_match(t, '[a-z]{{3,}}'))"
     stop = "[" + ", ".join(q(s) for s in tx.KEY_TERM_STOPWORDS) + "]"
     # distinct in first-occurrence order, stopwords removed
     dist = (f"list_filter({toks}, lambda t, i: NOT list_contains({stop}, t) "

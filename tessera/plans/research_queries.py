@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.arrays import posexplode_rows
 from ..operators import research as rs
 from .common import (q, register, sql_html_text, sql_html_title, sql_key_terms, sql_sentences, sql_urls,
                      sql_word_tokens, table)
@@ -198,7 +199,7 @@ SELECT report_id, unnest(range(len(u))) AS pos, unnest(u) AS url FROM (
 
 def report_urls(spark, sf):
     r = rs.extract_urls(reports(spark, sf), "report", "urls")
-    return r.select("report_id", F.posexplode("urls").alias("pos", "url")).withColumn("pos", F.col("pos").cast("long"))
+    return posexplode_rows(r, ["report_id"], "urls", "pos", "url").withColumn("pos", F.col("pos").cast("long"))
 
 
 @register("extract_urls", SQL_REPORT_URLS)
