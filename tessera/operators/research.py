@@ -77,8 +77,9 @@ def search_pages(queries: DataFrame, pages: DataFrame, max_results: int = 5,
         terms = F.broadcast(terms)
     ptok = explode_rows(pages, ["page_id", "url"], _terms(tx.html_to_text(F.col("html"))), "token")
     hits = (ptok.join(terms, "token")
-                .groupBy("qkey", "page_id", "url")
-                .agg(F.countDistinct("token").alias("distinct_hits"), F.count("*").alias("total_hits")))
+                .groupBy("qkey", "page_id")
+                .agg(F.countDistinct("token").alias("distinct_hits"), F.count("*").alias("total_hits"),
+                     F.max("url").alias("url")))
     w = Window.partitionBy("qkey").orderBy(F.col("distinct_hits").desc(), F.col("total_hits").desc(), "page_id")
     top = hits.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= max_results)
     keys = queries.select("query_id", F.md5("text").alias("qkey"))

@@ -118,22 +118,29 @@ def detect_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (ties by language code); texts with a Han-character share above ``HAN_SHARE`` are ``zh``;
     no hit at all gives ``unknown``.
 
-    Tokens are exploded and matched with a broadcast join against the fixed word table
-    (a few dozen rows); the count per (text, language) is partially aggregated map-side,
-    so at most #languages rows per text cross the shuffle."""
+    One pass over the texts: tokens are exploded and looked up in the broadcast word table (a
+    fixed few dozen rows), and the per-language counts are conditional sums grouped by text id.
+    All tokens of a text sit in the same task, so the map-side partial aggregate already
+    reduces them to one row per text before the only shuffle."""
     if detector is not None:
         return detector(df, id_col, text_col)
     spark = df.sparkSession
     words = F.broadcast(function_word_table(spark))
-    toks = explode_rows(df, [id_col], tx.word_tokens(F.col(text_col)), "word")
-    votes = toks.join(words, "word").groupBy(id_col, "lang").agg(F.count("*").alias("hits"))
-    w = Window.partitionBy(id_col).orderBy(F.col("hits").desc(), F.col("lang"))
-    best = votes.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
     n_chars = F.length(F.regexp_replace(F.col(text_col), r"\s", ""))
     han = F.length(F.regexp_replace(F.col(text_col), r"[^\p{IsHan}]", ""))
-    base = df.select(id_col, F.when(n_chars > 0, han / n_chars).otherwise(F.lit(0.0)).alias("han_share"))
-    return (base.join(best, id_col, "left")
-                .select(id_col,
-                        F.when(F.col("han_share") > HAN_SHARE, F.lit("zh"))
-                         .otherwise(F.coalesce(F.col("lang"), F.lit("unknown"))).alias("detected_lang"),
-                        F.coalesce(F.col("hits"), F.lit(0)).cast("long").alias("hits")))
+    share = F.when(n_chars > 0, han / n_chars).otherwise(F.lit(0.0))
+    base = df.select(id_col, share.alias("han_share"), tx.word_tokens(F.col(text_col)).alias("toks"))
+    toks = base.select(id_col, "han_share", F.explode_outer("toks").alias("word"))
+    langs = sorted(FUNCTION_WORDS)
+    per = (toks.join(words, "word", "left")
+               .groupBy(id_col)
+               .agg(F.max("han_share").alias("han_share"),
+                    *[F.count(F.when(F.col("lang") == lg, 1)).alias(f"n_{lg}") for lg in langs]))
+    best = F.greatest(*[F.col(f"n_{lg}") for lg in langs])
+    pick = None
+    for lg in langs:  # alphabetical: the first language reaching the maximum wins a tie
+        cond = F.col(f"n_{lg}") == best
+        pick = F.when(cond, F.lit(lg)) if pick is None else pick.when(cond, F.lit(lg))
+    detected = (F.when(F.col("han_share") > HAN_SHARE, F.lit("zh"))
+                 .when(best == 0, F.lit("unknown")).otherwise(pick))
+    return per.select(id_col, detected.alias("detected_lang"), best.cast("long").alias("hits"))

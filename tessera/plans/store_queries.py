@@ -34,12 +34,14 @@ def batch_fixture(spark, sf):
     """Every section once (in section order) plus a changed repeat of every section of
     documents with doc_id % 7 = 0, positioned after all originals."""
     s = sections_with_doc(spark, sf)
-    first = s.select("uri", "title", "content", "embedding_content", F.col("section_id").alias("pos"))
-    again = (s.where(F.col("doc_id") % 7 == 0)
-              .select("uri", "title", F.concat("content", F.lit(" (copy)")).alias("content"),
-                      F.concat("embedding_content", F.lit(" (copy)")).alias("embedding_content"),
-                      (F.col("section_id") + F.lit(COPY_OFFSET)).alias("pos")))
-    return first.unionByName(again)
+    first = F.struct(F.col("content").alias("content"), F.col("embedding_content").alias("embedding_content"),
+                     F.col("section_id").alias("pos"))
+    again = F.struct(F.concat("content", F.lit(" (copy)")).alias("content"),
+                     F.concat("embedding_content", F.lit(" (copy)")).alias("embedding_content"),
+                     (F.col("section_id") + F.lit(COPY_OFFSET)).alias("pos"))
+    # one pass over the sections: each row yields itself and, for every seventh document, its repeat
+    rows = F.when(F.col("doc_id") % 7 == 0, F.array(first, again)).otherwise(F.array(first))
+    return s.select("uri", "title", F.inline(rows))
 
 
 SQL_SECS_DOC = f"SELECT *, section_id // 1000000 AS doc_id FROM ({SQL_SECTIONS})"
