@@ -1,5 +1,5 @@
-"""Nearest-neighbour retrieval: exact batch kNN (L2 / cosine), LSH approximate kNN,
-and rendering hits as a context string.
+"""Nearest-neighbour retrieval: exact batch kNN (L2 / cosine), inverted-file approximate
+kNN, and rendering hits as a context string.
 
 Exact batch kNN plan
 --------------------
@@ -95,6 +95,13 @@ def _partition_topk(bc, k: int, metric: str, id_name: str):
     return run
 
 
+def _bounded_tasks(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Each corpus task emits ``queries x k`` rows, so the shuffle grows with the number of
+    tasks, not with the corpus.  Merge input splits (no shuffle) down to a few tasks per core."""
+    cap = df.sparkSession.sparkContext.defaultParallelism * per_core
+    return df.coalesce(cap) if df.rdd.getNumPartitions() > cap else df
+
+
 def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",
         id_col: str = "vec_id", vec_col: str = "embedding",
         query_id_col: str = "query_id", query_vec_col: str = "embedding",
@@ -115,7 +122,8 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
     out_schema = T.StructType([T.StructField("query_id", T.LongType()),
                                T.StructField(id_col, T.LongType()),
                                T.StructField("r", T.LongType())])
-    c = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    c = _bounded_tasks(corpus.select(F.col(id_col).cast("long").alias("id"),
+                                     F.col(vec_col).cast("array<double>").alias("v")))
     if nq == 0:
         return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
     blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
@@ -137,27 +145,120 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
                  .select("query_id", "rank", id_col, (F.col("r") / F.lit(1e6)).alias("distance")))
 
 
-def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, threshold: float = 1.0,
-               bucket_length: float = 0.5, num_tables: int = 8, seed: int = 7,
+def _nearest_cells(X: np.ndarray, C: np.ndarray, csq: np.ndarray) -> np.ndarray:
+    d2 = (X * X).sum(1)[:, None] + csq[None, :] - 2.0 * (X @ C.T)
+    return np.argmin(d2, axis=1)
+
+
+def _train_centroids(sample: np.ndarray, n_cells: int, iterations: int, seed: int) -> np.ndarray:
+    """A few Lloyd iterations on a bounded sample (empty cells keep their previous centre)."""
+    rng = np.random.default_rng(seed)
+    C = sample[rng.choice(len(sample), size=n_cells, replace=False)].copy()
+    for _ in range(iterations):
+        cells = _nearest_cells(sample, C, (C * C).sum(1))
+        sums = np.zeros_like(C)
+        np.add.at(sums, cells, sample)
+        cnt = np.bincount(cells, minlength=n_cells)
+        nz = cnt > 0
+        C[nz] = sums[nz] / cnt[nz, None]
+    return C
+
+
+def _partition_ivf(bc, k: int, id_name: str):
+    def run(batches):
+        qids, Q, probes, C = bc.value
+        nq = Q.shape[0]
+        csq = (C * C).sum(1)
+        qsq = (Q * Q).sum(1)
+        by_cell: dict[int, np.ndarray] = {}
+        for c in np.unique(probes):
+            by_cell[int(c)] = np.nonzero((probes == c).any(1))[0]
+        best_r = np.full((k, nq), _EXCLUDED, dtype=np.int64)
+        best_id = np.full((k, nq), -1, dtype=np.int64)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            ids = pdf["id"].to_numpy(dtype=np.int64)
+            X = np.vstack(pdf["v"].to_numpy()).astype(np.float64)
+            cells = _nearest_cells(X, C, csq)
+            for c in np.unique(cells):
+                qi = by_cell.get(int(c))
+                if qi is None:
+                    continue
+                sel = cells == c
+                Xc, ic = X[sel], ids[sel]
+                d2 = (Xc * Xc).sum(1)[:, None] + qsq[None, qi] - 2.0 * (Xc @ Q[qi].T)
+                r = np.rint(np.sqrt(np.maximum(d2, 0.0)) * 1e6).astype(np.int64)
+                cand_r = np.vstack([best_r[:, qi], r])
+                cand_id = np.vstack([best_id[:, qi], np.broadcast_to(ic[:, None], r.shape)])
+                part = _topk_columns(cand_r, cand_id, k)
+                best_r[:, qi] = np.take_along_axis(cand_r, part, 0)
+                best_id[:, qi] = np.take_along_axis(cand_id, part, 0)
+        qcol = np.broadcast_to(np.asarray(qids, dtype=np.int64)[None, :], best_r.shape)
+        keep = best_r != _EXCLUDED
+        if keep.any():
+            yield pd.DataFrame({"query_id": qcol[keep], id_name: best_id[keep], "r": best_r[keep]})
+
+    return run
+
+
+def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cells: int | None = None,
+               n_probe: int = 8, train_rows: int = 20_000, iterations: int = 6, seed: int = 7,
                id_col: str = "vec_id", vec_col: str = "embedding",
-               query_id_col: str = "query_id", query_vec_col: str = "embedding") -> DataFrame:
-    """Approximate L2 kNN with random-projection LSH: candidates are pairs sharing a hash
-    bucket within ``threshold`` (an equi-join on bucket, not a cross product), then an exact
-    re-rank keeps the k nearest per query."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    a = corpus.select(F.col(id_col).cast("long").alias("id"), array_to_vector(vec_col).alias("features"))
-    b = queries.select(F.col(query_id_col).cast("long").alias("qid"),
-                       array_to_vector(query_vec_col).alias("features"))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(a)
-    pairs = model.approxSimilarityJoin(b, a, threshold, distCol="d")
-    cand = pairs.select(F.col("datasetA.qid").alias("query_id"), F.col("datasetB.id").alias(id_col),
-                        F.round("d", 6).alias("distance"))
-    w = Window.partitionBy("query_id").orderBy("distance", id_col)
-    return (cand.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
-                .select("query_id", "rank", id_col, "distance"))
+               query_id_col: str = "query_id", query_vec_col: str = "embedding",
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Approximate L2 top-k with an inverted-file index built inside the job.
+
+    1. Cell centres: k-means (a few Lloyd steps) on a random corpus sample of at most
+       ``train_rows`` rows; ``n_cells`` defaults to about sqrt(corpus rows), at most 4096.
+       Both the sample and the centres are bounded, whatever the corpus size.
+    2. Each query picks its ``n_probe`` nearest cells (queries are size-checked and broadcast
+       in blocks, as for the exact search).
+    3. One scan of the corpus: every vector is assigned to its nearest centre and compared only
+       with the queries probing that cell; each task keeps a local top-k per query, merged by a
+       final ``row_number() <= k``.
+    Results are exact within the probed cells; a neighbour in an unprobed cell is missed, which
+    is what recall measures.  No pair of corpus rows is ever formed, so a crowded cell costs
+    (its size x the queries probing it), never its size squared.
+    """
+    spark = corpus.sparkSession
+    c = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    n = c.count()
+    out_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()),
+                               T.StructField("r", T.LongType())])
+    if n == 0:
+        return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
+    cells = n_cells or int(min(4096, max(1, round(math.sqrt(n)))))
+    frac = min(1.0, 1.5 * train_rows / n)
+    sample = np.array([r["v"] for r in c.sample(fraction=frac, seed=seed).limit(train_rows).collect()],
+                      dtype=np.float64)
+    cells = min(cells, len(sample))
+    C = _train_centroids(sample, cells, iterations, seed)
+    q = queries.select(F.col(query_id_col).cast("long").alias("qid"),
+                       F.col(query_vec_col).cast("array<double>").alias("qv"))
+    stats = q.agg(F.count("*").alias("n"), F.max(F.size("qv")).alias("dim")).first()
+    nq, dim = int(stats["n"]), int(stats["dim"] or 0)
+    blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
+    scan = _bounded_tasks(c)
+    parts = []
+    for b in range(blocks if nq else 0):
+        qb = q if blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
+        rows = qb.collect()  # bounded by the size check above
+        if not rows:
+            continue
+        Q = np.array([r["qv"] for r in rows], dtype=np.float64)
+        d2 = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * (Q @ C.T)
+        probes = np.argsort(d2, axis=1)[:, :min(n_probe, cells)]
+        bc = spark.sparkContext.broadcast(([r["qid"] for r in rows], Q, probes, C))
+        parts.append(scan.mapInPandas(_partition_ivf(bc, k, id_col), out_schema))
+    if not parts:
+        return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
+    local = parts[0]
+    for p in parts[1:]:
+        local = local.unionByName(p)
+    w = Window.partitionBy("query_id").orderBy("r", id_col)
+    return (local.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+                 .select("query_id", "rank", id_col, (F.col("r") / F.lit(1e6)).alias("distance")))
 
 
 def format_context(queries: DataFrame, hits: DataFrame, sections: DataFrame,

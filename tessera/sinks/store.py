@@ -6,11 +6,16 @@ with uri unique.  A load:
 1. collapses the batch to one row per uri with ``min_by(row, pos)`` — the
    first row by position wins.  This is a hash aggregate with a map-side
    partial step, so even a uri repeated across a third of the batch is
-   reduced inside each task before the shuffle;
-2. removes uris already stored (``left_anti`` on uri; the store side is
-   hash-partitioned on the same key as step 1, so the batch is not shuffled
-   again);
-3. embeds only the survivors (the expensive step runs after the key check);
+   reduced inside each task before the shuffle.  The result is checkpointed
+   to the shared checkpoint folder (lineage cut, and the size below is read
+   from it rather than recomputed);
+2. finds the stored uris that collide with the batch: when the batch's key
+   set is within ``max_broadcast_bytes`` it is broadcast and the store is
+   only scanned and filtered (the store, which grows without bound, is never
+   shuffled); above the bound a regular shuffle semi join is used;
+3. removes those uris from the batch (``left_anti`` against the small
+   collision set) and embeds only the survivors (the expensive step runs
+   after the key check);
 4. appends them.
 
 Changed content under an existing uri is ignored (insert-only).
@@ -35,17 +40,31 @@ def dedupe_batch(batch: DataFrame, pos_col: str = "pos") -> DataFrame:
     return agg.select("uri", "row.*", pos_col, "copies")
 
 
-def new_sections_only(batch: DataFrame, store: DataFrame) -> DataFrame:
-    """Batch rows whose uri is not in the store."""
-    return batch.join(store.select("uri"), "uri", "left_anti")
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def colliding_uris(keys: DataFrame, store: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Stored uris that also occur in ``keys`` (a one-column uri frame)."""
+    size = keys.agg(F.sum(F.length("uri") + 16).alias("b")).first()["b"] or 0
+    probe = F.broadcast(keys) if size <= max_broadcast_bytes else keys
+    return store.select("uri").join(probe, "uri", "left_semi")
+
+
+def new_sections_only(batch: DataFrame, store: DataFrame,
+                      max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Batch rows whose uri is not in the store (existence probe before insert)."""
+    hits = colliding_uris(batch.select("uri").distinct(), store, max_broadcast_bytes)
+    return batch.join(hits, "uri", "left_anti")
 
 
 def plan_load(batch: DataFrame, store: DataFrame, text_col: str = "embedding_content",
-              dim: int = vx.DEFAULT_DIM, embedder=None, pos_col: str = "pos"):
+              dim: int = vx.DEFAULT_DIM, embedder=None, pos_col: str = "pos", checkpoint: bool = False):
     """Return ``(rows_to_insert, duplicate_report)`` without writing."""
     d = dedupe_batch(batch, pos_col)
+    if checkpoint:
+        d = d.checkpoint(eager=True)
     dup = d.where(F.col("copies") > 1).select("uri", (F.col("copies") - 1).alias("dropped"))
-    new = new_sections_only(d, store)
+    new = d.join(colliding_uris(d.select("uri"), store), "uri", "left_anti")
     emb = vx.embed_text(new, text_col, "embedding", dim, embedder)
     return vx.check_dim(emb, "embedding", dim).select(*SECTION_COLS, "embedding"), dup
 
@@ -61,13 +80,14 @@ def load_sections(spark: SparkSession, path: str, batch: DataFrame, text_col: st
                   dim: int = vx.DEFAULT_DIM, embedder=None, pos_col: str = "pos") -> DataFrame:
     """Append the new sections of ``batch`` to the store at ``path``; returns the duplicate report.
 
-    The rows to insert are materialised to a staging folder first, so the append never reads
-    the table it is writing to."""
+    Re-running a load (or a replayed streaming micro-batch) appends nothing: every uri it would
+    write is already stored."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     store = read_store(spark, path)
-    rows, dup = plan_load(batch, store, text_col, dim, embedder, pos_col)
-    staging = path.rstrip("/") + "_staging"
-    rows.write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).write.mode("append").parquet(path)
+    rows, dup = plan_load(batch, store, text_col, dim, embedder, pos_col, checkpoint=True)
+    rows.write.mode("append").parquet(path)
     return dup
 
 
@@ -76,7 +96,7 @@ def collection_actions(batch: DataFrame, store: DataFrame, pos_col: str = "pos")
     action: ``reject_duplicate`` (strict mode: a uri repeated in one batch), ``skip_existing``
     or ``insert``."""
     d = batch.groupBy("uri").agg(F.count("*").alias("copies"))
-    s = store.select("uri").distinct().withColumn("exists", F.lit(True))
+    s = colliding_uris(d.select("uri"), store).withColumn("exists", F.lit(True))
     j = d.join(s, "uri", "left").withColumn("exists", F.coalesce("exists", F.lit(False)))
     return j.withColumn("action", F.when(F.col("copies") > 1, "reject_duplicate")
                         .when(F.col("exists"), "skip_existing").otherwise("insert"))
