@@ -104,9 +104,10 @@ def geocode_first(requests: DataFrame, gazetteer: DataFrame) -> DataFrame:
                       .agg(F.min_by(F.struct("lat", "lng"), "match_order").alias("hit")))
     j = requests.join(first, "place", "left")
     found = F.col("hit").isNotNull()
-    return j.select("place", "use_default", found.alias("found"),
-                    F.when(found, F.col("hit.lat")).when(F.col("use_default"), F.lit(DEFAULT_LAT)).alias("lat"),
-                    F.when(found, F.col("hit.lng")).when(F.col("use_default"), F.lit(DEFAULT_LNG)).alias("lng"),
+    lat = F.when(found, F.col("hit.lat")).when(F.col("use_default"), F.lit(DEFAULT_LAT))
+    lng = F.when(found, F.col("hit.lng")).when(F.col("use_default"), F.lit(DEFAULT_LNG))
+    return j.select("place", "use_default", found.alias("found"), lat.alias("lat"), lng.alias("lng"),
+                    F.concat(lat.cast("string"), F.lit(","), lng.cast("string")).alias("location"),
                     F.when(~found & ~F.col("use_default"), F.lit("location not found, retry")).alias("reject_reason"))
 
 

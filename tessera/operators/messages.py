@@ -37,6 +37,12 @@ def append_batches(messages: DataFrame, batch_cols: list[str], order_col: str) -
     return g.select(*batch_cols, F.to_json(F.transform("ms", lambda x: x["msg"])).alias("message_list"))
 
 
+def append_message_log(batches: DataFrame, path: str) -> None:
+    """Append (batch_id, message_list) rows to the log table; batch ids are assigned by the
+    writer and define the read-back order."""
+    batches.select("batch_id", "message_list").write.mode("append").parquet(path)
+
+
 def chat_messages(messages: DataFrame) -> DataFrame:
     """Dispatch on message kind and first part: request + user-prompt -> role ``user`` with the
     part's timestamp; response + text -> role ``model`` with the message timestamp; anything else

@@ -182,6 +182,12 @@ def subtask_lookup(subtasks: DataFrame, requests: DataFrame, plan_col: str = "pl
                     .select(plan_col, "request_id", F.col("s").isNotNull().alias("found"), "pos", "s.*"))
 
 
+def subtask_in_plan(subtasks, request):
+    """Array form of the lookup on one plan row: the first subtask whose id equals ``request``
+    (null when none)."""
+    return F.try_element_at(F.filter(subtasks, lambda s: s["id"] == request), F.lit(1))
+
+
 def rows_to_xml(df: DataFrame, group_col: str, order_col: str, fields: list[str], row_tag: str = "result",
                 root_tag: str = "search_results") -> DataFrame:
     """Per group: the rows rendered as XML elements in order inside a root element

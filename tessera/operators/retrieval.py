@@ -95,6 +95,18 @@ def _partition_topk(bc, k: int, metric: str, id_name: str):
     return run
 
 
+def knn_single(corpus: DataFrame, query: list[float], k: int = DEFAULT_K, id_col: str = "vec_id",
+               vec_col: str = "embedding") -> DataFrame:
+    """Top-k for one query vector: distance as a column expression, ``orderBy(...).limit(k)``,
+    which Spark plans as TakeOrderedAndProject (each task keeps k rows; k rows reach the driver)."""
+    from ..functions.vectors import l2_distance
+
+    qv = F.array(*[F.lit(float(x)) for x in query])
+    d = F.round(l2_distance(F.col(vec_col), qv), 6)
+    ranked = corpus.select(F.col(id_col), d.alias("distance")).orderBy("distance", id_col).limit(k)
+    return ranked
+
+
 def _bounded_tasks(df: DataFrame, per_core: int = 2) -> DataFrame:
     """Each corpus task emits ``queries x k`` rows, so the shuffle grows with the number of
     tasks, not with the corpus.  Merge input splits (no shuffle) down to a few tasks per core."""

@@ -156,6 +156,8 @@ r AS (SELECT n_name AS place, false AS use_default FROM nation UNION ALL SELECT
 SELECT r.place, r.use_default, f.place IS NOT NULL AS found,
        CASE WHEN f.place IS NOT NULL THEN f.lat WHEN r.use_default THEN {lk.DEFAULT_LAT} END AS lat,
        CASE WHEN f.place IS NOT NULL THEN f.lng WHEN r.use_default THEN {lk.DEFAULT_LNG} END AS lng,
+       (CASE WHEN f.place IS NOT NULL THEN f.lat WHEN r.use_default THEN {lk.DEFAULT_LAT} END)::VARCHAR || ',' ||
+       (CASE WHEN f.place IS NOT NULL THEN f.lng WHEN r.use_default THEN {lk.DEFAULT_LNG} END)::VARCHAR AS location,
        CASE WHEN f.place IS NULL AND NOT r.use_default THEN 'location not found, retry' END AS reject_reason
 FROM r LEFT JOIN f USING (place)""")
 def q_geocode_first(spark, sf):

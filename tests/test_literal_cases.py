@@ -175,3 +175,30 @@ def test_money_text(spark):
                                 "account_number long, name string, balance double, pending double")
     got = {r["account_number"]: r["amount_text"] for r in lk.account_balance(req, acc).collect()}
     assert got == {1: "$12.75", 2: "$-3.10", 3: None}
+
+
+def test_knn_single_matches_batch(spark):
+    rows = [(i, [float(i % 5), float(i % 3), 1.0]) for i in range(30)]
+    c = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = spark.createDataFrame([(0, [2.0, 1.0, 0.5])], "query_id long, embedding array<double>")
+    one_q = [(r["vec_id"], r["distance"]) for r in rt.knn_single(c, [2.0, 1.0, 0.5], k=5).collect()]
+    batch = [(r["vec_id"], r["distance"]) for r in rt.knn(c, q, k=5).orderBy("rank").collect()]
+    assert one_q == batch
+
+
+def test_subtask_array_form(spark):
+    df = spark.createDataFrame([([("a", "t1"), ("b", "t2"), ("a", "t3")],)], "s array<struct<id:string,title:string>>")
+    r = df.select(rs.subtask_in_plan(F.col("s"), F.lit("a")).alias("x"),
+                  rs.subtask_in_plan(F.col("s"), F.lit("z")).alias("y")).first()
+    assert r["x"]["title"] == "t1" and r["y"] is None
+
+
+def test_geocode_default_and_reject(spark):
+    gaz = spark.createDataFrame([("Paris", 1.0, 2.0, 5), ("Paris", 3.0, 4.0, 1)],
+                                "place string, lat double, lng double, match_order int")
+    req = spark.createDataFrame([("Paris", False), ("Nowhere", True), ("Nowhere2", False)],
+                                "place string, use_default boolean")
+    got = {r["place"]: (r["found"], r["location"], r["reject_reason"]) for r in lk.geocode_first(req, gaz).collect()}
+    assert got["Paris"] == (True, "3.0,4.0", None)
+    assert got["Nowhere"] == (False, "51.1,-0.1", None)
+    assert got["Nowhere2"][0] is False and got["Nowhere2"][2] is not None
