@@ -110,8 +110,9 @@ def knn_single(corpus: DataFrame, query: list[float], k: int = DEFAULT_K, id_col
 def _bounded_tasks(df: DataFrame, per_core: int = 2) -> DataFrame:
     """Each corpus task emits ``queries x k`` rows, so the shuffle grows with the number of
     tasks, not with the corpus.  Merge input splits (no shuffle) down to a few tasks per core."""
-    cap = df.sparkSession.sparkContext.defaultParallelism * per_core
-    return df.coalesce(cap) if df.rdd.getNumPartitions() > cap else df
+    # coalesce never adds partitions, so no partition count is needed (asking for one would make
+    # adaptive execution run the upstream stages early)
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism * per_core)
 
 
 def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import lookups as lk
+from ..operators import validate as vd
 from ..operators.records import LEVELS
 from .common import q, register, table
 
@@ -216,28 +217,6 @@ def validation_input(spark, sf):
     return support.unionByName(whale).unionByName(answer)
 
 
-def validate_records(df):
-    """Parse each record kind with its schema and list the violated rules."""
-    s = F.from_json("json", "support_advice string, block_card boolean, risk int")
-    wh = F.from_json("json", "name string, length double, weight double, ocean string, description string")
-    an = F.from_json("json", "kind string, sql_query string, explanation string, error_message string")
-    k = F.col("record_kind")
-    p = df.select("record_kind", "record_id", s.alias("s"), wh.alias("w"), an.alias("a"))
-    rules = [
-        ("risk_range", (k != "support") | F.col("s.risk").between(0, 10)),
-        ("advice_required", (k != "support") | F.col("s.support_advice").isNotNull()),
-        ("name_required", (k != "whale") | F.col("w.name").isNotNull()),
-        ("length_required", (k != "whale") | F.col("w.length").isNotNull()),
-        ("weight_min_50", (k != "whale") | F.col("w.weight").isNull() | (F.col("w.weight") >= 50)),
-        ("sql_query_nonempty", (k != "sql_answer") | (F.col("a.kind") != "success") | (F.length("a.sql_query") >= 1)),
-        ("error_message_required", (k != "sql_answer") | (F.col("a.kind") != "invalid_request") |
-         F.col("a.error_message").isNotNull()),
-    ]
-    v = p.withColumn("reasons", lk.violations(*rules))
-    return v.select("record_kind", "record_id", (F.size("reasons") == 0).alias("valid"),
-                    F.array_join("reasons", ",").alias("reasons"))
-
-
 @register("validate_records", f"""
 WITH r AS (
   SELECT 'support' AS record_kind, event_id AS record_id,
@@ -253,7 +232,7 @@ WITH r AS (
 SELECT record_kind, record_id, concat_ws(',', r1, r2, r3, r4, r5, r6, r7) = '' AS valid,
        concat_ws(',', r1, r2, r3, r4, r5, r6, r7) AS reasons FROM r""")
 def q_validate_records(spark, sf):
-    return validate_records(validation_input(spark, sf))
+    return vd.validate_records(validation_input(spark, sf)).select("record_kind", "record_id", "valid", "reasons")
 
 
 @register("record_levels", f"""

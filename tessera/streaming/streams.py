@@ -13,11 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions import vectors as vx
 from ..operators import messages as mg
 from ..sinks import store as st
 
-CHAT_LINE_SCHEMA = "role string, timestamp string, content string"
+CHAT_LINE_SCHEMA = S.CHAT_MESSAGE
 PARTIAL_OBJECT = r"\{[^{}]*\}"
 
 
@@ -90,7 +91,7 @@ def run_debounce(spark: SparkSession, source: str, schema: str, out: str, checkp
 
 # --- partial list validation --------------------------------------------------------
 
-WHALE_SCHEMA = "name string, length double, weight double, ocean string, description string"
+WHALE_SCHEMA = S.WHALE
 
 
 def validate_partial(cum: DataFrame) -> DataFrame:
