@@ -5,7 +5,7 @@ The embedder is a pluggable function ``DataFrame -> DataFrame`` adding an
 word token goes to bucket ``int(md5(token)[:7], 16) % dim`` with sign
 ``+1`` when the 8th hex digit is even, ``-1`` otherwise; counts are summed
 exactly as integers and the vector is L2-normalised.  It is computed per row
-in an Arrow-batched pandas UDF (the token regex itself runs in the JVM), so
+in an Arrow UDF working on whole Arrow batches (the tokeniser itself runs in the JVM), so
 an embedding never needs a shuffle of token-level rows.
 """
 
@@ -14,7 +14,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,22 +47,24 @@ def _token_hashes(uniq: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hashed_vector_udf(dim: int):
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def embed(tokens: pd.Series) -> pd.Series:
-        # One pass per Arrow batch: flatten the token lists, hash each distinct token once,
-        # and sum signed counts into a (rows x dim) matrix with a single bincount.
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def embed(tokens: pa.Array) -> pa.Array:
+        # One pass per Arrow batch, no per-row Python: flatten the token lists, dictionary-encode
+        # them so each distinct token is hashed once, and sum signed counts into a (rows x dim)
+        # matrix with a single bincount; the result goes back as one list array.
         n = len(tokens)
-        lens = np.fromiter((0 if a is None else len(a) for a in tokens), dtype=np.int64, count=n)
+        lens = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         m = np.zeros((n, dim), dtype=np.float64)
         if lens.sum():
-            flat = np.concatenate([a for a in tokens if a is not None and len(a)])
-            codes, uniq = pd.factorize(flat)
-            bucket, sign = _token_hashes(uniq, dim)
+            enc = pc.dictionary_encode(pc.list_flatten(tokens))
+            codes = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            bucket, sign = _token_hashes(np.asarray(enc.dictionary.to_pylist(), dtype=object), dim)
             rows = np.repeat(np.arange(n, dtype=np.int64), lens)
             m = np.bincount(rows * dim + bucket[codes], weights=sign[codes], minlength=n * dim).reshape(n, dim)
             nrm = np.sqrt((m * m).sum(1))
             m = np.divide(m, nrm[:, None], out=np.zeros_like(m), where=nrm[:, None] > 0)
-        return pd.Series(list(m))
+        offsets = pa.array(np.arange(0, n * dim + 1, dim, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(m.reshape(-1)))
 
     return embed
 

@@ -107,6 +107,15 @@ def knn_single(corpus: DataFrame, query: list[float], k: int = DEFAULT_K, id_col
     return ranked
 
 
+def _query_shape(q: DataFrame) -> tuple[int, int]:
+    """(rows, vector length) of the query side, for the broadcast size check.  The count prunes
+    the vector column (an embedding step upstream is not run for it); the length is read from
+    one row (fixed-length vectors)."""
+    nq = q.count()
+    first = q.select(F.size("qv").alias("d")).limit(1).collect()
+    return nq, int(first[0]["d"]) if first and first[0]["d"] is not None else 0
+
+
 def _bounded_tasks(df: DataFrame, per_core: int = 2) -> DataFrame:
     """Each corpus task emits ``queries x k`` rows, so the shuffle grows with the number of
     tasks, not with the corpus.  Merge input splits (no shuffle) down to a few tasks per core."""
@@ -130,8 +139,7 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
     spark = corpus.sparkSession
     q = queries.select(F.col(query_id_col).cast("long").alias("qid"),
                        F.col(query_vec_col).cast("array<double>").alias("qv"))
-    stats = q.agg(F.count("*").alias("n"), F.max(F.size("qv")).alias("dim")).first()
-    nq, dim = int(stats["n"]), int(stats["dim"] or 0)
+    nq, dim = _query_shape(q)
     out_schema = T.StructType([T.StructField("query_id", T.LongType()),
                                T.StructField(id_col, T.LongType()),
                                T.StructField("r", T.LongType())])
@@ -249,8 +257,7 @@ def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cell
     C = _train_centroids(sample, cells, iterations, seed)
     q = queries.select(F.col(query_id_col).cast("long").alias("qid"),
                        F.col(query_vec_col).cast("array<double>").alias("qv"))
-    stats = q.agg(F.count("*").alias("n"), F.max(F.size("qv")).alias("dim")).first()
-    nq, dim = int(stats["n"]), int(stats["dim"] or 0)
+    nq, dim = _query_shape(q)
     blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
     scan = _bounded_tasks(c)
     parts = []

@@ -21,23 +21,24 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
 
 
-def doc_sentences(spark: SparkSession, sf: str) -> DataFrame:
+def doc_sentences(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
     """(doc_id, source, lang, sentences)"""
-    d = documents(spark, sf).select("doc_id", "source", "lang", "text")
+    d = (docs if docs is not None else documents(spark, sf)).select("doc_id", "source", "lang", "text")
     return sec.split_sentences(d).drop("text")
 
 
-def doc_chunks(spark: SparkSession, sf: str, batch_size: int = CHUNK_SENTENCES) -> DataFrame:
+def doc_chunks(spark: SparkSession, sf: str, batch_size: int = CHUNK_SENTENCES,
+               docs: DataFrame | None = None) -> DataFrame:
     """(doc_id, source, path, chunk_idx, chunk) with path ``books/{source}/{doc_id}.pdf``."""
-    s = sec.chunk_text(doc_sentences(spark, sf), batch_size=batch_size)
+    s = sec.chunk_text(doc_sentences(spark, sf, docs), batch_size=batch_size)
     s = s.withColumn("path", F.concat(F.lit("books/"), F.col("source"), F.lit("/"),
                                       F.col("doc_id").cast("string"), F.lit(".pdf")))
     return sec.explode_indexed(s, "chunks", "chunk_idx", "chunk", ["doc_id", "source", "path"])
 
 
-def chunk_sections(spark: SparkSession, sf: str) -> DataFrame:
+def chunk_sections(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
     """Book sections of every document chunk, with an integral ``section_id``."""
-    c = doc_chunks(spark, sf)
+    c = doc_chunks(spark, sf, docs=docs)
     s = sec.book_sections(c)
     return s.select((F.col("doc_id") * SECTION_ID_STRIDE + F.col("chunk_idx")).alias("section_id"),
                     "uri", "title", "content", "embedding_content")

@@ -145,8 +145,15 @@ def context_for_queries(spark, sf):
     exact L2 top-10 for every benchmark text -> rendered context."""
     secs = section_vectors(spark, sf)
     qs = vx.embed_text(fx.text_queries(spark, sf), "text", "embedding", DIM)
-    hits = rt.knn(secs, qs, k=K, metric="l2", id_col="section_id")
-    return rt.format_context(qs, hits, secs, id_col="section_id")
+    # The hit table (queries x k rows) is used twice below; it is checkpointed to the shared
+    # folder so the corpus scan behind it runs once.
+    hits = rt.knn(secs, qs, k=K, metric="l2", id_col="section_id").checkpoint(eager=True)
+    # Rendering needs the text of at most queries x k sections: re-chunk only the documents that
+    # hold a hit.  The hit set is bounded by the checked query batch times k, so it is broadcast
+    # and the corpus is filtered by a map-side semi join before any sentence work.
+    hit_docs = hits.select(F.floor(F.col("section_id") / fx.SECTION_ID_STRIDE).cast("long").alias("doc_id"))
+    docs = fx.documents(spark, sf).join(F.broadcast(hit_docs.distinct()), "doc_id", "left_semi")
+    return rt.format_context(qs, hits, fx.chunk_sections(spark, sf, docs), id_col="section_id")
 
 
 _SECS = f"(SELECT * FROM ({SQL_SECTIONS}))"
