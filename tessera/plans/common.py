@@ -68,13 +68,20 @@ def sql_word_tokens(e: str) -> str:
     return f"regexp_extract_all(lower({e}), {q(tx.WORD_TOKEN)})"
 
 
-def sql_key_terms(e: str, n: int = tx.KEY_TERM_COUNT) -> str:
-    toks = f"list_filter({sql_word_tokens(e)}, lambda t: regexp_full_match(t, '[a-z]{{3,}}'))"
+def sql_key_terms_table(src: str, id_col: str, text_col: str, n: int = tx.KEY_TERM_COUNT) -> str:
+    """Relation (id, kt LIST) with the key terms of every row of ``src``: tokens filtered, first
+    position per distinct token, the first ``n`` by that position.  Relational, so it stays
+    O(tokens log tokens) per text (a list_position dedupe would be quadratic)."""
     stop = "[" + ", ".join(q(s) for s in tx.KEY_TERM_STOPWORDS) + "]"
-    # distinct in first-occurrence order, stopwords removed
-    dist = (f"list_filter({toks}, lambda t, i: NOT list_contains({stop}, t) "
-            f"AND list_position({toks}, t) = i)")
-    return f"list_slice({dist}, 1, {n})"
+    toks = (f"list_filter({sql_word_tokens(text_col)}, lambda t: regexp_full_match(t, '[a-z]{{3,}}') "
+            f"AND NOT list_contains({stop}, t))")
+    return f"""
+(WITH src AS (SELECT {id_col} AS id, {toks} AS toks FROM ({src})),
+ t AS (SELECT id, unnest(toks) AS tok, unnest(range(len(toks))) AS pos FROM src),
+ f AS (SELECT id, tok, min(pos) AS p FROM t GROUP BY id, tok),
+ r AS (SELECT id, tok, row_number() OVER (PARTITION BY id ORDER BY p) AS rn FROM f),
+ k AS (SELECT id, list(tok ORDER BY rn) AS kt FROM r WHERE rn <= {n} GROUP BY id)
+ SELECT src.id, coalesce(k.kt, []::VARCHAR[]) AS kt FROM src LEFT JOIN k ON k.id = src.id)"""
 
 
 def sql_urls(e: str) -> str:

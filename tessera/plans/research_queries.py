@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.arrays import posexplode_rows
 from ..operators import research as rs
-from .common import (q, register, sql_html_text, sql_html_title, sql_key_terms, sql_sentences, sql_urls,
-                     sql_word_tokens, table)
+from .common import (q, register, sql_html_text, sql_html_title, sql_key_terms_table, sql_sentences,
+                     sql_urls, sql_word_tokens, table)
 
 NL = "\n"
 MAX_RESULTS = 5
@@ -116,13 +116,15 @@ def summaries(spark, sf):
                     F.col("text").alias("summary"))
 
 
+SQL_DOC_TERMS = sql_key_terms_table("SELECT doc_id, text FROM documents", "doc_id", "text")
 SQL_REGISTRY = f"""
 SELECT topic, aspect, arg_max(kt, pos) AS terms, min(pos) AS pos FROM (
-  SELECT source AS topic, lang AS aspect, doc_id AS pos, {sql_key_terms('text')} AS kt FROM documents)
+  SELECT d.source AS topic, d.lang AS aspect, d.doc_id AS pos, k.kt FROM documents d JOIN {SQL_DOC_TERMS} k
+  ON k.id = d.doc_id)
 GROUP BY topic, aspect"""
 
 
-@register("key_terms", f"SELECT doc_id, array_to_string({sql_key_terms('text')}, ',') AS terms FROM documents")
+@register("key_terms", f"SELECT id AS doc_id, array_to_string(kt, ',') AS terms FROM {SQL_DOC_TERMS}")
 def q_key_terms(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
     return rs.key_terms(d, "text").select("doc_id", F.array_join("terms", ",").alias("terms"))
