@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..operators import messages as mg
 from ..session import scratch_dir
-from ..sinks import store as st
 from ..streaming import streams as ss
 from . import store_queries as sq
 from .common import register, table
@@ -173,5 +172,3 @@ def q_stream_load_sections(spark, sf):
     return out.select("uri", "title", F.md5("content").alias("content_md5"),
                       F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("emb_sum"))
 
-
-del st
