@@ -133,13 +133,18 @@ def usage_rollup(usage: DataFrame, by: str = "model") -> DataFrame:
                                  F.sum("response_tokens").cast("long").alias("response_tokens"))
 
 
-def pieces(df: DataFrame, text_col: str, size: int, keep: list[str]) -> DataFrame:
-    """Cut a text into consecutive ``size``-character pieces: (keep..., seq, delta)."""
+def pieces(df: DataFrame, text_col: str, size: int, keep: list[str], prefix_col: str | None = None) -> DataFrame:
+    """Cut a text into consecutive ``size``-character pieces: (keep..., seq, delta[, prefix]).
+
+    With ``prefix_col`` each row also carries the text up to and including its piece (what a
+    cumulative stream shows at that step), computed from the same row: no join back."""
     n = F.length(text_col)
     idx = F.when(n > 0, F.sequence(F.lit(0), F.ceil(n / size).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-    return (posexplode_rows(df, [*keep, text_col], idx, "seq", "i")
-              .select(*keep, F.col("seq").cast("long"), F.substring(F.col(text_col), F.col("i") * size + 1, F.lit(size))
-                      .alias("delta")))
+    out = [*keep, F.col("seq").cast("long"),
+           F.substring(F.col(text_col), F.col("i") * size + 1, F.lit(size)).alias("delta")]
+    if prefix_col:
+        out.append(F.substring(F.col(text_col), F.lit(1), (F.col("i") + 1) * size).alias(prefix_col))
+    return posexplode_rows(df, [*keep, text_col], idx, "seq", "i").select(*out)
 
 
 def running_text(chunks: DataFrame, key_cols: list[str], seq_col: str = "seq", delta_col: str = "delta") -> DataFrame:

@@ -44,11 +44,10 @@ def chat_line_stream(spark, sf):
         F.to_json(F.struct(F.lit("user").alias("role"), iso.alias("timestamp"), F.col("text").alias("content")))
          .alias("line"))
     a = c.where(F.col("role") == "assistant").withColumn("iso", iso)
-    p = mg.pieces(a, "text", PIECE, ["conv_id", "turn", "iso"]).join(
-        a.select("conv_id", "turn", "text"), ["conv_id", "turn"])
+    p = mg.pieces(a, "text", PIECE, ["conv_id", "turn", "iso"], prefix_col="so_far")
     answers = p.select("conv_id", (F.col("turn") * SEQ_STRIDE + F.col("seq")).alias("seq"),
                        F.to_json(F.struct(F.lit("model").alias("role"), F.col("iso").alias("timestamp"),
-                                          F.substring("text", 1, (F.col("seq") + 1) * PIECE).alias("content")))
+                                          F.col("so_far").alias("content")))
                         .alias("line"))
     blanks = a.select("conv_id", (F.col("turn") * SEQ_STRIDE + BLANK_SEQ).alias("seq"), F.lit("").alias("line"))
     return users.unionByName(answers).unionByName(blanks)
@@ -70,10 +69,9 @@ def q_stream_message_upsert(spark, sf):
 def chunk_stream(spark, sf):
     """(conv_id, turn, seq, event_time, text_so_far): answers in 20-character steps, 4 ms apart."""
     c = table(spark, sf, "conversations").where(F.col("role") == "assistant")
-    p = mg.pieces(c, "text", PIECE, ["conv_id", "turn"]).join(c.select("conv_id", "turn", "text"), ["conv_id", "turn"])
+    p = mg.pieces(c, "text", PIECE, ["conv_id", "turn"], prefix_col="text_so_far")
     et = F.timestamp_micros(_msg_sec() * 1_000_000 + F.col("seq") * STEP_MS * 1000)
-    return p.select("conv_id", "turn", "seq", et.alias("event_time"),
-                    F.substring("text", 1, (F.col("seq") + 1) * PIECE).alias("text_so_far"))
+    return p.select("conv_id", "turn", "seq", et.alias("event_time"), "text_so_far")
 
 
 @register("stream_debounce", f"""
@@ -118,10 +116,9 @@ def sq_whales(spark, sf):
 
 
 def list_chunks(spark, sf):
-    lists = whale_lists(spark, sf)
-    p = mg.pieces(lists, "text", LIST_PIECE, ["list_id"])
-    n = lists.select("list_id", F.ceil(F.length("text") / LIST_PIECE).cast("long").alias("n"))
-    return p.join(n, "list_id").select("list_id", "seq", "delta", (F.col("seq") == F.col("n") - 1).alias("is_last"))
+    lists = whale_lists(spark, sf).withColumn("n", F.ceil(F.length("text") / LIST_PIECE).cast("long"))
+    p = mg.pieces(lists, "text", LIST_PIECE, ["list_id", "n"])
+    return p.select("list_id", "seq", "delta", (F.col("seq") == F.col("n") - 1).alias("is_last"))
 
 
 def _sql_json_num(c):
