@@ -39,17 +39,44 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    configure(spark)
-    return spark
+    return configure(spark)
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the operators rely on to an existing session."""
+    """Apply the runtime SQL settings the operators rely on to an existing session, and make
+    the package importable in the executors' Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors once per SparkContext (``addPyFile`` of a zip),
+    so UDFs and ``mapInPandas`` functions resolve wherever the driver was started from."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(root)
+    fd, path = tempfile.mkstemp(prefix="tessera-code-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
