@@ -138,13 +138,13 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
         raise ValueError(f"unknown metric {metric}")
     spark = corpus.sparkSession
     q = queries.select(F.col(query_id_col).cast("long").alias("qid"),
-                       F.col(query_vec_col).cast("array<double>").alias("qv"))
+                       F.col(query_vec_col).cast("array<double>").alias("qv")).where(F.col("qv").isNotNull())
     nq, dim = _query_shape(q)
     out_schema = T.StructType([T.StructField("query_id", T.LongType()),
                                T.StructField(id_col, T.LongType()),
                                T.StructField("r", T.LongType())])
     c = _bounded_tasks(corpus.select(F.col(id_col).cast("long").alias("id"),
-                                     F.col(vec_col).cast("array<double>").alias("v")))
+                                     F.col(vec_col).cast("array<double>").alias("v")).where(F.col("v").isNotNull()))
     if nq == 0:
         return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
     blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
@@ -243,7 +243,8 @@ def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cell
     (its size x the queries probing it), never its size squared.
     """
     spark = corpus.sparkSession
-    c = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    c = corpus.select(F.col(id_col).cast("long").alias("id"),
+                      F.col(vec_col).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
     n = c.count()
     out_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()),
                                T.StructField("r", T.LongType())])
@@ -256,7 +257,7 @@ def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cell
     cells = min(cells, len(sample))
     C = _train_centroids(sample, cells, iterations, seed)
     q = queries.select(F.col(query_id_col).cast("long").alias("qid"),
-                       F.col(query_vec_col).cast("array<double>").alias("qv"))
+                       F.col(query_vec_col).cast("array<double>").alias("qv")).where(F.col("qv").isNotNull())
     nq, dim = _query_shape(q)
     blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
     scan = _bounded_tasks(c)
