@@ -145,6 +145,12 @@ def extract_urls(df: DataFrame, text_col: str = "text", out_col: str = "urls") -
     return df.withColumn(out_col, tx.extract_urls(F.col(text_col)))
 
 
+def allowed_citations(report_urls: DataFrame, allowed: DataFrame) -> DataFrame:
+    """Only urls mined from the history may be cited: a semi join on url (the allowed side is
+    broadcast by AQE when small, shuffled otherwise)."""
+    return report_urls.join(allowed.select("url"), "url", "left_semi")
+
+
 def citation_numbers(report_urls: DataFrame, existing: DataFrame, report_col: str = "report_id") -> DataFrame:
     """Number the urls of each report in first-use order; urls with an existing number keep it,
     new urls continue after the largest existing number.

@@ -215,7 +215,7 @@ SELECT u.report_id, u.pos, u.url FROM ({SQL_REPORT_URLS}) u
 WHERE EXISTS (SELECT 1 FROM pages p WHERE p.url = u.url AND p.page_id % 4 <> 3)""")
 def q_allowed_citations(spark, sf):
     allowed = table(spark, sf, "pages").where(F.col("page_id") % 4 != 3).select("url")
-    return report_urls(spark, sf).join(allowed, "url", "left_semi").select("report_id", "pos", "url")
+    return rs.allowed_citations(report_urls(spark, sf), allowed).select("report_id", "pos", "url")
 
 
 def existing_citations(spark, sf):
