@@ -61,8 +61,16 @@ def latest_messages(spark: SparkSession, path: str) -> DataFrame:
                .select("conv_id", "timestamp", "last.role", "last.content", "first_seq"))
 
 
-def run_message_upsert(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str) -> DataFrame:
-    lines = spark.readStream.schema(schema).parquet(source)
+def _source(spark: SparkSession, source: str, schema: str, max_files: int | None):
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(source)
+
+
+def run_message_upsert(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str,
+                       max_files: int | None = None) -> DataFrame:
+    lines = _source(spark, source, schema, max_files)
     agg = message_upserts(lines)
     _run(agg.writeStream.outputMode("update").foreachBatch(upsert_log_sink(out)), checkpoint)
     return latest_messages(spark, out)
@@ -79,8 +87,8 @@ def debounced(chunks: DataFrame, interval: str = "10 milliseconds", watermark: s
 
 
 def run_debounce(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str,
-                 interval: str = "10 milliseconds") -> DataFrame:
-    s = spark.readStream.schema(schema).parquet(source)
+                 interval: str = "10 milliseconds", max_files: int | None = None) -> DataFrame:
+    s = _source(spark, source, schema, max_files)
     _run(debounced(s, interval).writeStream.outputMode("update").foreachBatch(upsert_log_sink(out)), checkpoint)
     log = spark.read.parquet(out)
     return (log.groupBy("conv_id", "turn", F.col("w.start").alias("window_start"))
@@ -123,8 +131,9 @@ def partial_records_sink(chunk_path: str, out_path: str):
     return write
 
 
-def run_partial_records(spark: SparkSession, source: str, schema: str, base: str, checkpoint: str) -> DataFrame:
-    s = spark.readStream.schema(schema).parquet(source)
+def run_partial_records(spark: SparkSession, source: str, schema: str, base: str, checkpoint: str,
+                        max_files: int | None = None) -> DataFrame:
+    s = _source(spark, source, schema, max_files)
     _run(s.writeStream.foreachBatch(partial_records_sink(f"{base}/chunks", f"{base}/out")), checkpoint)
     return spark.read.parquet(f"{base}/out").dropDuplicates(["list_id", "seq"]).drop("epoch")
 
@@ -132,10 +141,10 @@ def run_partial_records(spark: SparkSession, source: str, schema: str, base: str
 # --- streaming section loads --------------------------------------------------------
 
 def run_stream_load(spark: SparkSession, source: str, schema: str, store_path: str, checkpoint: str,
-                    dim: int = vx.DEFAULT_DIM) -> DataFrame:
+                    dim: int = vx.DEFAULT_DIM, max_files: int | None = None) -> DataFrame:
     """Sections arriving as files are loaded into the store by uri, insert-only; a replayed or
     repeated batch adds nothing (anti join against the store)."""
-    s = spark.readStream.schema(schema).parquet(source)
+    s = _source(spark, source, schema, max_files)
 
     def write(df: DataFrame, epoch: int):
         st.load_sections(df.sparkSession, store_path, df, dim=dim)
