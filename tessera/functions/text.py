@@ -25,6 +25,9 @@ CJK_END = "([。！？]+)\\s*"
 # a key term is an all-ASCII-lower-case token of three letters or more.
 WORD_TOKEN = r"[\p{L}\p{N}_]+"
 KEY_TERM = r"^[a-z]{3,}$"
+# The same rule as one pattern: a run of 3+ ASCII lower-case letters that is a whole word token
+# (no letter, digit or underscore right before or after it).
+KEY_TERM_IN_TEXT = r"(?<![\p{L}\p{N}_])[a-z]{3,}(?![\p{L}\p{N}_])"
 # Stopwords dropped from key terms, in the order given by the reference.
 KEY_TERM_STOPWORDS = ["the", "and", "that", "this", "with", "for", "are", "from"]
 KEY_TERM_COUNT = 5
@@ -83,8 +86,12 @@ def word_tokens(text: Column) -> Column:
 
 def key_terms(text: Column, n: int = KEY_TERM_COUNT) -> Column:
     """First ``n`` distinct ASCII key terms in order of first occurrence, stopwords dropped
-    (the text is lower-cased before tokenising, as the reference does)."""
-    toks = F.filter(word_tokens(text), lambda t: t.rlike(KEY_TERM))
+    (the text is lower-cased before tokenising, as the reference does).
+
+    Whole-token ASCII runs are extracted by one lookaround pattern (Java regex), which selects
+    exactly the word tokens that fully match ``[a-z]{3,}`` without a per-token lambda, so the
+    expression stays in generated code."""
+    toks = F.regexp_extract_all(F.lower(text), F.lit(KEY_TERM_IN_TEXT), 0)
     stop = F.array(*[F.lit(s) for s in KEY_TERM_STOPWORDS])
     return F.slice(F.array_except(toks, stop), 1, n)
 
