@@ -18,6 +18,11 @@ from .text_queries import DIM, L2, SQL_SECTIONS, _VEC, sql_embed, sql_knn
 COPY_OFFSET = 10 ** 16  # positions of repeated rows come after every original row
 
 
+def emb_sum(vec):
+    """Sum of the components rounded to 6 places; ``+ 0.0`` turns a rounded -0.0 into 0.0."""
+    return (F.round(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x), 6) + F.lit(0.0)).alias("emb_sum")
+
+
 def sections_with_doc(spark, sf):
     return fx.chunk_sections(spark, sf).withColumn(
         "doc_id", F.floor(F.col("section_id") / fx.SECTION_ID_STRIDE).cast("long"))
@@ -60,7 +65,7 @@ newrows AS (SELECT * FROM ({SQL_DEDUPED}) d WHERE NOT EXISTS (SELECT 1 FROM stor
 allrows AS (SELECT uri, title, content, embedding_content FROM store0
             UNION ALL SELECT uri, title, content, embedding_content FROM newrows),
 emb AS {sql_embed('SELECT uri, embedding_content FROM allrows', 'uri', 'embedding_content')}
-SELECT a.uri, a.title, md5(a.content) AS content_md5, round(list_sum(e.emb), 6) AS emb_sum
+SELECT a.uri, a.title, md5(a.content) AS content_md5, round(list_sum(e.emb), 6) + 0.0 AS emb_sum
 FROM allrows a JOIN emb e ON e.id = a.uri"""
 
 
@@ -71,7 +76,7 @@ def q_load_sections(spark, sf):
     st.load_sections(spark, path, batch_fixture(spark, sf), dim=DIM)
     out = spark.read.parquet(path)
     return out.select("uri", "title", F.md5("content").alias("content_md5"),
-                      F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("emb_sum"))
+                      emb_sum(F.col("embedding")))
 
 
 @register("load_collection", f"""

@@ -167,5 +167,5 @@ def q_stream_load_sections(spark, sf):
     out = ss.run_stream_load(spark, src, "uri string, title string, content string, embedding_content string, pos long",
                              store, ckpt)
     return out.select("uri", "title", F.md5("content").alias("content_md5"),
-                      F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6).alias("emb_sum"))
+                      sq.emb_sum(F.col("embedding")))
 
