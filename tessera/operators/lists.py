@@ -48,3 +48,21 @@ def global_index(df: DataFrame, order_cols: list, start: int = 1, out_col: str =
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     out = s.join(F.broadcast(offsets), "_pid")
     return out.withColumn(out_col, (F.col("_off") + F.col("_ord") + start).cast("long")).drop("_pid", "_ord", "_off")
+
+
+MAX_PROBE_BYTES = 256 * 1024 * 1024
+
+
+def probe_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
+               max_broadcast_bytes: int = MAX_PROBE_BYTES) -> DataFrame:
+    """Join a request table (usually small) to a lookup table (possibly huge).
+
+    When the distinct request keys fit ``max_broadcast_bytes`` they are broadcast and the lookup
+    table is first reduced to the matching keys by a map-side semi join, so the big side is
+    scanned and filtered but never shuffled whole; the final join then sees only the matches.
+    Above the bound it is a plain shuffle join."""
+    keys = left.select(key).distinct()
+    size = keys.agg(F.sum(F.length(F.col(key).cast("string")) + 16).alias("b")).first()["b"] or 0
+    if size <= max_broadcast_bytes:
+        right = right.join(F.broadcast(keys), key, "left_semi")
+    return left.join(right, key, how)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lists import global_index
+from .lists import global_index, probe_join
 
 MONEY = "decimal(18,2)"
 ELLIPSIS = "…"
@@ -46,7 +46,7 @@ def account_lookup(requests: DataFrame, accounts: DataFrame, id_col: str = "acco
     """Trimmed customer name per requested id; unmatched ids get ``found = false`` and a reason
     (the reference raises)."""
     a = accounts.select(id_col, F.regexp_replace("name", r"^\s+|\s+$", "").alias("name"))
-    j = requests.join(a, id_col, "left")
+    j = probe_join(requests, a, id_col)
     return j.withColumn("found", F.col("name").isNotNull()) \
             .withColumn("reject_reason", F.when(~F.col("found"), F.lit(NOT_FOUND)))
 
@@ -56,7 +56,7 @@ def account_balance(requests: DataFrame, accounts: DataFrame, id_col: str = "acc
     (a decimal of scale 2 prints exactly two places, so the text is the decimal's plain form)."""
     a = accounts.select(id_col, F.col("balance").cast(MONEY).alias("balance"),
                         F.col("pending").cast(MONEY).alias("pending"))
-    j = requests.join(a, id_col, "left")
+    j = probe_join(requests, a, id_col)
     amount = F.when(F.col("include_pending"), F.col("balance") + F.col("pending")).otherwise(F.col("balance"))
     amount = amount.cast(MONEY)
     return j.select(id_col, "include_pending", amount.alias("amount"),
@@ -102,7 +102,7 @@ def geocode_first(requests: DataFrame, gazetteer: DataFrame) -> DataFrame:
     ``use_default`` the fixed default location instead of a reject."""
     first = (gazetteer.groupBy("place")
                       .agg(F.min_by(F.struct("lat", "lng"), "match_order").alias("hit")))
-    j = requests.join(first, "place", "left")
+    j = probe_join(requests, first, "place")
     found = F.col("hit").isNotNull()
     lat = F.when(found, F.col("hit.lat")).when(F.col("use_default"), F.lit(DEFAULT_LAT))
     lng = F.when(found, F.col("hit.lng")).when(F.col("use_default"), F.lit(DEFAULT_LNG))

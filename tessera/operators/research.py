@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..functions.arrays import explode_rows
+from .lists import probe_join
 
 # fixed values: field names of the three search providers' payloads
 PROVIDER_FIELDS = {
@@ -56,9 +57,10 @@ def normalize_search_results(payloads: DataFrame, max_results: int = 5, search_c
 
 def fetch_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url") -> DataFrame:
     """Page text for each requested url (left join on url): ``found`` and ``content``."""
-    p = pages.select(F.col("url").alias(url_col), tx.html_to_text(F.col("html")).alias("content"))
-    return (urls.join(p, url_col, "left")
-                .withColumn("found", F.col("content").isNotNull()))
+    p = pages.select(F.col("url").alias(url_col), F.col("html"))
+    j = probe_join(urls, p, url_col)  # the page table is filtered to requested urls before any HTML work
+    return (j.withColumn("content", tx.html_to_text(F.col("html"))).drop("html")
+             .withColumn("found", F.col("content").isNotNull()))
 
 
 def search_pages(queries: DataFrame, pages: DataFrame, max_results: int = 5,
