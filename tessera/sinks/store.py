@@ -70,9 +70,15 @@ def plan_load(batch: DataFrame, store: DataFrame, text_col: str = "embedding_con
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The store table; an empty one when nothing was loaded yet (any other read error raises,
+    so a damaged store is never mistaken for an empty one)."""
+    from pyspark.errors import AnalysisException
+
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - the store does not exist yet
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
         return spark.createDataFrame([], "uri string, title string, content string, embedding array<double>")
 
 
