@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of DataFrames that are gone are removed from the shared folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # keyed streaming state (message upserts, debounce windows) lives in RocksDB, off the JVM heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
