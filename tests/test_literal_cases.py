@@ -202,3 +202,41 @@ def test_geocode_default_and_reject(spark):
     assert got["Paris"] == (True, "3.0,4.0", None)
     assert got["Nowhere"] == (False, "51.1,-0.1", None)
     assert got["Nowhere2"][0] is False and got["Nowhere2"][2] is not None
+
+
+def test_validate_records_reasons(spark):
+    from tessera.operators import validate as vd
+    df = spark.createDataFrame([
+        ("support", 1, '{"support_advice":"a","block_card":false,"risk":11}'),
+        ("support", 2, '{"support_advice":"a","block_card":true,"risk":3}'),
+        ("whale", 3, '{"name":"w","length":2.0,"weight":10.0}'),
+        ("whale", 4, '{"name":"w","length":2.0}'),
+        ("sql_answer", 5, '{"kind":"success","sql_query":""}'),
+        ("record", 6, '{"level":"fatal"}'),
+        ("support", 7, "not json"),
+        ("other", 8, "{}")], "record_kind string, record_id long, json string")
+    got = {r["record_id"]: (r["valid"], r["reasons"]) for r in vd.validate_records(df).collect()}
+    assert got[1] == (False, "risk_range") and got[2] == (True, "")
+    assert got[3] == (False, "weight_min_50") and got[4] == (True, "")
+    assert got[5] == (False, "sql_query_nonempty") and got[6] == (False, "level_in_domain")
+    assert got[7][0] is False and "parse" in got[7][1]
+    assert got[8] == (False, "parse")
+    ok, bad = vd.split_valid(vd.validate_records(df))
+    assert ok.count() == 2 and bad.count() == 6
+
+
+def test_scrub_allow_list(spark):
+    from tessera.operators import cleanup as cl
+    df = spark.createDataFrame([("my password", 'x token = "abc" at 10.0.0.1 password')], "source string, text string")
+    r = cl.scrub_text(df, ["source", "text"], allow=[("source", "password")]).first()
+    assert r["source"] == "my password"
+    assert r["text"] == "x [scrubbed] at [scrubbed] [scrubbed]"
+
+
+def test_corrections_in_order_with_rejects(spark):
+    from tessera.operators import cleanup as cl
+    docs = spark.createDataFrame([(1, "a##b##c")], "doc_id long, text string")
+    edits = spark.createDataFrame([(1, 1, "##", "-"), (1, 2, "-b-", "B"), (1, 3, "zzz", "q")],
+                                  "doc_id long, seq int, old string, new string")
+    r = cl.apply_corrections(docs, edits).first()
+    assert r["corrected"] == "aBc" and r["rejected"] == [3]
