@@ -35,12 +35,40 @@ def _record_rules(r: Column):
     return [("level_in_domain", r["level"].isin(*LEVELS))]
 
 
+# fixed values: limits stated for the research records
+QUERY_MAX_CHARS = 100
+GAPS_MIN, GAPS_MAX = 3, 5
+SUMMARY_MIN_WORDS = 1000
+
+
+def word_count(c: Column) -> Column:
+    """Whitespace-separated words (``len(s.split())``)."""
+    return F.size(F.array_remove(F.split(c, r"\s+", -1), ""))
+
+
+def _query_rules(r: Column):
+    return [("query_required", r["query"].isNotNull() & r["aspect"].isNotNull() & r["rationale"].isNotNull()),
+            ("query_max_100", F.length(r["query"]) <= QUERY_MAX_CHARS)]
+
+
+def _reflection_rules(r: Column):
+    return [("gaps_3_to_5", F.size(r["knowledge_gaps"]).between(GAPS_MIN, GAPS_MAX)),
+            ("covered_required", r["covered_topics"].isNotNull())]
+
+
+def _summary_rules(r: Column):
+    return [("summary_min_1000_words", word_count(r["summary"]) >= SUMMARY_MIN_WORDS)]
+
+
 # kind -> (schema, rules); the rule names are ours, the constraints are the declared ones
 KINDS = {
     "support": (S.SUPPORT_RESULT, _support_rules),
     "whale": (S.WHALE, _whale_rules),
     "sql_answer": (S.SQL_ANSWER, _answer_rules),
     "record": ("level string", _record_rules),
+    "search_query": (S.WEB_SEARCH_QUERY, _query_rules),
+    "reflection": (S.REFLECTION, _reflection_rules),
+    "final_summary": (S.FINAL_SUMMARY, _summary_rules),
 }
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import lookups as lk
+from ..functions import text as tx
 from ..operators import validate as vd
 from ..operators.records import LEVELS
-from .common import q, register, table
+from .common import q, register, sql_key_terms_table, table
+
+SQL_DOC_TERMS = sql_key_terms_table("SELECT doc_id, text FROM documents", "doc_id", "text")
 
 UNKNOWN_ID = -1
 UNKNOWN_PLACE = "Atlantis"
@@ -214,7 +217,18 @@ def validation_input(spark, sf):
     a = sql_answers(spark, sf)
     answer = a.select(F.lit("sql_answer").alias("record_kind"), F.col("event_id").alias("record_id"),
                       F.to_json(F.struct("kind", "sql_query", "explanation", "error_message")).alias("json"))
-    return support.unionByName(whale).unionByName(answer)
+    b = table(spark, sf, "benchmark")
+    query = b.select(F.lit("search_query").alias("record_kind"), F.col("item_id").alias("record_id"),
+                     F.to_json(F.struct(F.col("text").alias("query"), F.lit("general").alias("aspect"),
+                                        F.lit("from the benchmark").alias("rationale"))).alias("json"))
+    d = table(spark, sf, "documents")
+    reflection = d.select(F.lit("reflection").alias("record_kind"), F.col("doc_id").alias("record_id"),
+                          F.to_json(F.struct(tx.key_terms(F.col("text")).alias("knowledge_gaps"),
+                                             F.array(F.col("lang")).alias("covered_topics"))).alias("json"))
+    summary = d.select(F.lit("final_summary").alias("record_kind"), F.col("doc_id").alias("record_id"),
+                       F.to_json(F.struct(F.col("text").alias("summary"))).alias("json"))
+    return (support.unionByName(whale).unionByName(answer).unionByName(query)
+                   .unionByName(reflection).unionByName(summary))
 
 
 @register("validate_records", f"""
@@ -228,7 +242,18 @@ WITH r AS (
   UNION ALL
   SELECT 'sql_answer', event_id, NULL, NULL, NULL, NULL, NULL,
          CASE WHEN kind = 'success' AND NOT coalesce(length(sql_query) >= 1, false) THEN 'sql_query_nonempty' END,
-         NULL FROM {SQL_ANSWERS})
+         NULL FROM {SQL_ANSWERS}
+  UNION ALL
+  SELECT 'search_query', item_id, CASE WHEN length(text) > 100 THEN 'query_max_100' END,
+         NULL, NULL, NULL, NULL, NULL, NULL FROM benchmark
+  UNION ALL
+  SELECT 'reflection', id, CASE WHEN len(kt) BETWEEN 3 AND 5 THEN NULL ELSE 'gaps_3_to_5' END,
+         NULL, NULL, NULL, NULL, NULL, NULL FROM {SQL_DOC_TERMS}
+  UNION ALL
+  SELECT 'final_summary', doc_id,
+         CASE WHEN len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) >= 1000 THEN NULL
+              ELSE 'summary_min_1000_words' END,
+         NULL, NULL, NULL, NULL, NULL, NULL FROM documents)
 SELECT record_kind, record_id, concat_ws(',', r1, r2, r3, r4, r5, r6, r7) = '' AS valid,
        concat_ws(',', r1, r2, r3, r4, r5, r6, r7) AS reasons FROM r""")
 def q_validate_records(spark, sf):

@@ -24,5 +24,8 @@ PLAN = (f"user_query string, query_type string, approach_summary string, "
 WHALE = "name string, length double, weight double, ocean string, description string"
 SUPPORT_RESULT = "support_advice string, block_card boolean, risk int"
 SQL_ANSWER = "kind string, sql_query string, explanation string, error_message string"
+WEB_SEARCH_QUERY = "query string, aspect string, rationale string"
+REFLECTION = "knowledge_gaps array<string>, covered_topics array<string>"
+FINAL_SUMMARY = "summary string"
 WEATHER_OBSERVATION = "temperature double, weather_code int"
 EDIT = "doc_id long, seq int, old string, new string"
