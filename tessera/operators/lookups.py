@@ -53,15 +53,17 @@ def account_lookup(requests: DataFrame, accounts: DataFrame, id_col: str = "acco
 
 def account_balance(requests: DataFrame, accounts: DataFrame, id_col: str = "account_number") -> DataFrame:
     """Balance (plus pending when ``include_pending``) as decimal(18,2) and as ``$%.2f`` text
-    (a decimal of scale 2 prints exactly two places, so the text is the decimal's plain form)."""
+    (a decimal of scale 2 prints exactly two places, so the text is the decimal's plain form).
+    A missing pending amount, which the reference cannot add, gives a reject reason."""
     a = accounts.select(id_col, F.col("balance").cast(MONEY).alias("balance"),
                         F.col("pending").cast(MONEY).alias("pending"))
     j = probe_join(requests, a, id_col)
     amount = F.when(F.col("include_pending"), F.col("balance") + F.col("pending")).otherwise(F.col("balance"))
     amount = amount.cast(MONEY)
+    reason = (F.when(F.col("balance").isNull(), F.lit(NOT_FOUND))
+               .when(F.col("include_pending") & F.col("pending").isNull(), F.lit("pending missing")))
     return j.select(id_col, "include_pending", amount.alias("amount"),
-                    F.concat(F.lit("$"), amount.cast("string")).alias("amount_text"),
-                    F.when(F.col("balance").isNull(), F.lit(NOT_FOUND)).alias("reject_reason"))
+                    F.concat(F.lit("$"), amount.cast("string")).alias("amount_text"), reason.alias("reject_reason"))
 
 
 def _shown(c: Column, number: bool) -> Column:
