@@ -6,7 +6,7 @@ Exact batch kNN plan
 The query batch is the small side.  Its size is checked (rows x dim x 8 bytes)
 against ``max_broadcast_bytes``; within the bound it is shipped to every
 executor once as a broadcast variable.  The corpus is scanned with
-``mapInPandas`` (only id + vector columns are read), each task computes the
+``mapInArrow`` (only id + vector columns are read), each task computes the
 distance block with one matrix product per Arrow batch and keeps, per query,
 only its local top-k.  What is shuffled is therefore ``queries x k x tasks``
 rows, independent of the corpus size; a final ``row_number() <= k`` per query
@@ -23,7 +23,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +54,26 @@ def _topk_columns(r: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return part
 
 
+def _batch_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, vectors as a rows x dim matrix) straight from the Arrow buffers."""
+    ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    v = batch.column(1)
+    n = len(batch)
+    lens = pc.list_value_length(v).to_numpy(zero_copy_only=False)
+    if n and (lens == lens[0]).all():
+        X = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, int(lens[0]))
+    else:
+        X = np.vstack([np.asarray(x, dtype=np.float64) for x in v.to_pylist()]) if n else np.empty((0, 0))
+    return ids, X
+
+
+def _out_batch(qids, best_r, best_id, id_name: str):
+    qcol = np.broadcast_to(np.asarray(qids, dtype=np.int64)[None, :], best_r.shape)
+    keep = best_r != _EXCLUDED
+    return pa.RecordBatch.from_arrays([pa.array(qcol[keep]), pa.array(best_id[keep]), pa.array(best_r[keep])],
+                                      names=["query_id", id_name, "r"])
+
+
 def _partition_topk(bc, k: int, metric: str, id_name: str):
     def run(batches):
         qids, Q = bc.value
@@ -65,12 +86,11 @@ def _partition_topk(bc, k: int, metric: str, id_name: str):
         best_r = np.empty((0, nq), dtype=np.int64)
         best_id = np.empty((0, nq), dtype=np.int64)
         step = max(1, _CELLS // max(nq, 1))
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if len(batch) == 0:
                 continue
-            all_ids = pdf["id"].to_numpy(dtype=np.int64)
-            all_X = np.vstack(pdf["v"].to_numpy()).astype(np.float64)
-            for s in range(0, len(pdf), step):
+            all_ids, all_X = _batch_arrays(batch)
+            for s in range(0, len(batch), step):
                 ids, X = all_ids[s:s + step], all_X[s:s + step]
                 if metric == "cosine":
                     xn = np.linalg.norm(X, axis=1)
@@ -88,9 +108,7 @@ def _partition_topk(bc, k: int, metric: str, id_name: str):
                 best_id = np.take_along_axis(cand_id, part, 0)
         if best_r.shape[0] == 0:
             return
-        qcol = np.broadcast_to(np.asarray(qids, dtype=np.int64)[None, :], best_r.shape)
-        keep = best_r != _EXCLUDED
-        yield pd.DataFrame({"query_id": qcol[keep], id_name: best_id[keep], "r": best_r[keep]})
+        yield _out_batch(qids, best_r, best_id, id_name)
 
     return run
 
@@ -156,7 +174,7 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
             continue
         bc = spark.sparkContext.broadcast(
             ([r["qid"] for r in rows], np.array([r["qv"] for r in rows], dtype=np.float64)))
-        parts.append(c.mapInPandas(_partition_topk(bc, k, metric, id_col), out_schema))
+        parts.append(c.mapInArrow(_partition_topk(bc, k, metric, id_col), out_schema))
     local = parts[0]
     for p in parts[1:]:
         local = local.unionByName(p)
@@ -196,11 +214,10 @@ def _partition_ivf(bc, k: int, id_name: str):
             by_cell[int(c)] = np.nonzero((probes == c).any(1))[0]
         best_r = np.full((k, nq), _EXCLUDED, dtype=np.int64)
         best_id = np.full((k, nq), -1, dtype=np.int64)
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if len(batch) == 0:
                 continue
-            ids = pdf["id"].to_numpy(dtype=np.int64)
-            X = np.vstack(pdf["v"].to_numpy()).astype(np.float64)
+            ids, X = _batch_arrays(batch)
             cells = _nearest_cells(X, C, csq)
             for c in np.unique(cells):
                 qi = by_cell.get(int(c))
@@ -215,10 +232,8 @@ def _partition_ivf(bc, k: int, id_name: str):
                 part = _topk_columns(cand_r, cand_id, k)
                 best_r[:, qi] = np.take_along_axis(cand_r, part, 0)
                 best_id[:, qi] = np.take_along_axis(cand_id, part, 0)
-        qcol = np.broadcast_to(np.asarray(qids, dtype=np.int64)[None, :], best_r.shape)
-        keep = best_r != _EXCLUDED
-        if keep.any():
-            yield pd.DataFrame({"query_id": qcol[keep], id_name: best_id[keep], "r": best_r[keep]})
+        if (best_r != _EXCLUDED).any():
+            yield _out_batch(qids, best_r, best_id, id_name)
 
     return run
 
@@ -271,7 +286,7 @@ def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cell
         d2 = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * (Q @ C.T)
         probes = np.argsort(d2, axis=1)[:, :min(n_probe, cells)]
         bc = spark.sparkContext.broadcast(([r["qid"] for r in rows], Q, probes, C))
-        parts.append(scan.mapInPandas(_partition_ivf(bc, k, id_col), out_schema))
+        parts.append(scan.mapInArrow(_partition_ivf(bc, k, id_col), out_schema))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
     local = parts[0]
