@@ -61,7 +61,7 @@ _SHIPPED: set[int] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Distribute this package to the executors once per SparkContext (``addPyFile`` of a zip),
-    so UDFs and ``mapInPandas`` functions resolve wherever the driver was started from."""
+    so UDFs and ``mapInArrow`` functions resolve wherever the driver was started from."""
     import zipfile
 
     sc = spark.sparkContext

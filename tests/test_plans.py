@@ -36,7 +36,7 @@ def test_chunking_is_narrow(spark):
 
 def test_knn_limits_before_the_shuffle(spark):
     p = plan(QUERIES["knn_l2"](spark, SF), "simple")
-    assert "MapInPandas" in p
+    assert "MapInArrow" in p
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
