@@ -134,12 +134,21 @@ def _query_shape(q: DataFrame) -> tuple[int, int]:
     return nq, int(first[0]["d"]) if first and first[0]["d"] is not None else 0
 
 
+MIN_SCAN_TASKS = 200
+
+
 def _bounded_tasks(df: DataFrame, per_core: int = 2) -> DataFrame:
     """Each corpus task emits ``queries x k`` rows, so the shuffle grows with the number of
-    tasks, not with the corpus.  Merge input splits (no shuffle) down to a few tasks per core."""
+    tasks, not with the corpus.  Merge input splits (no shuffle) down to a few tasks per core,
+    but never below the shuffle width or ``MIN_SCAN_TASKS``: with dynamic allocation the core
+    count seen when the plan is built can be tiny, and a huge corpus must not be squeezed into a
+    handful of tasks."""
+    spark = df.sparkSession
+    cap = max(spark.sparkContext.defaultParallelism * per_core,
+              int(spark.conf.get("spark.sql.shuffle.partitions")), MIN_SCAN_TASKS)
     # coalesce never adds partitions, so no partition count is needed (asking for one would make
     # adaptive execution run the upstream stages early)
-    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism * per_core)
+    return df.coalesce(cap)
 
 
 def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",
