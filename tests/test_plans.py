@@ -6,12 +6,14 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans import load_all
 from tessera.plans import fixtures as fx
 from tessera.plans import store_queries as sq
 from tessera.sinks import store as st
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
+LIBRARY, LIBRARY_SQL = load_all()
+QUERIES = {k: v for k, v in E.queries().items() if k in LIBRARY}
 
 
 def plan(df, mode="formatted"):
