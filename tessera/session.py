@@ -29,6 +29,8 @@ DEFAULT_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
@@ -51,6 +53,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the operators rely on to an existing session, and make
     the package importable in the executors' Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # rows can hold long texts: Arrow batches are bounded by bytes, not only by rows
+    if not spark.sparkContext.getConf().contains(ARROW_BYTES):
+        spark.conf.set(ARROW_BYTES, "8m")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
