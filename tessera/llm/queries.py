@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import fold_of
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -23,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _held_out(doc_id: str, folds: int, fold: int):
+    return F.coalesce(fold_of(doc_id, folds) == fold, F.lit(False)).alias("held_out")
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL_WORDS = (r"regexp_extract_all(translate(coalesce({}, ''), '" + UPPER + "', '" + LOWER + "'), "
              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -54,3 +60,73 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op5_line_dedup", sql=f"""
+WITH l AS (
+  SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                    '{UPPER}', '{LOWER}') AS k
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+f AS (SELECT k, max(doc_id) AS last_doc FROM l WHERE length(k) >= 40
+      GROUP BY k HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*)::BIGINT AS n_lines,
+       count(*) FILTER (last_doc IS NOT NULL AND doc_id <> last_doc)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last_doc IS NULL OR doc_id = last_doc), ''))
+         AS kept_sha256
+FROM l LEFT JOIN f USING (k) GROUP BY doc_id
+""")
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand in five documents or more."""
+    from .line_dedup import dedup_lines
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = dedup_lines(spark, docs, lines=True)
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@register("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template spans of every document."""
+    from .license_scan import scan
+    out = scan(table(spark, sf_dir, "documents"))
+    names = lambda *c: F.array_join(F.array_sort(F.array_distinct(F.concat(*c))), ",")
+    return out.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.start").alias("first_word"), F.array_max("places.start").alias("last_word"),
+        names("places.label").alias("base_labels"), names("places.label", "spans.label").alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("spans.share"), F.lit(0.0)))
+         .alias("score"))
+
+
+@register("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those outside the held-out fold."""
+    from . import language_id as li
+    docs = table(spark, sf_dir, "documents")
+    profiles = li.fit(docs.where(fold_of("doc_id", 5) != 0))
+    return li.predict(docs, profiles).select("doc_id", _held_out("doc_id", 5, 0),
+                                             "lang_pred", "score")
+
+
+def _learned(spark, sf_dir, module, label: str, threshold: float) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = (table(spark, sf_dir, "labels").where(fold_of("doc_id", 4) != 2)
+              .select("doc_id", F.col(label).alias("label")))
+    scored = module.score(docs, module.fit(docs, labels))
+    return scored.select("doc_id", _held_out("doc_id", 4, 2), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@register("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    from . import quality
+    return _learned(spark, sf_dir, quality, "quality", 0.7)
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    from . import toxicity
+    return _learned(spark, sf_dir, toxicity, "toxic", 0.3)

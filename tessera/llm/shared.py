@@ -29,3 +29,17 @@ def fold_of(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id's text, modulo ``folds`` (null id: null)."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str)
                           else doc_id.cast("string").cast("binary")), F.lit(folds))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
+    """``label, text`` of at most ``per_class`` labelled documents of each class (0 and 1): those
+    with the smallest hash of their id, so the sample is the same on every run."""
+    lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+           .where("label IN (0, 1) AND doc_id IS NOT NULL"))
+    chosen = None
+    for y in (0, 1):
+        part = lab.where(F.col("label") == y).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        chosen = part if chosen is None else chosen.unionAll(part)
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # two rows per label and id at most take part, so the ids to look for are bounded by per_class
+    return text.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("label", "text")
