@@ -130,3 +130,50 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document."""
     from . import toxicity
     return _learned(spark, sf_dir, toxicity, "toxic", 0.3)
+
+
+@register("op3_vector_search", sql="""
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors of highest integer inner product for every hundredth vector."""
+    from .vector_search import top_k
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(spark, vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@register("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 4096 tokens."""
+    from .packing import pack
+    from .tokens import vocabulary
+    out = pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                      "offset")
+
+
+@register("op10_near_duplicates")
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of equal word sequences and the near-duplicate group of every document."""
+    from .near_dup import near_duplicates
+    out = near_duplicates(spark, table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "group_id", "n_links")
+
+
+@register("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its personal data are masked by edits."""
+    import public_tokenizers
+
+    from . import token_counts as tc
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    trees = tc.build(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return (tc.apply_edits(tc.masking_edits(trees), path, public_tokenizers.PATTERN)
+            .select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_encoded"))
