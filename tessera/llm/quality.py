@@ -1,8 +1,9 @@
 """Quality scores from supervised subword embeddings.
 
 A document's features are its words (runs without ASCII white space, in their own case) and the
-character n-grams of the words, hashed into ``BUCKETS``.  Every bucket has a learned vector; a
-document is the mean of its features' vectors, and a softmax layer on that mean gives the class
+character n-grams of the words, hashed into ``BUCKETS``; a word that repeats the one before it also
+gives ``REPEAT`` times the feature "repeated", in a bucket of its own.  Every bucket has a learned
+vector; a document is the mean of its features' vectors, and a softmax layer on that mean gives the class
 probabilities.  Vectors and layer are trained together by stochastic gradient descent in numpy.
 
 ``fit`` uses at most ``per_class`` labelled documents of each class, those with the smallest hash
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from . import blocks as B
 from .shared import labelled_sample
 
-BUCKETS, DIM, SIZES = 1 << 17, 16, (3, 4, 5)
+BUCKETS, DIM, SIZES, REPEAT = 1 << 17, 16, (3, 4, 5), 8
 PER_CLASS, EPOCHS, RATE, SEED = 2000, 12, 0.6, 11
 
 
@@ -58,6 +59,12 @@ def _block_words(data, off):
     return B.words(data, off, B.SOLID_BYTE, lower=False)
 
 
+def _repeats(code, row, n_rows: int) -> np.ndarray:
+    """The "repeated" features of each row."""
+    again = (code[1:] == code[:-1]) & (row[1:] == row[:-1])
+    return REPEAT * np.bincount(row[1:][again], minlength=n_rows)
+
+
 def features(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``label, ids, counts``: each document's distinct buckets and how often each occurs."""
     schema = pa.schema([("label", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
@@ -69,10 +76,13 @@ def features(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         word, bucket = word[order], bucket[order]
         at = np.searchsorted(word, np.arange(len(vocab) + 1))
         starts = B.row_starts(row, rows.num_rows)
+        repeats = _repeats(code, row, rows.num_rows)
         ids, counts = [], []
         for i in range(rows.num_rows):
             c = code[starts[i]:starts[i + 1]]
             b, n = np.unique(bucket[B.ragged(at[c], at[c + 1] - at[c])], return_counts=True)
+            if repeats[i]:
+                b, n = np.append(b, buckets), np.append(n, repeats[i])
             ids.append(b.astype(np.uint32).tobytes())
             counts.append(n.astype(np.float32).tobytes())
         return B.batch_of(schema, rows.column("label"), ids, counts)
@@ -82,7 +92,8 @@ def features(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
 @dataclass
 class Model:
-    """Per bucket the vector times the layer, one column per class, and the bias."""
+    """Per bucket (the last: repeated words) the vector times the layer, one column per class, and
+    the bias."""
 
     table: np.ndarray
     bias: np.ndarray
@@ -92,7 +103,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], buckets: int = BUCKETS
           epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:
     """Stochastic gradient descent over (label, buckets, counts) rows, one document at a time."""
     rng = np.random.default_rng(seed)
-    e = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
+    e = rng.uniform(-1 / dim, 1 / dim, (buckets + 1, dim)).astype(np.float32)
     w, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
     rows = [(y, i, c / c.sum()) for y, i, c in rows if len(i)]
     step, total = 0, epochs * len(rows)
@@ -129,7 +140,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` (the probability of label 1) for every row of ``docs(doc_id, text)``."""
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
     margin = (model.table[:, 1] - model.table[:, 0]).astype(np.float64)
-    bias, buckets = float(model.bias[1] - model.bias[0]), len(margin)
+    bias, buckets = float(model.bias[1] - model.bias[0]), len(margin) - 1
     sent = docs.sparkSession.sparkContext.broadcast(margin.astype(np.float32))
 
     def one(rows, data, off):
@@ -140,6 +151,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         n = rows.num_rows
         total = np.bincount(row, by_word[code], n) if len(code) else np.zeros(n)
         count = np.bincount(row, size[code], n) if len(code) else np.zeros(n)
+        repeats = _repeats(code, row, n)
+        total, count = total + repeats * sent.value[buckets], count + repeats
         z = bias + total / np.maximum(count, 1)
         return B.batch_of(schema, rows.column("doc_id"), 1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
