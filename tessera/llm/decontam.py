@@ -336,3 +336,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     """Index ``docs``, look up every window of ``benchmark`` and judge each document."""
     index = build_index(docs, fresh_path(scratch_dir(spark, "decontam")))
     return judge(index, phrase_matches(index, benchmark))
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs``, all columns, without contaminated rows; rows are told apart by doc_id and text, so
+    one that repeats a doc_id with another text is judged by its own text."""
+    row = F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))
+    found = decontaminate(spark, docs.select(row.alias("doc_id"), "text"), benchmark)
+    gone = found.where("contaminated").select(F.col("doc_id").alias("__row")).distinct()
+    return docs.join(gone, row == F.col("__row"), "left_anti")

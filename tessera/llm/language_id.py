@@ -192,3 +192,18 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(B.per_block(one, max_bytes=BLOCK_BYTES), "doc_id long, lang_pred string, score double")
+
+
+def keep_recognised(docs: DataFrame, profiles: Profiles, min_score: float = 0.05) -> DataFrame:
+    """``docs``, all columns, without the rows that are rejected: null texts, texts without a letter,
+    and texts whose best cosine is below ``min_score``."""
+    sent = docs.sparkSession.sparkContext.broadcast(profiles)
+
+    def one(rows, data, off):
+        p = sent.value
+        v, has = encode(data, off, p.dim, p.order)
+        if p.langs:
+            has &= (_unit(v) @ p.prototypes.T).max(1) >= min_score
+        return rows.filter(pa.array(has))
+
+    return docs.mapInArrow(B.per_block(one, max_bytes=BLOCK_BYTES), docs.schema)
