@@ -194,9 +194,10 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
         .mapInArrow(B.per_block(one, max_bytes=BLOCK_BYTES), "doc_id long, lang_pred string, score double")
 
 
-def keep_recognised(docs: DataFrame, profiles: Profiles, min_score: float = 0.05) -> DataFrame:
+def keep_recognised(docs: DataFrame, profiles: Profiles, min_score: float = -1.0) -> DataFrame:
     """``docs``, all columns, without the rows that are rejected: null texts, texts without a letter,
-    and texts whose best cosine is below ``min_score``."""
+    and texts whose best cosine is below ``min_score``.  By default none goes for its cosine: a text of
+    one or two words can have any."""
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def one(rows, data, off):
