@@ -10,14 +10,17 @@ texts: a link is a weighted Jaccard similarity of at least ``THRESHOLD``.
 
 Texts with the same words in the same order form a *class* (texts without any word: equal texts);
 only one text of each class is sampled and compared, so copies make no pairs.  A *group* is a
-connected component of classes over links.  Pairs are taken in two rounds: first every text of a
-bucket with the bucket's first; then, of buckets whose texts still lie in several groups, the
-pairs between groups.  Pairs inside one group are not needed, so a bucket of many near copies
-makes a number of pairs in proportion to its size, and no link between groups is left out.
+connected component of classes over links.  Pairs are taken in rounds: first every text of a
+bucket with the bucket's first; then, of buckets whose texts still lie in several groups, the pairs
+between groups, the most alike first.  Pairs inside one group are not needed, so a bucket of many
+near copies makes few pairs, and no link between groups is left out.
 
 At similarity 0.8 a pair shares no bucket with probability (1 - 0.8 ** 4) ** 16 = 0.0002.  In the
-second round pairs whose samples agree in fewer than ``MIN_AGREE`` places (0.8 is more than five
-standard deviations away) or whose weights alone exclude the threshold are passed over.
+later rounds pairs are passed over whose samples agree in fewer than 40 of 64 places (at 0.8 that
+is 3.5 standard deviations away: 0.0004), or whose weights exclude the threshold: two texts share
+at most the weight of either, and in buckets of more than ``CROWDED`` texts at most what is left
+without the shingles that no other text of such buckets has.  So a crowd of texts that are alike
+but below the threshold makes few pairs.
 
 Rows with a null doc_id or a null text take no part: they are returned with a null class and
 group.  Rows that repeat a doc_id with another text count by their own text; repeated rows get
@@ -39,7 +42,7 @@ from . import blocks as B
 from .shared import fresh_path, read_back, stored
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 16, 4
-MIN_AGREE = 32
+AGREE_LEVELS, CROWDED = (56, 48, 40), 16
 DF_BUCKETS, DF_CHUNK = 1 << 20, 1 << 12
 TABLE_BITS = 16
 BLOCK_BYTES = 1 << 20
@@ -119,7 +122,8 @@ def _add_counts(batches):
 
 
 def document_weights(parts: DataFrame) -> np.ndarray:
-    """The inverse document frequency of every bucket: 1 + ln((1 + documents) / (1 + holding it))."""
+    """The inverse document frequency of every bucket, 1 + ln((1 + n) / (1 + df)) / ln(1 + n): from 1
+    (in all documents) to 2, so that a shingle of a large group of copies still counts for them."""
     n = parts.where("key IS NOT NULL").count()
     chunks = (parts.where("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk")
               .mapInArrow(_add_counts, "chunk int, counts binary").toArrow())
@@ -127,7 +131,7 @@ def document_weights(parts: DataFrame) -> np.ndarray:
     for c, blob in zip(chunks["chunk"].to_pylist(), chunks["counts"].to_pylist(), strict=True):
         df[c] = np.frombuffer(blob, np.int64)
     # several shingles of a text may share a bucket, so a count can pass the number of documents
-    return (1 + np.log((1 + n) / (1 + np.minimum(df.ravel(), n)))).astype(np.float32)
+    return (1 + np.log((1 + n) / (1 + np.minimum(df.ravel(), n))) / np.log(1 + max(n, 1))).astype(np.float32)
 
 
 @cache
@@ -245,17 +249,69 @@ def components(links: DataFrame, base: str) -> DataFrame:
             return labels
 
 
+def _texts(keys: DataFrame, docs: DataFrame, reps: DataFrame, base: str) -> DataFrame:
+    """``key, text``: one whole text of each class."""
+    ids = reps.join(keys, "key", "left_semi").select("key", "doc_id", "body")
+    return stored(docs.join(ids, ["doc_id", "body"]).select("key", "text"), base)
+
+
+def _weighted(idf):
+    schema = pa.schema([("key", pa.binary()), ("shingle", pa.int64()), ("weight", pa.float64())])
+
+    def one(rows, data, off):
+        _, first, hashes, counts = shingles(data, off)
+        owner = np.repeat(np.arange(rows.num_rows), np.diff(first))
+        return B.batch_of(schema, rows.column("key").take(pa.array(owner)), hashes.view(np.int64),
+                          idf.value[_df_bucket(hashes)].astype(np.float64) * counts)
+    return B.per_block(one, max_bytes=BLOCK_BYTES)
+
+
+def _own_weight(keys: DataFrame, docs: DataFrame, reps: DataFrame, idf, base: str) -> DataFrame:
+    """``key, own``: the weight of each text's shingles that none of the other given texts has."""
+    texts = _texts(keys, docs, reps, base).dropDuplicates(["key"])
+    return (texts.mapInArrow(_weighted(idf), "key binary, shingle long, weight double").groupBy("shingle")
+            .agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("weight").alias("weight")).where("n = 1")
+            .groupBy("key").agg(F.sum("weight").alias("own")))
+
+
 def _checked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, idf, base: str) -> DataFrame:
     """``a, b, similarity`` of every pair of keys, computed on one whole text of each class."""
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    ids = reps.join(wanted, "key", "left_semi").select("key", "doc_id", "body")
-    texts = stored(docs.join(ids, ["doc_id", "body"]).select("key", "text"), base)
+    texts = _texts(wanted, docs, reps, base)
     both = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b"))
     return stored(both.mapInArrow(_verify(idf), "a binary, b binary, similarity double"), base)
 
 
+def _mixed(shared: DataFrame, labels: DataFrame, base: str) -> DataFrame:
+    """``bucket, key, label, crowded`` of the buckets whose texts lie in several groups."""
+    grouped = shared.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
+    several = (grouped.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                             F.count("*").alias("n")).where("lo <> hi AND n > 2"))
+    return stored(grouped.join(several.select("bucket", (F.col("n") > CROWDED).alias("crowded")), "bucket"), base)
+
+
+def _between(mixed: DataFrame, own: DataFrame, signed: DataFrame, threshold: float, level: int,
+             base: str) -> DataFrame:
+    """``a, b``: pairs of different groups that share a bucket and may reach the threshold."""
+    loose = threshold * 0.999  # bounds allow for rounding
+    most = F.col("weight") - F.when(F.col("crowded"), F.coalesce("own", F.lit(0.0))).otherwise(0.0)
+    side = stored(mixed.join(signed.select("key", "weight", "samples", "buckets"), "key").join(own, "key", "left")
+                  .select("bucket", "key", "label", "weight", "samples", "buckets", most.alias("most"))
+                  .where(F.col("most") >= loose * F.col("weight")), base)
+    shared_most = F.least("x.most", "y.most")
+    x, y = side.alias("x"), side.alias("y")
+    agree = F.aggregate(F.zip_with("x.samples", "y.samples", lambda p, q: (p == q).cast("int")), F.lit(0),
+                        lambda s, v: s + v)
+    first = F.array_min(F.array_intersect("x.buckets", "y.buckets"))  # a pair comes from one bucket only
+    return (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") < F.col("y.key"))
+                   & (F.col("x.label") != F.col("y.label"))
+                   & (shared_most >= loose * (F.col("x.weight") + F.col("y.weight") - shared_most))
+                   & (agree >= level) & (first == F.col("x.bucket")))
+            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, body, class_id, group_id, n_links`` for every row of ``docs(doc_id, text)``.
 
@@ -287,25 +343,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     links = checked.where(F.col("similarity") >= threshold)
     labels = components(links, base)
 
-    # buckets whose texts lie in several groups: the pairs between groups that were not compared yet
-    grouped = shared.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
-    mixed = (grouped.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                           F.count("*").alias("n")).where("lo <> hi AND n > 2"))
-    side = stored(grouped.join(mixed.select("bucket"), "bucket")
-                  .join(signed.select("key", "weight", "samples"), "key"), base)
-    x, y = side.alias("x"), side.alias("y")
-    agree = F.aggregate(F.zip_with("x.samples", "y.samples", lambda p, q: (p == q).cast("int")), F.lit(0),
-                        lambda s, v: s + v)
-    rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") < F.col("y.key"))
-                   & (F.col("x.label") != F.col("y.label"))
-                   & (F.least("x.weight", "y.weight") >= threshold * 0.999 * F.greatest("x.weight", "y.weight"))
-                   & (agree >= MIN_AGREE))
-            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
-    rest = stored(rest.join(star, ["a", "b"], "left_anti"), base)
-    if rest.limit(1).count():
-        more = _checked(rest, whole, reps, idf, base).where(F.col("similarity") >= threshold)
-        links = stored(links.unionByName(more), base)
-        labels = components(links, base)
+    # buckets whose texts still lie in several groups: the pairs between groups not compared yet,
+    # the most alike first, as they join groups and so spare others
+    done, own = star, None
+    for level in AGREE_LEVELS:
+        mixed = _mixed(shared, labels, base)
+        if own is None:  # later rounds have fewer texts, for which these weights are still a bound
+            own = stored(_own_weight(mixed.where("crowded").select("key").distinct(), whole, reps, idf, base), base)
+        rest = stored(_between(mixed, own, signed, threshold, level, base).join(done, ["a", "b"], "left_anti"), base)
+        if rest.limit(1).count():
+            done = done.unionByName(rest)
+            more = _checked(rest, whole, reps, idf, base).where(F.col("similarity") >= threshold)
+            links = stored(links.unionByName(more), base)
+            labels = components(links, base)
 
     groups = reps.join(labels, "key", "left").select("key", "doc_id", F.coalesce("label", "key").alias("label"))
     smallest = groups.groupBy("label").agg(F.min("doc_id").alias("group_id"))
