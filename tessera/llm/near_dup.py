@@ -249,6 +249,18 @@ def components(links: DataFrame, base: str) -> DataFrame:
             return labels
 
 
+def _joined(labels: DataFrame, links: DataFrame, base: str) -> DataFrame:
+    """``labels`` after new links: only the distinct pairs of labels that they join are followed."""
+    of = lambda c: labels.select(F.col("key").alias(c), F.col("label").alias(f"label_{c}"))
+    pairs = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+             .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+             .where("a <> b").distinct())
+    merged = components(pairs, base).select(F.col("key").alias("label"), F.col("label").alias("top"))
+    alone = merged.select(F.col("label").alias("key"), "label").join(labels, "key", "left_anti")
+    return stored(labels.unionByName(alone).join(merged, "label", "left")
+                  .select("key", F.coalesce("top", "label").alias("label")), base)
+
+
 def _texts(keys: DataFrame, docs: DataFrame, reps: DataFrame, base: str) -> DataFrame:
     """``key, text``: one whole text of each class."""
     ids = reps.join(keys, "key", "left_semi").select("key", "doc_id", "body")
@@ -354,8 +366,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
         if rest.limit(1).count():
             done = done.unionByName(rest)
             more = _checked(rest, whole, reps, idf, base).where(F.col("similarity") >= threshold)
-            links = stored(links.unionByName(more), base)
-            labels = components(links, base)
+            links = links.unionByName(more)
+            labels = _joined(labels, more, base)
 
     groups = reps.join(labels, "key", "left").select("key", "doc_id", F.coalesce("label", "key").alias("label"))
     smallest = groups.groupBy("label").agg(F.min("doc_id").alias("group_id"))
