@@ -141,7 +141,7 @@ class Scanner:
         self.ids = {w: i + 1 for i, w in enumerate(vocab)}
         at = B.row_starts(row, len(texts))
         seqs = [(code[at[i]:at[i + 1]] + 1).tolist() for i in range(len(texts))]
-        self.base_labels, self.labels = [b for _, b in base], [b for _, b in templates]
+        self.base_labels, self.labels = [b for _, b in base], [b for b, _ in templates]
         self.sizes = [len(s) for s in seqs[len(base):]]
         self.automaton = Automaton(seqs)
         n = len(vocab) + 1

@@ -68,6 +68,13 @@ class Model:
     factors: np.ndarray
 
 
+def logit(model: Model, ids: np.ndarray) -> float:
+    """The model's sum for one document's distinct buckets."""
+    x, v = model.value[ids], model.factors[ids]
+    s = x @ v
+    return float(model.bias + x @ model.weight[ids] + 0.5 * ((s * s).sum() - ((x * x) @ (v * v)).sum()))
+
+
 def train(rows: list[tuple[int, np.ndarray]], share: float | None = None, buckets: int = BUCKETS, rank: int = RANK,
           epochs: int = EPOCHS, l1: float = L1, step: float = STEP, min_docs: int = MIN_DOCS,
           seed: int = SEED) -> Model:

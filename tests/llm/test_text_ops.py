@@ -143,24 +143,20 @@ def test_base_phrases_as_by_brute_force(make_docs, odd_rows):
              "Licensed under the Apache License, Version 2.0", "Licensed under an Apache License, Version 2.0",
              "écc by", "x " * 40_000 + "cc by"]
     rows = odd_rows + [(100 + i, t, "en") for i, t in enumerate(texts)]
-    got = by_id(license_scan.scan(make_docs(rows)).collect(), "n_words", "places", "spans")
+    got = {}
+    for r in license_scan.scan(make_docs(rows)).collect():
+        got.setdefault(r["doc_id"], []).append(r)
     for i, t, _ in rows:
         w, places = words(t), []
         for phrase, label in license_scan.BASE:
             p = phrase.split()
             places += [(label, s) for s in range(len(w)) if w[s:s + len(p)] == p]
-        assert (len(w), sorted(places)) in {(n, sorted((x["label"], x["start"]) for x in pl)) for n, pl, _ in
-                                            [tuple(g) for g in got_rows(got, i)]}
-    spans = {i: {s["label"] for _, _, sp in got_rows(got, i) for s in sp} for i in (105, 106, 107)}
+        assert (len(w), sorted(places)) in [(r["n_words"], sorted(map(tuple, r["places"]))) for r in got[i]]
+    spans = {i: {s["label"] for r in got[i] for s in r["spans"]} for i in (105, 106, 107)}
     assert spans[105] == {"cc-by-nc"} and spans[106] == {"apache-2.0"} and "apache-2.0" in spans[107]
     assert license_scan.scan(make_docs([])).count() == 0
 
 
-def got_rows(got, i):
-    return [(n, list(p), list(s)) for n, p, s in got[i]]
-
-
-
 # learned operators
 
 def test_language_of_held_out_texts(spark, make_docs, odd_rows):
@@ -209,18 +205,24 @@ def test_learned_scores(spark, make_docs, odd_rows, module):
 
 
 def test_pairs_of_terms_count():
-    """An insult with a mention of a group is label 1, either alone is not."""
+    """Two terms whose linear weights are the same in both rows differ by their factors alone."""
+    factors = np.zeros((4, 2), np.float32)
+    factors[1], factors[2], factors[3] = [2, 0], [2, 0], [-2, 0]
+    model = toxicity.Model(-3.0, np.ones(4, np.float32), np.array([0, .5, .5, .5], np.float32), factors)
+    z = lambda ids: toxicity.logit(model, np.array(ids))
+    assert z([1]) == z([2]) == z([3]) == -2.5
+    assert z([1, 2]) == 2.0 and z([1, 3]) == -6.0
+
+
+def test_factors_are_learned():
+    """An insult beside a mention of a group is label 1, either alone is not."""
     rng = np.random.default_rng(0)
     rows = []
-    for i in range(600):
+    for i in range(800):
         a, b = i % 2, (i // 2) % 2
-        ids = np.unique(np.concatenate([rng.integers(10, 400, 6), [1] * a, [2] * b]).astype(np.int64))
-        rows.append((a & b, ids))
-    m = toxicity.train(rows, buckets=512, epochs=30, l1=0.1, min_docs=1)
-    x = lambda ids: m.value[ids]
-
-    def z(ids):
-        ids = np.array(ids)
-        s = x(ids) @ m.factors[ids]
-        return m.bias + x(ids) @ m.weight[ids] + 0.5 * ((s * s).sum() - ((x(ids) ** 2) @ (m.factors[ids] ** 2)).sum())
-    assert z([1, 2]) > 0 > max(z([1]), z([2]))
+        rows.append((a & b, np.unique(np.concatenate([rng.integers(10, 400, 6), [1] * a, [2] * b]).astype(np.int64))))
+    with_pairs = toxicity.train(rows, buckets=512, epochs=20, l1=1.0, min_docs=1)
+    alone = toxicity.Model(with_pairs.bias, with_pairs.value, with_pairs.weight, with_pairs.factors * 0)
+    gain = [toxicity.logit(with_pairs, np.array(x)) - toxicity.logit(alone, np.array(x)) for x in ([1, 2], [1], [2])]
+    assert gain[0] > 0 and abs(gain[1]) < 1e-6 and abs(gain[2]) < 1e-6
+    assert toxicity.logit(with_pairs, np.array([1, 2])) > max(toxicity.logit(with_pairs, np.array([k])) for k in (1, 2))
