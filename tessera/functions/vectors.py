@@ -98,10 +98,6 @@ def sparse_components(df: DataFrame, id_col: str, vec_col: str = "embedding") ->
               .select(id_col, F.col("dim_idx").cast("long"), F.round("value", 6).alias("value")))
 
 
-def scale_vector(vec: Column, factor: Column) -> Column:
-    return F.transform(vec, lambda x: x.cast("double") * factor)
-
-
 def l2_distance(a: Column, b: Column) -> Column:
     """Euclidean distance of two equal-length arrays, in double (for single-query use)."""
     sq = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))

@@ -10,7 +10,6 @@ MAX_BROADCAST_EDIT_BYTES = 256 * 1024 * 1024
 # fixed values (ours): patterns redacted by scrub_text and the replacement text
 SCRUB_PATTERNS = [r"(?i)password", r'token\s*=\s*"[^"]*"', r"\d{1,3}(\.\d{1,3}){3}"]
 SCRUB_REPLACEMENT = "[scrubbed]"
-_PROTECT = "\u0002{}\u0003"
 
 
 def apply_corrections(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -39,18 +38,19 @@ def apply_corrections(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id",
 def scrub_text(df: DataFrame, columns: list[str], allow: list[tuple[str, str]] | None = None,
                patterns: list[str] | None = None) -> DataFrame:
     """Replace pattern matches in the given columns by ``[scrubbed]`` unless the (column, match)
-    pair is allow-listed.  Allowed literal matches are shielded with a placeholder before the
-    replacement and restored after it."""
+    pair is allow-listed.  A match is kept only if the whole of it equals an allowed value."""
     pats = "|".join(f"(?:{p})" for p in (patterns or SCRUB_PATTERNS))
     allow = allow or []
     out = df
     for c in columns:
         v = F.col(c)
         kept = [m for col, m in allow if col == c]
-        for i, m in enumerate(kept):
-            v = F.replace(v, F.lit(m), F.lit(_PROTECT.format(i)))
-        v = F.regexp_replace(v, pats, SCRUB_REPLACEMENT)
-        for i, m in enumerate(kept):
-            v = F.replace(v, F.lit(_PROTECT.format(i)), F.lit(m))
+        if kept:
+            found = F.transform(F.regexp_extract_all(v, F.lit(f"({pats})"), F.lit(0)),
+                                lambda m: F.when(m.isin(*kept), m).otherwise(F.lit(SCRUB_REPLACEMENT)))  # noqa: B023
+            # the texts between the matches, each followed by what its match becomes
+            v = F.array_join(F.zip_with(F.split(v, pats, -1), found, lambda t, m: F.concat(t, F.coalesce(m, F.lit("")))), "")
+        else:
+            v = F.regexp_replace(v, pats, SCRUB_REPLACEMENT)
         out = out.withColumn(c, v)
     return out

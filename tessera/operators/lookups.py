@@ -100,14 +100,14 @@ def weather_report(obs: DataFrame) -> DataFrame:
 
 
 def geocode_first(requests: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """First gazetteer match per place by match order; unmatched -> ``found = false``, and with
-    ``use_default`` the fixed default location instead of a reject."""
+    """First gazetteer match per place by match order.  ``use_default`` (no geocoder key) always
+    gives the fixed default location; otherwise an unmatched place is rejected."""
     first = (gazetteer.groupBy("place")
                       .agg(F.min_by(F.struct("lat", "lng"), "match_order").alias("hit")))
     j = probe_join(requests, first, "place")
     found = F.col("hit").isNotNull()
-    lat = F.when(found, F.col("hit.lat")).when(F.col("use_default"), F.lit(DEFAULT_LAT))
-    lng = F.when(found, F.col("hit.lng")).when(F.col("use_default"), F.lit(DEFAULT_LNG))
+    lat = F.when(F.col("use_default"), F.lit(DEFAULT_LAT)).when(found, F.col("hit.lat"))
+    lng = F.when(F.col("use_default"), F.lit(DEFAULT_LNG)).when(found, F.col("hit.lng"))
     return j.select("place", "use_default", found.alias("found"), lat.alias("lat"), lng.alias("lng"),
                     F.concat(lat.cast("string"), F.lit(","), lng.cast("string")).alias("location"),
                     F.when(~found & ~F.col("use_default"), F.lit("location not found, retry")).alias("reject_reason"))
@@ -120,16 +120,10 @@ def sql_text_guard(answers: DataFrame) -> DataFrame:
     is_sql = F.col("kind") == "success"
     ok = F.when(is_sql, F.coalesce(F.startswith(F.upper(cleaned), F.lit("SELECT")), F.lit(False))).otherwise(F.lit(True))
     return answers.select("*", F.when(is_sql, cleaned).alias("cleaned_sql"), ok.alias("ok"),
-                          F.when(~ok, F.lit("Please create a SELECT query")).alias("error"))
+                          F.when(~ok, F.lit("only SELECT statements are run")).alias("error"))
 
 
 def violations(*rules: tuple[str, Column]) -> Column:
     """array<string> of the names of violated rules (a null test counts as violated)."""
     return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(None)).otherwise(F.lit(n))
                               for n, c in rules]), lambda x: x.isNotNull())
-
-
-def split_valid(df: DataFrame, rules: list[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with ``reasons``)."""
-    v = df.withColumn("reasons", violations(*rules))
-    return v.where(F.size("reasons") == 0).drop("reasons"), v.where(F.size("reasons") > 0)

@@ -48,6 +48,7 @@ def chat_messages(messages: DataFrame) -> DataFrame:
     part's timestamp; response + text -> role ``model`` with the message timestamp; anything else
     gets ``reject_reason`` (the reference raises)."""
     first = F.try_element_at("parts", F.lit(1))
+    # a null test (no first part, no kind) is not met
     is_user = (F.col("kind") == "request") & (first["part_kind"] == "user-prompt")
     is_model = (F.col("kind") == "response") & (first["part_kind"] == "text")
     return messages.select(
@@ -55,7 +56,7 @@ def chat_messages(messages: DataFrame) -> DataFrame:
         F.when(is_user, "user").when(is_model, "model").alias("role"),
         F.when(is_user, first["timestamp"]).when(is_model, F.col("timestamp")).alias("timestamp"),
         F.when(is_user | is_model, first["content"]).alias("content"),
-        F.when(~(is_user | is_model) | is_user.isNull(), F.lit(UNEXPECTED)).alias("reject_reason"))
+        F.when(~F.coalesce(is_user | is_model, F.lit(False)), F.lit(UNEXPECTED)).alias("reject_reason"))
 
 
 def ndjson_lines(chat: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def normalize_search_results(payloads: DataFrame, max_results: int = 5, search_c
                .agg(F.min_by(F.struct(*rest), pos_col).alias("row"))
                .select(search_col, "provider", "url", "row.*"))
     r = r.where(~uniq).unionByName(firsts)
-    w = Window.partitionBy(search_col).orderBy(pos_col)
+    w = Window.partitionBy(search_col, "provider").orderBy(pos_col)  # each provider has its own limit
     return (r.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= max_results)
              .drop(pos_col))
 

@@ -134,23 +134,6 @@ def _query_shape(q: DataFrame) -> tuple[int, int]:
     return nq, int(first[0]["d"]) if first and first[0]["d"] is not None else 0
 
 
-MIN_SCAN_TASKS = 200
-
-
-def _bounded_tasks(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Each corpus task emits ``queries x k`` rows, so the shuffle grows with the number of
-    tasks, not with the corpus.  Merge input splits (no shuffle) down to a few tasks per core,
-    but never below the shuffle width or ``MIN_SCAN_TASKS``: with dynamic allocation the core
-    count seen when the plan is built can be tiny, and a huge corpus must not be squeezed into a
-    handful of tasks."""
-    spark = df.sparkSession
-    cap = max(spark.sparkContext.defaultParallelism * per_core,
-              int(spark.conf.get("spark.sql.shuffle.partitions")), MIN_SCAN_TASKS)
-    # coalesce never adds partitions, so no partition count is needed (asking for one would make
-    # adaptive execution run the upstream stages early)
-    return df.coalesce(cap)
-
-
 def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",
         id_col: str = "vec_id", vec_col: str = "embedding",
         query_id_col: str = "query_id", query_vec_col: str = "embedding",
@@ -170,8 +153,8 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
     out_schema = T.StructType([T.StructField("query_id", T.LongType()),
                                T.StructField(id_col, T.LongType()),
                                T.StructField("r", T.LongType())])
-    c = _bounded_tasks(corpus.select(F.col(id_col).cast("long").alias("id"),
-                                     F.col(vec_col).cast("array<double>").alias("v")).where(F.col("v").isNotNull()))
+    c = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+         .where(F.col("v").isNotNull()))
     if nq == 0:
         return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
     blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
@@ -284,7 +267,7 @@ def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cell
                        F.col(query_vec_col).cast("array<double>").alias("qv")).where(F.col("qv").isNotNull())
     nq, dim = _query_shape(q)
     blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
-    scan = _bounded_tasks(c)
+    scan = c
     parts = []
     for b in range(blocks if nq else 0):
         qb = q if blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)

@@ -78,19 +78,22 @@ def split_marked_text(df: DataFrame, text_col: str = "text", out_col: str = "pie
 
 
 # fixed values: language routing of the sentence splitter
-SPLITTER_BY_LANG = {"en": "en", "zh-cn": "zh", "zh-tw": "zh"}
+SPLITTER_BY_LANG = {"en": "en", "zh": "zh", "zh-cn": "zh", "zh-tw": "zh"}
+NO_SPLITTER = "no sentence splitter for this language"
 
 
 def route_by_language(df: DataFrame, lang_col: str = "lang", strict: bool = False) -> DataFrame:
-    """Add ``splitter`` (en / zh) and ``reject_reason`` (``language not supported``).
+    """Add ``splitter`` (en / zh) and ``reject_reason`` (``NO_SPLITTER``); ``zh`` is what
+    the detector here emits.
 
-    With ``strict=True`` an unsupported language fails the job like the reference does."""
-    lang = F.col(lang_col)
-    splitter = F.when(lang == "en", F.lit("en")).when(lang.isin("zh-cn", "zh-tw"), F.lit("zh"))
+    With ``strict=True`` a language without a splitter fails the job, whatever columns are read."""
+    known = F.create_map(*[F.lit(x) for kv in SPLITTER_BY_LANG.items() for x in kv])
+    splitter = F.try_element_at(known, F.col(lang_col))
     if strict:
-        splitter = F.coalesce(splitter, F.raise_error(F.lit("language not supported")).cast("string"))
+        df = df.where(F.when(splitter.isNotNull(), F.lit(True))
+                      .otherwise(F.raise_error(F.lit(NO_SPLITTER)).cast("boolean")))
     return (df.withColumn("splitter", splitter)
-              .withColumn("reject_reason", F.when(F.col("splitter").isNull(), F.lit("language not supported"))))
+              .withColumn("reject_reason", F.when(F.col("splitter").isNull(), F.lit(NO_SPLITTER))))
 
 
 # fixed values: function words used by the built-in language identifier (ours)

@@ -17,7 +17,8 @@ from .records import LEVELS
 
 def _support_rules(r: Column):
     return [("risk_range", r["risk"].between(0, 10)),
-            ("advice_required", r["support_advice"].isNotNull())]
+            ("advice_required", r["support_advice"].isNotNull()),
+            ("block_card_required", r["block_card"].isNotNull())]
 
 
 def _whale_rules(r: Column):
@@ -27,7 +28,8 @@ def _whale_rules(r: Column):
 
 
 def _answer_rules(r: Column):
-    return [("sql_query_nonempty", (r["kind"] != "success") | (F.length(r["sql_query"]) >= 1)),
+    return [("kind_in_domain", r["kind"].isin("success", "invalid_request")),
+            ("sql_query_nonempty", (r["kind"] != "success") | (F.length(r["sql_query"]) >= 1)),
             ("error_message_required", (r["kind"] != "invalid_request") | r["error_message"].isNotNull())]
 
 

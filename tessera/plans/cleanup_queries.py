@@ -54,13 +54,12 @@ ALLOW = [("source", "password")]
 
 def _sql_scrub(col, allowed):
     pats = "|".join(f"(?:{p})" for p in cl.SCRUB_PATTERNS)
-    v = col
-    for i, m in enumerate(allowed):
-        v = f"replace({v}, {q(m)}, chr(2) || '{i}' || chr(3))"
-    v = f"regexp_replace({v}, {q(pats)}, {q(cl.SCRUB_REPLACEMENT)}, 'g')"
-    for i, m in enumerate(allowed):
-        v = f"replace({v}, chr(2) || '{i}' || chr(3), {q(m)})"
-    return v
+    if not allowed:
+        return f"regexp_replace({col}, {q(pats)}, {q(cl.SCRUB_REPLACEMENT)}, 'g')"
+    parts, found = f"string_split_regex({col}, {q(pats)})", f"regexp_extract_all({col}, {q(pats)})"
+    kept = ", ".join(q(m) for m in allowed)
+    return (f"array_to_string([p || CASE WHEN i > len({found}) THEN '' WHEN {found}[i] IN ({kept}) THEN {found}[i] "
+            f"ELSE {q(cl.SCRUB_REPLACEMENT)} END FOR p, i IN {parts}], '')")
 
 
 @register("scrub_text", f"""

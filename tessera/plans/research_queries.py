@@ -65,7 +65,7 @@ WITH r AS (SELECT search_id, provider, pos, {_sql_pick(0)} AS title, {_sql_pick(
 u AS (SELECT *, row_number() OVER (PARTITION BY search_id, provider, url ORDER BY pos) AS fu FROM r),
 k AS (SELECT * FROM u WHERE provider <> 'C' OR fu = 1)
 SELECT search_id, provider, title, url, content, summary, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY search_id ORDER BY pos) AS rank FROM k) WHERE rank <= {MAX_RESULTS}"""
+  SELECT *, row_number() OVER (PARTITION BY search_id, provider ORDER BY pos) AS rank FROM k) WHERE rank <= {MAX_RESULTS}"""
 
 
 @register("normalize_search_results", SQL_NORMALIZED)
@@ -246,7 +246,7 @@ def annotated_reports(spark, sf):
     r = reports(spark, sf)
     marks = F.when(F.col("report_id") % 4 == 0, F.lit(" [1][1]")).otherwise(F.lit(" [1]"))
     a = F.concat("report", marks)
-    a = F.when(F.col("report_id") % 6 == 5, F.concat(F.lit("r"), F.substring(a, 2, 1 << 30))).otherwise(a)
+    a = F.when(F.col("report_id") % 6 == 5, F.concat(F.lit("r"), F.regexp_replace(a, r"(?s)^.", ""))).otherwise(a)
     return r.withColumn("annotated", a)
 
 

@@ -228,9 +228,9 @@ def q_doc_sections(spark, sf):
                     F.md5("embedding_content").alias("embedding_content_md5"))
 
 
-@register("route_by_language", """
-SELECT doc_id, lang, CASE WHEN lang = 'en' THEN 'en' WHEN lang IN ('zh-cn', 'zh-tw') THEN 'zh' END AS splitter,
-       CASE WHEN lang = 'en' OR lang IN ('zh-cn', 'zh-tw') THEN NULL ELSE 'language not supported' END AS reject_reason
+@register("route_by_language", f"""
+SELECT doc_id, lang, CASE WHEN lang = 'en' THEN 'en' WHEN lang IN ('zh', 'zh-cn', 'zh-tw') THEN 'zh' END AS splitter,
+       CASE WHEN lang = 'en' OR lang IN ('zh', 'zh-cn', 'zh-tw') THEN NULL ELSE '{sec.NO_SPLITTER}' END AS reject_reason
 FROM documents""")
 def q_route_by_language(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "lang")

@@ -1,31 +1,11 @@
-"""Declared schemas of the data model (explicit on every JSON read; nothing is inferred)."""
+"""Declared schemas of the JSON records that are parsed; nothing is inferred."""
 
 from __future__ import annotations
 
-SECTION = "uri string, title string, content string, embedding_content string"
-STORED_SECTION = "uri string, title string, content string, embedding array<double>"
-DOC_SECTION = "id int, parent int, path string, level int, title string, content string"
-WEB_SEARCH_RESULT = "title string, url string, content string, summary string"
-RECORDS = ("created_at timestamp, start_timestamp timestamp, end_timestamp timestamp, trace_id string, "
-           "span_id string, parent_span_id string, level string, span_name string, message string, "
-           "attributes_json_schema string, attributes string, tags array<string>, is_exception boolean, "
-           "otel_status_message string, service_name string")
-ACCOUNT = "account_number long, name string, balance decimal(18,2), pending decimal(18,2)"
-MESSAGE_BATCH = "batch_id long, message_list string"
 CHAT_MESSAGE = "role string, timestamp string, content string"
-FETCHED_PAGE = "url string, content string"
-SUMMARY = "topic string, aspect string, summary string, pos long"
-ASPECT_REGISTRY = "topic string, aspect string, terms array<string>, pos long"
-CITATION = "n int, title string, url string"
-SUBTASK = ("id string, title string, objective string, expected_output string, "
-           "suggested_sources array<string>")
-PLAN = (f"user_query string, query_type string, approach_summary string, "
-        f"subtasks array<struct<{SUBTASK.replace(' string', ':string').replace(' array<', ':array<')}>>")
 WHALE = "name string, length double, weight double, ocean string, description string"
 SUPPORT_RESULT = "support_advice string, block_card boolean, risk int"
 SQL_ANSWER = "kind string, sql_query string, explanation string, error_message string"
 WEB_SEARCH_QUERY = "query string, aspect string, rationale string"
 REFLECTION = "knowledge_gaps array<string>, covered_topics array<string>"
 FINAL_SUMMARY = "summary string"
-WEATHER_OBSERVATION = "temperature double, weather_code int"
-EDIT = "doc_id long, seq int, old string, new string"

@@ -53,7 +53,7 @@ def write_text_docs(df: DataFrame, folder: str, id_col: str, text_col: str) -> s
 
 def read_text_docs_written(spark: SparkSession, folder: str) -> DataFrame:
     r = read_text_docs(spark, folder, glob="*.txt", recursive=True)
-    return r.withColumn("text", F.regexp_replace("text", "\n$", ""))
+    return r.withColumn("text", F.regexp_replace("text", r"\n\z", ""))
 
 
 def write_json_lines(df: DataFrame, folder: str) -> str:
@@ -71,5 +71,6 @@ def read_doc_sections(spark: SparkSession, path: str, multi_line: bool = False)
     df = (spark.read.schema(DOC_SECTION_SCHEMA).option("mode", "FAILFAST")
           .option("multiLine", multi_line).json(path))
     missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in DOC_SECTION_REQUIRED])
-    return df.withColumn("id", F.when(missing == "", F.col("id"))
-                         .otherwise(F.raise_error(F.concat(F.lit("DocSection missing: "), missing)).cast("int")))
+    # a filter: unlike a check inside a column, it runs whatever columns are read
+    return df.where(F.when(missing == "", F.lit(True))
+                    .otherwise(F.raise_error(F.concat(F.lit("DocSection missing: "), missing)).cast("boolean")))
