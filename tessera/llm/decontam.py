@@ -228,18 +228,19 @@ def _tables(wins: list, counts: dict[int, int]):
     return terms, offsets, np.array([len(w) for _, w in wins], np.int64)
 
 
-def _merge(win, start, item, length):
-    """Overlapping or touching places of one item as (item, start, length) intervals."""
+def _merge(win, start, item, length, doc):
+    """Overlapping or touching places of one item in one document as (item, start, length) intervals."""
     it, ln = item[win], length[win]
     order = np.lexsort((start, it))
-    it, s, e = it[order], start[order], (start + ln)[order]
+    it, s, e, doc = it[order], start[order], (start + ln)[order], doc[order]
     if not len(s):
         return it, s, e
     # running end per item: ends are made increasing over items by a large step
     step = int(e.max()) + 2
     reach = np.maximum.accumulate(e + it * step) - it * step
     new = np.ones(len(s), bool)
-    new[1:] = (it[1:] != it[:-1]) | (s[1:] > reach[:-1])
+    # positions of neighbouring documents have no gap, so places of two documents may touch
+    new[1:] = (it[1:] != it[:-1]) | (doc[1:] != doc[:-1]) | (s[1:] > reach[:-1])
     at = np.flatnonzero(new)
     last = np.append(at[1:], len(s)) - 1
     return it[at], s[at], reach[last] - s[at]
@@ -287,10 +288,10 @@ def _search(index: DataFrame, items: DataFrame, cut, find) -> DataFrame:
 
 def phrase_matches(index: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(block, ord, doc_id, item_id, start, length): stretches of document words that windows of an
-    item cover, overlapping places of one item joined."""
+    item cover, overlapping or touching places of one item in one document joined."""
     def find(block, tables, item):
         win, start = _phrases(block, tables)
-        return _merge(win, start, item, tables[2])
+        return _merge(win, start, item, tables[2], block.doc_of(start))
     return _search(index, items, lambda g: _windows(g, window), find)
 
 

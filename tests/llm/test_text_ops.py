@@ -128,6 +128,21 @@ def test_hits_as_by_brute_force(spark, make_docs, bench_rows):
     assert decontam.decontaminate(spark, make_docs([]), bench).count() == 0
 
 
+def test_neighbouring_documents_of_one_item(spark):
+    """Rows that touch in their index block are judged one by one."""
+    item = [f"q{i}" for i in range(20)]
+    docs = [(1, " ".join(item)), (2, " ".join(item)), (3, ""), (4, " ".join(item)), (5, "x " + " ".join(item)),
+            (6, " ".join(item) + " y"), (7, "a"), (8, "a"), (9, "a a")]
+    items = [("i", " ".join(item)), ("j", "a")]
+    table = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    out = decontam.decontaminate(spark, table, bench)
+    got = sorted(((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"]), r["contaminated"]) for r in out.collect()),
+                 key=str)
+    assert got == brute_hits(docs, items)
+    assert {r["doc_id"] for r in decontam.keep_clean(spark, table, bench).collect()} == {3}
+
+
 def test_proximity_matches(spark, make_docs):
     docs = make_docs([(1, "red x x blue", "en"), (2, "red " + "x " * 9 + "blue", "en"), (3, "red", "en")])
     index = decontam.build_index(docs, f"{spark.conf.get('spark.checkpoint.dir')}/near")
