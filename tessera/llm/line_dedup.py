@@ -12,7 +12,8 @@ frequent key loses its lines in every document but the one with the largest doc_
   recounts only the touched keys, from the log;
 * ``filters``: one cuckoo filter per shard of the key space, holding the frequent keys.  A key
   that crosses the threshold is inserted into its shard's filter, one that falls below it is
-  deleted; only shards with such keys are written again.
+  deleted.  A filter that ran full is built anew, larger, from the frequent keys of its shard; when
+  the keys outgrow the shards, there are twice as many shards and all filters are built anew.
 
 The filters screen the references inside the tasks that read them, so only those that may be
 frequent are joined with the counts, which settle false positives exactly.  They are sent to the
@@ -37,6 +38,7 @@ from .shared import fresh_path, read_back
 
 MIN_DOCS, MIN_CHARS = 5, 40
 SHARD_KEYS = 1_000_000
+FILTER_KEYS = SHARD_KEYS // 50  # keys a new filter has room for at least
 MAX_FILTER_BYTES = 32 << 20
 
 REFS = "k1 long, k2 long, doc_id long, body long, lines array<int>, sign int"
@@ -218,37 +220,58 @@ class LineStore:
         return live.groupBy(*KEY).agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last_doc"))
 
     def _refresh_filters(self, old: DataFrame, first: bool) -> None:
+        needed = -(-self.counts().count() // SHARD_KEYS)
         if self.shards is None:
-            self.shards = max(16, -(-self.counts().count() // SHARD_KEYS))
+            self.shards = max(16, needed)
+        elif not first and needed > self.shards:
+            self.shards, first = 2 * needed, True
         now, before = self.frequent().select(*KEY), old.where(F.col("n_docs") >= self.min_docs).select(*KEY)
         if first:
             change = now.withColumn("add", F.lit(True))
         else:
             change = (now.join(before, KEY, "left_anti").withColumn("add", F.lit(True))
                       .unionByName(before.join(now, KEY, "left_anti").withColumn("add", F.lit(False))))
-        change = change.withColumn("shard", F.pmod("k1", F.lit(self.shards)).cast("int"))
-        kept = None if first else read_back(self.spark, self._at("filters", self.version - 1), FILTERS)
-        size = max(1, SHARD_KEYS // 50)
+        shard_of = F.pmod("k1", F.lit(self.shards)).cast("int")
+        change = change.withColumn("shard", shard_of)
+        size = max(1, FILTER_KEYS)
+        schema = pa.schema([("shard", pa.int32()), ("slots", pa.binary())])
 
         def update(keys: pa.Table, filters: pa.Table | None) -> pa.Table:
-            schema = pa.schema([("shard", pa.int32()), ("slots", pa.binary())])
-            blob = filters.column("slots")[0].as_py() if filters is not None and len(filters) else None
-            f = CuckooFilter.load(blob) if blob else CuckooFilter.for_keys(max(size, len(keys) * 2))
+            kept = filters is not None and len(filters) > 0
             shard = (keys if len(keys) else filters).column("shard")[0].as_py()
+            blob = filters.column("slots")[0].as_py() if kept else None
+            if kept and not blob:  # full before: what it held is not known here
+                return pa.table([[shard], [b""]], schema=schema)
+            f = CuckooFilter.load(blob) if kept else CuckooFilter.for_keys(max(size, len(keys) * 2))
             k = np.stack([keys.column(c).to_numpy().astype(np.int64) for c in KEY], 1)
             add = keys.column("add").to_numpy(zero_copy_only=False).astype(bool) if len(keys) else np.zeros(0, bool)
             f.delete(k[~add, 0].copy(), k[~add, 1].copy())
             full = not f.insert(k[add, 0].copy(), k[add, 1].copy())
-            # an empty blob stands for "all keys may be there": the counts alone decide
             return pa.table([[shard], [b"" if full else f.dump()]], schema=schema)
 
-        if kept is None:
+        def build(keys: pa.Table) -> pa.Table:
+            k = np.stack([keys.column(c).to_numpy().astype(np.int64) for c in KEY], 1)
+            blob = b""
+            for times in (2, 4, 8, 16):
+                f = CuckooFilter.for_keys(max(size, len(k) * times))
+                if f.insert(k[:, 0].copy(), k[:, 1].copy()):
+                    blob = f.dump()
+                    break
+            # an empty blob stands for "all keys may be there": the counts alone decide
+            return pa.table([[keys.column("shard")[0].as_py()], [blob]], schema=schema)
+
+        if first:
             out = change.groupBy("shard").applyInArrow(lambda t: update(t, None), FILTERS)
         else:
-            touched = change.groupBy("shard").cogroup(kept.groupBy("shard"))
-            out = touched.applyInArrow(update, FILTERS)
+            out = change.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(update, FILTERS)
         out.write.parquet(self._at("filters"))
         self.filters = read_back(self.spark, self._at("filters"), FILTERS)
+        full = [r["shard"] for r in self.filters.where(F.length("slots") == 0).select("shard").collect()]
+        if full:
+            keys = now.withColumn("shard", shard_of).where(F.col("shard").isin(full))
+            larger = keys.groupBy("shard").applyInArrow(build, FILTERS)
+            self.filters.where(F.length("slots") > 0).unionByName(larger).write.parquet(self._at("filters_larger"))
+            self.filters = read_back(self.spark, self._at("filters_larger"), FILTERS)
 
     def _screened(self, refs: DataFrame) -> DataFrame:
         """References whose key may be frequent, by the filters."""

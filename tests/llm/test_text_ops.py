@@ -69,6 +69,34 @@ def test_deleted_documents_give_their_lines_back(spark, make_docs, tmp_path):
         == brute_lines(left)
 
 
+def test_filters_that_run_full_lose_no_lines(spark, make_docs, tmp_path, monkeypatch):
+    """A store that outgrows its filters keeps dropping the lines it found frequent before."""
+    monkeypatch.setattr(line_dedup, "FILTER_KEYS", 1, raising=False)
+    line = "this is the repeated line of number {:06d} and it is long".format
+
+    def rows(ids, numbers):
+        return [(i, "\n".join([f"own {i}"] + [line(n) for n in numbers])) for i in ids]
+
+    def table(rows):
+        return make_docs([(i, t, "en") for i, t in rows])
+
+    batches = [rows(range(5), range(5)), rows(range(10, 15), range(5, 300)), rows(range(20, 25), range(300, 304)),
+               rows(range(30, 34), range(400, 404))]
+    for keys in (50, 10_000):  # the keys outgrow the shard and its filter; only the filter
+        monkeypatch.setattr(line_dedup, "SHARD_KEYS", keys)
+        store, held = line_dedup.LineStore(spark, str(tmp_path / str(keys)), shards=1), []
+        for batch in batches:
+            store.insert(table(batch))
+            held += batch
+            assert digest(store.dedup(table(held), True)) == brute_lines(held)
+        store.delete(spark.createDataFrame([(20,), (34,)], "doc_id long"))
+        held = [r for r in held if r[0] != 20]
+        assert digest(store.dedup(table(held), True)) == brute_lines(held)
+        store.insert(table(rows([40], range(400, 404))))
+        held += rows([40], range(400, 404))
+        assert digest(store.dedup(table(held), True)) == brute_lines(held)
+
+
 def test_cuckoo_filter_holds_and_forgets():
     rng = np.random.default_rng(0)
     k = rng.integers(-2**63, 2**63 - 1, (6000, 2))
