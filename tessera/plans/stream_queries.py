@@ -23,6 +23,7 @@ SEQ_STRIDE = 1_000_000
 BLANK_SEQ = 999_999
 STEP_MS = 4
 LIST_PIECE = 50
+MICRO_BATCHES = 4
 
 
 def _fresh(spark, name):
@@ -30,6 +31,11 @@ def _fresh(spark, name):
     return base, f"{base}/source", f"{base}/checkpoint"
 
 
+def _files_per_batch(spark, src):
+    """Files a trigger takes so that the stream comes in about ``MICRO_BATCHES`` micro-batches."""
+    return -(-len(spark.read.parquet(src).inputFiles()) // MICRO_BATCHES)
+
+
 def _msg_sec():
     return F.lit(EPOCH_2024) + F.col("conv_id") * 3600 + F.col("turn")
 
@@ -61,7 +67,8 @@ FROM conversations WHERE role IN ('user', 'assistant') AND (role = 'user' OR len
 def q_stream_message_upsert(spark, sf):
     base, src, ckpt = _fresh(spark, "upsert")
     chat_line_stream(spark, sf).write.parquet(src)
-    out = ss.run_message_upsert(spark, src, "conv_id long, seq long, line string", f"{base}/log", ckpt)
+    out = ss.run_message_upsert(spark, src, "conv_id long, seq long, line string", f"{base}/log", ckpt,
+                                max_files=_files_per_batch(spark, src))
     return out.select("conv_id", "timestamp", "role", F.md5("content").alias("content_md5"),
                       F.length("content").cast("long").alias("content_chars"), "first_seq")
 
@@ -85,7 +92,7 @@ def q_stream_debounce(spark, sf):
     base, src, ckpt = _fresh(spark, "debounce")
     chunk_stream(spark, sf).write.parquet(src)
     out = ss.run_debounce(spark, src, "conv_id long, turn long, seq long, event_time timestamp, text_so_far string",
-                          f"{base}/log", ckpt)
+                          f"{base}/log", ckpt, max_files=_files_per_batch(spark, src))
     return out.select("conv_id", "turn", F.unix_millis("window_start").alias("window_start"), "seq",
                       F.md5("text").alias("text_md5"))
 

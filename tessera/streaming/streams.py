@@ -1,10 +1,9 @@
 """Structured Streaming forms of the message and store operators.
 
-Every stream sets a watermark on its event-time column, so the state kept
-for keyed aggregations is bounded; rows arriving later than the watermark
-are dropped (documented behaviour, no late-data side output).  Sinks are
-idempotent: the store sink is an anti-join insert, and the upsert / window
-sinks are append-only logs read back through a last-wins view, so a
+Streams keep no state and set no watermark, so no row is too late: the
+upsert / window sinks aggregate inside each micro-batch and append to a log
+read back through a last-wins view (``max_by`` and ``min`` merge in any
+order), the store sink is an anti-join insert.  Both are idempotent, so a
 replayed micro-batch after an executor loss does not change the result.
 """
 
@@ -33,23 +32,22 @@ def _run(writer, checkpoint: str, available_now: bool = True):
 
 # --- last-wins message upsert ---------------------------------------------------
 
-def message_upserts(lines: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Stream of NDJSON chat lines (conv_id, seq, line) -> per message (keyed by its timestamp)
+def message_upserts(lines: DataFrame) -> DataFrame:
+    """Micro-batch of NDJSON chat lines (conv_id, seq, line) -> per message (keyed by its timestamp)
     the latest content and the first position seen.  Lines of one character or less are skipped."""
     p = (lines.where(F.length("line") > 1)
               .select("conv_id", "seq", F.from_json("line", CHAT_LINE_SCHEMA).alias("m"))
               .select("conv_id", "seq", "m.*")
               .withColumn("msg_ts", F.to_timestamp("timestamp")))
-    return (p.withWatermark("msg_ts", watermark)
-             .groupBy("conv_id", "msg_ts", "timestamp")
+    return (p.groupBy("conv_id", "msg_ts", "timestamp")
              .agg(F.max_by(F.struct("seq", "role", "content"), "seq").alias("last"),
                   F.min("seq").alias("first_seq")))
 
 
-def upsert_log_sink(path: str):
-    """foreachBatch sink appending each micro-batch's changed rows with its epoch."""
+def upsert_log_sink(path: str, aggregate):
+    """foreachBatch sink appending the ``aggregate`` of each micro-batch's rows with its epoch."""
     def write(df: DataFrame, epoch: int):
-        df.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(path)
+        aggregate(df).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(path)
     return write
 
 
@@ -71,25 +69,23 @@ def _source(spark: SparkSession, source: str, schema: str, max_files: int | None
 def run_message_upsert(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str,
                        max_files: int | None = None) -> DataFrame:
     lines = _source(spark, source, schema, max_files)
-    agg = message_upserts(lines)
-    _run(agg.writeStream.outputMode("update").foreachBatch(upsert_log_sink(out)), checkpoint)
+    _run(lines.writeStream.foreachBatch(upsert_log_sink(out, message_upserts)), checkpoint)
     return latest_messages(spark, out)
 
 
 # --- debounce -------------------------------------------------------------------
 
-def debounced(chunks: DataFrame, interval: str = "10 milliseconds", watermark: str = "1 hour") -> DataFrame:
+def debounced(chunks: DataFrame, interval: str = "10 milliseconds") -> DataFrame:
     """Per message and aligned ``interval`` window: the latest cumulative text (by seq).
     Windows are aligned to the epoch, not to the first arrival (documented deviation)."""
-    return (chunks.withWatermark("event_time", watermark)
-                  .groupBy("conv_id", "turn", F.window("event_time", interval).alias("w"))
+    return (chunks.groupBy("conv_id", "turn", F.window("event_time", interval).alias("w"))
                   .agg(F.max_by(F.struct("seq", "text_so_far"), "seq").alias("last")))
 
 
 def run_debounce(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str,
                  interval: str = "10 milliseconds", max_files: int | None = None) -> DataFrame:
     s = _source(spark, source, schema, max_files)
-    _run(debounced(s, interval).writeStream.outputMode("update").foreachBatch(upsert_log_sink(out)), checkpoint)
+    _run(s.writeStream.foreachBatch(upsert_log_sink(out, lambda df: debounced(df, interval))), checkpoint)
     log = spark.read.parquet(out)
     return (log.groupBy("conv_id", "turn", F.col("w.start").alias("window_start"))
                .agg(F.max_by("last", F.col("last.seq")).alias("last"))

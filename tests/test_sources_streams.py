@@ -98,6 +98,36 @@ def test_debounce_many_micro_batches_equals_one(spark, sf_small):
     assert a == b and len(a) > 0
 
 
+def _write_latest_first(df, folder, order_col, parts):
+    """Files of falling event time, so all but the first hold rows hours behind the newest seen."""
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    step = (hi - lo) / parts
+    n = F.least(F.floor((F.col(order_col) - lo) / step), F.lit(parts - 1))
+    for k in reversed(range(parts)):
+        df.where(n == k).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_late_rows_are_kept(spark, sf_small):
+    import uuid
+    from tessera.session import scratch_dir
+    from tessera.streaming import streams as ss
+
+    base = scratch_dir(spark, f"test_late_{uuid.uuid4().hex}")
+    chunks = sq.chunk_stream(spark, sf_small).withColumn("t", F.col("event_time").cast("double"))
+    _write_latest_first(chunks, f"{base}/chunks", "t", 5)
+    schema = "conv_id long, turn long, seq long, event_time timestamp, text_so_far string, t double"
+    runs = [sorted(tuple(r) for r in ss.run_debounce(spark, f"{base}/chunks", schema, f"{base}/d{n}", f"{base}/dc{n}",
+                                                     max_files=n).collect()) for n in (1, None)]
+    assert runs[0] == runs[1] and len(runs[0]) > 0
+
+    lines = sq.chat_line_stream(spark, sf_small).withColumn("t", F.col("conv_id") * 1_000_000_000.0 + F.col("seq"))
+    _write_latest_first(lines, f"{base}/lines", "t", 5)
+    schema = "conv_id long, seq long, line string, t double"
+    runs = [sorted(tuple(r) for r in ss.run_message_upsert(spark, f"{base}/lines", schema, f"{base}/u{n}",
+                                                           f"{base}/uc{n}", max_files=n).collect()) for n in (1, None)]
+    assert runs[0] == runs[1] and len(runs[0]) > 0
+
+
 def test_upsert_many_micro_batches_equals_one(spark, sf_small):
     import uuid
     from tessera.session import scratch_dir
