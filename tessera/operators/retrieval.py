@@ -21,6 +21,7 @@ resolved identically everywhere and results are reproducible.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_dir
+
 DEFAULT_K = 10
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 _EXCLUDED = np.iinfo(np.int64).max
 _CELLS = 4_000_000  # rows x queries evaluated per numpy block
+RECALL_QUERIES = 256
+SAMPLE_RECALL = 0.95  # on the sampled queries; leaves room for sampling error above 0.9
 
 
 def _topk_columns(r: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -134,6 +139,27 @@ def _query_shape(q: DataFrame) -> tuple[int, int]:
     return nq, int(first[0]["d"]) if first and first[0]["d"] is not None else 0
 
 
+def _per_query_block(corpus: DataFrame, q: DataFrame, blocks: int, out_schema: T.StructType, sent, search) -> DataFrame:
+    """Answers of all query blocks: ``sent(qids, Q)`` of a block is broadcast and the corpus is
+    scanned with ``search(broadcast)``.  One block stays a lazy scan; of several, each one's answers
+    are written before the next is read, so the driver and the executors hold one block at a time."""
+    spark, blocks = corpus.sparkSession, max(1, blocks)
+    path = scratch_dir(spark, f"knn_{uuid.uuid4().hex}")
+    for b in range(blocks):
+        rows = (q if blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)).toArrow()
+        if not rows.num_rows and blocks > 1:
+            continue
+        v = rows["qv"].combine_chunks()
+        Q = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows.num_rows, -1)
+        bc = spark.sparkContext.broadcast(sent(rows["qid"].combine_chunks().to_numpy(), Q))
+        found = corpus.mapInArrow(search(bc), out_schema)
+        if blocks == 1:
+            return found
+        found.write.mode("append").parquet(path)
+        bc.destroy()
+    return spark.read.schema(out_schema).parquet(path)
+
+
 def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",
         id_col: str = "vec_id", vec_col: str = "embedding",
         query_id_col: str = "query_id", query_vec_col: str = "embedding",
@@ -157,19 +183,8 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str =
          .where(F.col("v").isNotNull()))
     if nq == 0:
         return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
-    blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
-    parts = []
-    for b in range(blocks):
-        qb = q if blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
-        rows = qb.collect()  # bounded: nq/blocks rows, checked above
-        if not rows:
-            continue
-        bc = spark.sparkContext.broadcast(
-            ([r["qid"] for r in rows], np.array([r["qv"] for r in rows], dtype=np.float64)))
-        parts.append(c.mapInArrow(_partition_topk(bc, k, metric, id_col), out_schema))
-    local = parts[0]
-    for p in parts[1:]:
-        local = local.unionByName(p)
+    local = _per_query_block(c, q, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes), out_schema,
+                             lambda qids, Q: (qids, Q), lambda bc: _partition_topk(bc, k, metric, id_col))
     w = Window.partitionBy("query_id").orderBy("r", id_col)
     return (local.withColumn("rank", F.row_number().over(w).cast("long"))
                  .where(F.col("rank") <= k)
@@ -181,70 +196,126 @@ def _nearest_cells(X: np.ndarray, C: np.ndarray, csq: np.ndarray) -> np.ndarray:
     return np.argmin(d2, axis=1)
 
 
-def _train_centroids(sample: np.ndarray, n_cells: int, iterations: int, seed: int) -> np.ndarray:
-    """A few Lloyd iterations on a bounded sample (empty cells keep their previous centre)."""
-    rng = np.random.default_rng(seed)
-    C = sample[rng.choice(len(sample), size=n_cells, replace=False)].copy()
-    for _ in range(iterations):
-        cells = _nearest_cells(sample, C, (C * C).sum(1))
-        sums = np.zeros_like(C)
-        np.add.at(sums, cells, sample)
-        cnt = np.bincount(cells, minlength=n_cells)
-        nz = cnt > 0
-        C[nz] = sums[nz] / cnt[nz, None]
-    return C
+def _centres(c: DataFrame, n: int, n_cells: int, train_rows: int, iterations: int, seed: int) -> np.ndarray:
+    """Cell centres by Spark's k-means on a sample of about ``train_rows`` rows, which stays on the
+    executors; only the centres come to the driver."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    sample = c.sample(fraction=min(1.0, 1.5 * train_rows / n), seed=seed)
+    if n_cells < 2:
+        return np.array([sample.first()["v"] if n > train_rows else c.first()["v"]], dtype=np.float64)
+    model = KMeans(k=n_cells, maxIter=iterations, seed=seed).fit(sample.select(array_to_vector("v").alias("features")))
+    return np.array(model.clusterCenters(), dtype=np.float64)
+
+
+def _assign_cells(bc):
+    def run(batches):
+        C = bc.value
+        csq = (C * C).sum(1)
+        step = max(1, _CELLS // len(C))
+        for batch in batches:
+            if len(batch) == 0:
+                continue
+            _, X = _batch_arrays(batch)
+            cells = np.concatenate([_nearest_cells(X[s:s + step], C, csq) for s in range(0, len(X), step)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.int32())],
+                                             names=["id", "v", "cell"])
+
+    return run
+
+
+def _cell_order(Q: np.ndarray, C: np.ndarray):
+    """(first row, cells of each query from the nearest centre on) for runs of queries."""
+    csq = (C * C).sum(1)
+    step = max(1, _CELLS // len(C))
+    for s in range(0, len(Q), step):
+        B = Q[s:s + step]
+        yield s, np.argsort((B * B).sum(1)[:, None] + csq[None, :] - 2.0 * (B @ C.T), axis=1, kind="stable")
+
+
+def _probes(Q: np.ndarray, C: np.ndarray, sizes: np.ndarray, n_probe: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query rows back to back by cell, bounds per cell): each query probes its ``n_probe``
+    nearest cells, and more until they hold k vectors."""
+    cells, rows = [], []
+    for s, order in _cell_order(Q, C):
+        before = np.cumsum(sizes[order], axis=1) - sizes[order]
+        use = (np.arange(len(C)) < n_probe) | (before < k)
+        r, at = np.nonzero(use)
+        cells.append(order[r, at].astype(np.int32))
+        rows.append((r + s).astype(np.int32))
+    if not cells:
+        return np.zeros(0, np.int32), np.zeros(len(C) + 1, np.int64)
+    cell, row = np.concatenate(cells), np.concatenate(rows)
+    by_cell = np.argsort(cell, kind="stable")
+    return row[by_cell], np.searchsorted(cell[by_cell], np.arange(len(C) + 1))
 
 
 def _partition_ivf(bc, k: int, id_name: str):
     def run(batches):
-        qids, Q, probes, C = bc.value
+        qids, Q, members, bounds = bc.value
         nq = Q.shape[0]
-        csq = (C * C).sum(1)
         qsq = (Q * Q).sum(1)
-        by_cell: dict[int, np.ndarray] = {}
-        for c in np.unique(probes):
-            by_cell[int(c)] = np.nonzero((probes == c).any(1))[0]
         best_r = np.full((k, nq), _EXCLUDED, dtype=np.int64)
         best_id = np.full((k, nq), -1, dtype=np.int64)
         for batch in batches:
             if len(batch) == 0:
                 continue
             ids, X = _batch_arrays(batch)
-            cells = _nearest_cells(X, C, csq)
+            cells = batch.column(2).to_numpy(zero_copy_only=False)
             for c in np.unique(cells):
-                qi = by_cell.get(int(c))
-                if qi is None:
+                qi = members[bounds[c]:bounds[c + 1]]
+                if not len(qi):
                     continue
-                sel = cells == c
-                Xc, ic = X[sel], ids[sel]
-                d2 = (Xc * Xc).sum(1)[:, None] + qsq[None, qi] - 2.0 * (Xc @ Q[qi].T)
-                r = np.rint(np.sqrt(np.maximum(d2, 0.0)) * 1e6).astype(np.int64)
-                cand_r = np.vstack([best_r[:, qi], r])
-                cand_id = np.vstack([best_id[:, qi], np.broadcast_to(ic[:, None], r.shape)])
-                part = _topk_columns(cand_r, cand_id, k)
-                best_r[:, qi] = np.take_along_axis(cand_r, part, 0)
-                best_id[:, qi] = np.take_along_axis(cand_id, part, 0)
+                sel = np.flatnonzero(cells == c)
+                step = max(1, _CELLS // len(qi))
+                for s in range(0, len(sel), step):
+                    Xc, ic = X[sel[s:s + step]], ids[sel[s:s + step]]
+                    d2 = (Xc * Xc).sum(1)[:, None] + qsq[None, qi] - 2.0 * (Xc @ Q[qi].T)
+                    r = np.rint(np.sqrt(np.maximum(d2, 0.0)) * 1e6).astype(np.int64)
+                    cand_r = np.vstack([best_r[:, qi], r])
+                    cand_id = np.vstack([best_id[:, qi], np.broadcast_to(ic[:, None], r.shape)])
+                    part = _topk_columns(cand_r, cand_id, k)
+                    best_r[:, qi] = np.take_along_axis(cand_r, part, 0)
+                    best_id[:, qi] = np.take_along_axis(cand_id, part, 0)
         if (best_r != _EXCLUDED).any():
             yield _out_batch(qids, best_r, best_id, id_name)
 
     return run
 
 
+def _probes_for_recall(stored: DataFrame, q: DataFrame, C: np.ndarray, k: int, recall: float) -> int:
+    """The fewest probes with which a sample of the queries finds ``recall`` of its exact neighbours."""
+    sample = q.orderBy(F.xxhash64("qid"), "qid").limit(RECALL_QUERIES).toArrow()
+    spark = stored.sparkSession
+    asked = spark.createDataFrame(sample.append_column("n", pa.array(np.arange(sample.num_rows))))
+    exact = knn(stored, asked, k, id_col="id", vec_col="v", query_id_col="n", query_vec_col="qv")
+    hits = F.broadcast(exact.select("query_id", "id")).join(stored.select("id", "cell"), "id").toArrow()
+    Q = np.array(sample["qv"].to_pylist(), dtype=np.float64)
+    place = np.empty((len(Q), len(C)), np.int64)
+    for s, order in _cell_order(Q, C):
+        np.put_along_axis(place[s:s + len(order)], order, np.arange(len(C))[None, :], axis=1)
+    needed = np.sort(place[hits["query_id"].to_numpy(), hits["cell"].to_numpy()])
+    return int(needed[max(0, math.ceil(recall * len(needed)) - 1)]) + 1 if len(needed) else len(C)
+
+
 def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cells: int | None = None,
                n_probe: int = 8, train_rows: int = 20_000, iterations: int = 6, seed: int = 7,
                id_col: str = "vec_id", vec_col: str = "embedding",
                query_id_col: str = "query_id", query_vec_col: str = "embedding",
-               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES, sample_recall: float = SAMPLE_RECALL) -> DataFrame:
     """Approximate L2 top-k with an inverted-file index built inside the job.
 
-    1. Cell centres: k-means (a few Lloyd steps) on a random corpus sample of at most
-       ``train_rows`` rows; ``n_cells`` defaults to about sqrt(corpus rows), at most 4096.
-       Both the sample and the centres are bounded, whatever the corpus size.
-    2. Each query picks its ``n_probe`` nearest cells (queries are size-checked and broadcast
-       in blocks, as for the exact search).
-    3. One scan of the corpus: every vector is assigned to its nearest centre and compared only
-       with the queries probing that cell; each task keeps a local top-k per query, merged by a
-       final ``row_number() <= k``.
+    1. Cell centres: Spark's k-means on a corpus sample of about ``train_rows`` rows; ``n_cells``
+       defaults to about sqrt(corpus rows), at most 4096.
+    2. Every vector is stored with its nearest cell, in the shared folder.
+    3. The exact neighbours of ``RECALL_QUERIES`` sampled queries tell how many probes find
+       ``sample_recall`` of them; every query probes so many of its nearest cells, at least
+       ``n_probe``, and more until its cells hold k vectors.  So a query always gets
+       min(k, corpus rows) rows, and the recall does not fall with the size of the corpus.
+    4. One scan of the stored vectors per query block (blocks as for the exact search): a vector is
+       compared only with the queries probing its cell; each task keeps a local top-k per query,
+       merged by a final ``row_number() <= k``.
     Results are exact within the probed cells; a neighbour in an unprobed cell is missed, which
     is what recall measures.  No pair of corpus rows is ever formed, so a crowded cell costs
     (its size x the queries probing it), never its size squared.
@@ -255,35 +326,24 @@ def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cell
     n = c.count()
     out_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()),
                                T.StructField("r", T.LongType())])
-    if n == 0:
-        return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
-    cells = n_cells or int(min(4096, max(1, round(math.sqrt(n)))))
-    frac = min(1.0, 1.5 * train_rows / n)
-    sample = np.array([r["v"] for r in c.sample(fraction=frac, seed=seed).limit(train_rows).collect()],
-                      dtype=np.float64)
-    cells = min(cells, len(sample))
-    C = _train_centroids(sample, cells, iterations, seed)
     q = queries.select(F.col(query_id_col).cast("long").alias("qid"),
                        F.col(query_vec_col).cast("array<double>").alias("qv")).where(F.col("qv").isNotNull())
     nq, dim = _query_shape(q)
-    blocks = max(1, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes))
-    scan = c
-    parts = []
-    for b in range(blocks if nq else 0):
-        qb = q if blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
-        rows = qb.collect()  # bounded by the size check above
-        if not rows:
-            continue
-        Q = np.array([r["qv"] for r in rows], dtype=np.float64)
-        d2 = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * (Q @ C.T)
-        probes = np.argsort(d2, axis=1)[:, :min(n_probe, cells)]
-        bc = spark.sparkContext.broadcast(([r["qid"] for r in rows], Q, probes, C))
-        parts.append(scan.mapInArrow(_partition_ivf(bc, k, id_col), out_schema))
-    if not parts:
+    if n == 0 or nq == 0:
         return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
-    local = parts[0]
-    for p in parts[1:]:
-        local = local.unionByName(p)
+    cells = min(n, n_cells or int(min(4096, max(1, round(math.sqrt(n))))))
+    C = _centres(c, n, cells, train_rows, iterations, seed)
+    path = scratch_dir(spark, f"cells_{uuid.uuid4().hex}")
+    schema = "id long, v array<double>, cell int"
+    c.mapInArrow(_assign_cells(spark.sparkContext.broadcast(C)), schema).write.parquet(path)
+    stored = spark.read.schema(schema).parquet(path)
+    sizes = np.zeros(len(C), np.int64)
+    for r in stored.groupBy("cell").count().collect():  # at most 4096 rows
+        sizes[r["cell"]] = r["count"]
+    n_probe = min(len(C), max(n_probe, _probes_for_recall(stored, q, C, k, sample_recall)))
+    local = _per_query_block(stored, q, math.ceil(nq * (max(dim, 1) * 8 + 4 * n_probe) / max_broadcast_bytes), out_schema,
+                             lambda qids, Q: (qids, Q, *_probes(Q, C, sizes, n_probe, k)),
+                             lambda bc: _partition_ivf(bc, k, id_col))
     w = Window.partitionBy("query_id").orderBy("r", id_col)
     return (local.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
                  .select("query_id", "rank", id_col, (F.col("r") / F.lit(1e6)).alias("distance")))
