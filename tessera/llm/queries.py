@@ -177,3 +177,51 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     trees = tc.build(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     return (tc.apply_edits(tc.masking_edits(trees), path, public_tokenizers.PATTERN)
             .select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_encoded"))
+
+
+@register("op11_spelling_variants", sql=f"""
+WITH RECURSIVE tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+                          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-z\u00C0-\u00FF]+')) AS run
+  FROM documents),
+pairs AS (SELECT doc_id, run, count(*) AS times FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, times, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(
+      list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c: unicode(c)::BIGINT),
+      lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 + (c >> 6), 128 + c % 64] END))),
+    lambda h, b: xor(h >> 8, t[xor(h, b) % 256 + 1])), 4294967295::BIGINT) AS h
+  FROM pairs, tab),
+v AS (
+  SELECT word, sum(times)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2)
+           ELSE run END AS word, times FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INTEGER AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN v b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN v b ON a.cut = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS form_n, arg_min(other, (-other_n, other)) AS form
+  FROM near GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+         CASE WHEN form_n >= 10 * n THEN form_n END::BIGINT AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT w.word, f.form FROM walk w JOIN forms f ON w.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN walk w ON f.word = w.word JOIN forms e ON w.at = e.word WHERE e.form IS NULL
+""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near words, usual form and root of every word of the documents."""
+    from .spelling import variants
+    return variants(spark, table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
