@@ -225,3 +225,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near words, usual form and root of every word of the documents."""
     from .spelling import variants
     return variants(spark, table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@register("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened coordinates of every embedding, one row per component."""
+    from .whitening import whiten
+    out = whiten(spark, table(spark, sf_dir, "embeddings"))
+    pair = F.posexplode(F.arrays_zip("whitened", "explained")).alias("component", "pair")
+    return (out.select("vec_id", "n", "deviation", "identity_error", pair)
+            .select("vec_id", (F.col("component") + 1).alias("component"), "n", "deviation", "pair.whitened",
+                    "pair.explained", "identity_error"))
