@@ -236,3 +236,18 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (out.select("vec_id", "n", "deviation", "identity_error", pair)
             .select("vec_id", (F.col("component") + 1).alias("component"), "n", "deviation", "pair.whitened",
                     "pair.explained", "identity_error"))
+
+
+@register("op13_personal_data")
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: the base rules' spans, and all with those the field adds."""
+    from . import personal_data as pd
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pd.find(docs, pd.fit(docs))
+    count = lambda k: F.size(F.filter("base", lambda s: s.kind == k)).cast("long")
+    names = F.array(*map(F.lit, pd.KINDS))
+    listed = lambda c: F.array_join(F.transform(
+        F.array_sort(c), lambda s: F.concat_ws(":", F.get(names, s.kind), s.start, s.end)), ",")
+    return out.select("doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(pd.KINDS)],
+                      F.sha2(listed("base"), 256).alias("base_sha256"),
+                      listed(F.concat("base", "added")).alias("spans"))

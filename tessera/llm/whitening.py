@@ -21,6 +21,7 @@ An empty table gives no rows.  Only the named columns are read, so others may ha
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -120,7 +121,7 @@ def whiten(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vect
     centred = x.select("row", F.zip_with("x", mean, lambda c, m: c.cast("double") - m).alias("v"))
 
     per_block = _per_block(n)
-    matrix = block_matrix(centred, n, dim, per_block)
+    matrix = block_matrix(centred, n, dim, per_block).persist(StorageLevel.MEMORY_AND_DISK)
     values, vecs = np.linalg.eigh(covariance(matrix, n))
     order = np.argsort(-values, kind="stable")[:min(components, dim)]
     trace, values, vecs = float(values.sum()), values[order], vecs[:, order]
@@ -130,6 +131,7 @@ def whiten(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vect
     small = Matrices.dense(dim, k, weights.flatten(order="F").tolist())
     layer = BlockMatrix(spark.sparkContext.parallelize([((0, 0), small)], 1), dim, k)
     white = stored(array_rows(_times(matrix, layer, 1)), base)
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
     error = None
     if sound.any():
