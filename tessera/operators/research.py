@@ -3,12 +3,15 @@ key terms, the aspect registry, citations and report export."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..functions.arrays import explode_rows
+from ..session import scratch_dir
+from . import page_index as pi
 from .lists import probe_join
 
 # fixed values: field names of the three search providers' payloads
@@ -63,34 +66,12 @@ def fetch_pages(urls: DataFrame, pages: DataFrame, url_col: str = "url") -> Data
              .withColumn("found", F.col("content").isNotNull()))
 
 
-def search_pages(queries: DataFrame, pages: DataFrame, max_results: int = 5,
-                 max_query_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """Keyword search: every query against every page's text.
-
-    Query terms = distinct key-term tokens (ASCII, >= 3 letters, stopwords removed).
-    Identical query texts are searched once.  The term table is broadcast after a size
-    check, so page tokens are matched map-side; (query, page) hit counts are partially
-    aggregated before the shuffle.  Score: distinct matched terms desc, total matched
-    occurrences desc, page_id asc; top ``max_results`` per query."""
-    qtext = queries.select("text").distinct().withColumn("qkey", F.md5("text"))
-    terms = explode_rows(qtext, ["qkey"], F.array_distinct(_terms(F.col("text"))), "token").distinct()
-    stats = terms.agg(F.count("*").alias("n"), F.sum(F.length("token") + 40).alias("b")).first()
-    if (stats["b"] or 0) <= max_query_bytes:
-        terms = F.broadcast(terms)
-    ptok = explode_rows(pages, ["page_id", "url"], _terms(tx.html_to_text(F.col("html"))), "token")
-    hits = (ptok.join(terms, "token")
-                .groupBy("qkey", "page_id")
-                .agg(F.countDistinct("token").alias("distinct_hits"), F.count("*").alias("total_hits"),
-                     F.max("url").alias("url")))
-    w = Window.partitionBy("qkey").orderBy(F.col("distinct_hits").desc(), F.col("total_hits").desc(), "page_id")
-    top = hits.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= max_results)
-    keys = queries.select("query_id", F.md5("text").alias("qkey"))
-    return keys.join(top, "qkey").drop("qkey")
-
-
-def _terms(text: Column) -> Column:
-    """Key-term tokens with repeats (ASCII, >= 3 letters, stopwords removed)."""
-    return F.filter(tx.word_tokens(text), lambda t: t.rlike(tx.KEY_TERM) & ~t.isin(*tx.KEY_TERM_STOPWORDS))
+def search_pages(queries: DataFrame, pages: DataFrame, max_results: int = 5) -> DataFrame:
+    """Keyword search of every query over every page's text, by way of a page index that is written
+    to the shared folder first (``page_index`` keeps one for further searches)."""
+    path = scratch_dir(pages.sparkSession, f"pages_{uuid.uuid4().hex}")
+    pi.write_index(pages, path)
+    return pi.search_index(queries, pi.read_index(pages.sparkSession, path), max_results)
 
 
 def key_terms(df: DataFrame, text_col: str = "summary", out_col: str = "terms") -> DataFrame:

@@ -101,8 +101,9 @@ h AS (SELECT qkey, page_id, url, count(DISTINCT token) AS distinct_hits, count(*
       FROM pt JOIN qt USING (token) GROUP BY qkey, page_id, url),
 top AS (SELECT *, row_number() OVER (PARTITION BY qkey ORDER BY distinct_hits DESC, total_hits DESC, page_id) AS rank
         FROM h)
-SELECT b.item_id AS query_id, top.page_id, top.url, top.distinct_hits, top.total_hits, top.rank
-FROM benchmark b JOIN top ON top.qkey = md5(b.text) WHERE top.rank <= {MAX_RESULTS}""")
+SELECT b.item_id AS query_id, t.page_id, t.url, coalesce(t.distinct_hits, 0) AS distinct_hits,
+       coalesce(t.total_hits, 0) AS total_hits, t.rank
+FROM benchmark b LEFT JOIN (SELECT * FROM top WHERE rank <= {MAX_RESULTS}) t ON t.qkey = md5(b.text)""")
 def q_search_pages(spark, sf):
     qs = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return rs.search_pages(qs, table(spark, sf, "pages"), MAX_RESULTS) \
