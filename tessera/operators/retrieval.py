@@ -1,121 +1,21 @@
-"""Nearest-neighbour retrieval: exact batch kNN (L2 / cosine), inverted-file approximate
-kNN, and rendering hits as a context string.
+"""Nearest-neighbour retrieval: exact batch kNN (L2 / cosine) and approximate kNN over written vector
+indexes, and rendering hits as a context string.
 
-Exact batch kNN plan
---------------------
-The query batch is the small side.  Its size is checked (rows x dim x 8 bytes)
-against ``max_broadcast_bytes``; within the bound it is shipped to every
-executor once as a broadcast variable.  The corpus is scanned with
-``mapInArrow`` (only id + vector columns are read), each task computes the
-distance block with one matrix product per Arrow batch and keeps, per query,
-only its local top-k.  What is shuffled is therefore ``queries x k x tasks``
-rows, independent of the corpus size; a final ``row_number() <= k`` per query
-(planned as a WindowGroupLimit) merges the local winners.  A query batch
-larger than the bound is cut into hash blocks that each fit, and each block
-makes one pass over the corpus.  No cross join is planned.
-
-Ordering is defined as (distance rounded to 6 places, corpus id), so ties are
-resolved identically everywhere and results are reproducible.
+Ordering is defined as (distance rounded to 6 places, corpus id), so ties are resolved identically
+everywhere and results are reproducible.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import scratch_dir
+from .vector_index import MAX_GROUP_BYTES, SAMPLE_RECALL, HyperplaneIndex, PivotIndex
 
 DEFAULT_K = 10
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-_EXCLUDED = np.iinfo(np.int64).max
-_CELLS = 4_000_000  # rows x queries evaluated per numpy block
-RECALL_QUERIES = 256
-SAMPLE_RECALL = 0.95  # on the sampled queries; leaves room for sampling error above 0.9
-
-
-def _topk_columns(r: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Row indices (min(k, m) x nq) of the k smallest (r, id) pairs in each column of r (m x nq).
-
-    ``ids`` has the shape of ``r``.  argpartition finds the k-th value; columns with ties at
-    that boundary are settled exactly by id."""
-    m, nq = r.shape
-    kk = min(k, m)
-    if m > kk:
-        part = np.argpartition(r, kk - 1, axis=0)[:kk]
-    else:
-        part = np.tile(np.arange(m)[:, None], (1, nq))
-    t = np.take_along_axis(r, part, 0).max(0)
-    cnt = (r <= t).sum(0)
-    for j in np.nonzero(cnt > kk)[0]:
-        c = np.nonzero(r[:, j] <= t[j])[0]
-        part[:, j] = c[np.lexsort((ids[c, j], r[c, j]))[:kk]]
-    return part
-
-
-def _batch_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, vectors as a rows x dim matrix) straight from the Arrow buffers."""
-    ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    v = batch.column(1)
-    n = len(batch)
-    lens = pc.list_value_length(v).to_numpy(zero_copy_only=False)
-    if n and (lens == lens[0]).all():
-        X = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, int(lens[0]))
-    else:
-        X = np.vstack([np.asarray(x, dtype=np.float64) for x in v.to_pylist()]) if n else np.empty((0, 0))
-    return ids, X
-
-
-def _out_batch(qids, best_r, best_id, id_name: str):
-    qcol = np.broadcast_to(np.asarray(qids, dtype=np.int64)[None, :], best_r.shape)
-    keep = best_r != _EXCLUDED
-    return pa.RecordBatch.from_arrays([pa.array(qcol[keep]), pa.array(best_id[keep]), pa.array(best_r[keep])],
-                                      names=["query_id", id_name, "r"])
-
-
-def _partition_topk(bc, k: int, metric: str, id_name: str):
-    def run(batches):
-        qids, Q = bc.value
-        nq = Q.shape[0]
-        if metric == "cosine":
-            qn = np.linalg.norm(Q, axis=1)
-            Qs = np.where(qn[:, None] > 0, Q / np.where(qn[:, None] > 0, qn[:, None], 1), 0.0)
-        else:
-            qsq = (Q * Q).sum(1)
-        best_r = np.empty((0, nq), dtype=np.int64)
-        best_id = np.empty((0, nq), dtype=np.int64)
-        step = max(1, _CELLS // max(nq, 1))
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            all_ids, all_X = _batch_arrays(batch)
-            for s in range(0, len(batch), step):
-                ids, X = all_ids[s:s + step], all_X[s:s + step]
-                if metric == "cosine":
-                    xn = np.linalg.norm(X, axis=1)
-                    d = 1.0 - (X @ Qs.T) / np.where(xn > 0, xn, 1)[:, None]
-                    r = np.rint(d * 1e6).astype(np.int64)
-                    r[xn == 0, :] = _EXCLUDED
-                    r[:, qn == 0] = _EXCLUDED
-                else:
-                    d2 = (X * X).sum(1)[:, None] + qsq[None, :] - 2.0 * (X @ Q.T)
-                    r = np.rint(np.sqrt(np.maximum(d2, 0.0)) * 1e6).astype(np.int64)
-                cand_r = np.vstack([best_r, r])
-                cand_id = np.vstack([best_id, np.broadcast_to(ids[:, None], r.shape)])
-                part = _topk_columns(cand_r, cand_id, k)
-                best_r = np.take_along_axis(cand_r, part, 0)
-                best_id = np.take_along_axis(cand_id, part, 0)
-        if best_r.shape[0] == 0:
-            return
-        yield _out_batch(qids, best_r, best_id, id_name)
-
-    return run
 
 
 def knn_single(corpus: DataFrame, query: list[float], k: int = DEFAULT_K, id_col: str = "vec_id",
@@ -130,223 +30,32 @@ def knn_single(corpus: DataFrame, query: list[float], k: int = DEFAULT_K, id_col
     return ranked
 
 
-def _query_shape(q: DataFrame) -> tuple[int, int]:
-    """(rows, vector length) of the query side, for the broadcast size check.  The count prunes
-    the vector column (an embedding step upstream is not run for it); the length is read from
-    one row (fixed-length vectors)."""
-    nq = q.count()
-    first = q.select(F.size("qv").alias("d")).limit(1).collect()
-    return nq, int(first[0]["d"]) if first and first[0]["d"] is not None else 0
-
-
-def _per_query_block(corpus: DataFrame, q: DataFrame, blocks: int, out_schema: T.StructType, sent, search) -> DataFrame:
-    """Answers of all query blocks: ``sent(qids, Q)`` of a block is broadcast and the corpus is
-    scanned with ``search(broadcast)``.  One block stays a lazy scan; of several, each one's answers
-    are written before the next is read, so the driver and the executors hold one block at a time."""
-    spark, blocks = corpus.sparkSession, max(1, blocks)
-    path = scratch_dir(spark, f"knn_{uuid.uuid4().hex}")
-    for b in range(blocks):
-        rows = (q if blocks == 1 else q.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)).toArrow()
-        if not rows.num_rows and blocks > 1:
-            continue
-        v = rows["qv"].combine_chunks()
-        Q = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows.num_rows, -1)
-        bc = spark.sparkContext.broadcast(sent(rows["qid"].combine_chunks().to_numpy(), Q))
-        found = corpus.mapInArrow(search(bc), out_schema)
-        if blocks == 1:
-            return found
-        found.write.mode("append").parquet(path)
-        bc.destroy()
-    return spark.read.schema(out_schema).parquet(path)
-
-
 def knn(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",
         id_col: str = "vec_id", vec_col: str = "embedding",
         query_id_col: str = "query_id", query_vec_col: str = "embedding",
-        max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Exact top-k neighbours of every query.
-
-    Returns ``(query_id, rank, <id_col>, distance)``; rank from 1; distance is
-    Euclidean (``metric='l2'``) or ``1 - cosine`` (``metric='cosine'``, zero
-    vectors never match), rounded to 6 places.  ``id_col`` must be integral.
-    """
-    if metric not in ("l2", "cosine"):
-        raise ValueError(f"unknown metric {metric}")
-    spark = corpus.sparkSession
-    q = queries.select(F.col(query_id_col).cast("long").alias("qid"),
-                       F.col(query_vec_col).cast("array<double>").alias("qv")).where(F.col("qv").isNotNull())
-    nq, dim = _query_shape(q)
-    out_schema = T.StructType([T.StructField("query_id", T.LongType()),
-                               T.StructField(id_col, T.LongType()),
-                               T.StructField("r", T.LongType())])
-    c = (corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-         .where(F.col("v").isNotNull()))
-    if nq == 0:
-        return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
-    local = _per_query_block(c, q, math.ceil(nq * max(dim, 1) * 8 / max_broadcast_bytes), out_schema,
-                             lambda qids, Q: (qids, Q), lambda bc: _partition_topk(bc, k, metric, id_col))
-    w = Window.partitionBy("query_id").orderBy("r", id_col)
-    return (local.withColumn("rank", F.row_number().over(w).cast("long"))
-                 .where(F.col("rank") <= k)
-                 .select("query_id", "rank", id_col, (F.col("r") / F.lit(1e6)).alias("distance")))
-
+        pivots: int | None = None, max_group_bytes: int = MAX_GROUP_BYTES) -> DataFrame:
+    """Exact top-k neighbours of every query, over a ``PivotIndex`` written to the shared folder.
 
-def _nearest_cells(X: np.ndarray, C: np.ndarray, csq: np.ndarray) -> np.ndarray:
-    d2 = (X * X).sum(1)[:, None] + csq[None, :] - 2.0 * (X @ C.T)
-    return np.argmin(d2, axis=1)
+    Returns ``(query_id, rank, <id_col>, distance)``; rank from 1; distance is Euclidean
+    (``metric='l2'``) or ``1 - cosine`` (``metric='cosine'``, zero vectors never match), rounded to 6
+    places.  To search one corpus many times, build its ``PivotIndex`` once."""
+    path = scratch_dir(corpus.sparkSession, f"pivots_{uuid.uuid4().hex}")
+    index = PivotIndex.build(corpus, path, id_col, vec_col, metric, pivots)
+    return index.search(queries, k, query_id_col, query_vec_col, id_col, max_group_bytes)
 
 
-def _centres(c: DataFrame, n: int, n_cells: int, train_rows: int, iterations: int, seed: int) -> np.ndarray:
-    """Cell centres by Spark's k-means on a sample of about ``train_rows`` rows, which stays on the
-    executors; only the centres come to the driver."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    sample = c.sample(fraction=min(1.0, 1.5 * train_rows / n), seed=seed)
-    if n_cells < 2:
-        return np.array([sample.first()["v"] if n > train_rows else c.first()["v"]], dtype=np.float64)
-    model = KMeans(k=n_cells, maxIter=iterations, seed=seed).fit(sample.select(array_to_vector("v").alias("features")))
-    return np.array(model.clusterCenters(), dtype=np.float64)
-
-
-def _assign_cells(bc):
-    def run(batches):
-        C = bc.value
-        csq = (C * C).sum(1)
-        step = max(1, _CELLS // len(C))
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            _, X = _batch_arrays(batch)
-            cells = np.concatenate([_nearest_cells(X[s:s + step], C, csq) for s in range(0, len(X), step)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.int32())],
-                                             names=["id", "v", "cell"])
-
-    return run
-
-
-def _cell_order(Q: np.ndarray, C: np.ndarray):
-    """(first row, cells of each query from the nearest centre on) for runs of queries."""
-    csq = (C * C).sum(1)
-    step = max(1, _CELLS // len(C))
-    for s in range(0, len(Q), step):
-        B = Q[s:s + step]
-        yield s, np.argsort((B * B).sum(1)[:, None] + csq[None, :] - 2.0 * (B @ C.T), axis=1, kind="stable")
-
-
-def _probes(Q: np.ndarray, C: np.ndarray, sizes: np.ndarray, n_probe: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query rows back to back by cell, bounds per cell): each query probes its ``n_probe``
-    nearest cells, and more until they hold k vectors."""
-    cells, rows = [], []
-    for s, order in _cell_order(Q, C):
-        before = np.cumsum(sizes[order], axis=1) - sizes[order]
-        use = (np.arange(len(C)) < n_probe) | (before < k)
-        r, at = np.nonzero(use)
-        cells.append(order[r, at].astype(np.int32))
-        rows.append((r + s).astype(np.int32))
-    if not cells:
-        return np.zeros(0, np.int32), np.zeros(len(C) + 1, np.int64)
-    cell, row = np.concatenate(cells), np.concatenate(rows)
-    by_cell = np.argsort(cell, kind="stable")
-    return row[by_cell], np.searchsorted(cell[by_cell], np.arange(len(C) + 1))
-
-
-def _partition_ivf(bc, k: int, id_name: str):
-    def run(batches):
-        qids, Q, members, bounds = bc.value
-        nq = Q.shape[0]
-        qsq = (Q * Q).sum(1)
-        best_r = np.full((k, nq), _EXCLUDED, dtype=np.int64)
-        best_id = np.full((k, nq), -1, dtype=np.int64)
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            ids, X = _batch_arrays(batch)
-            cells = batch.column(2).to_numpy(zero_copy_only=False)
-            for c in np.unique(cells):
-                qi = members[bounds[c]:bounds[c + 1]]
-                if not len(qi):
-                    continue
-                sel = np.flatnonzero(cells == c)
-                step = max(1, _CELLS // len(qi))
-                for s in range(0, len(sel), step):
-                    Xc, ic = X[sel[s:s + step]], ids[sel[s:s + step]]
-                    d2 = (Xc * Xc).sum(1)[:, None] + qsq[None, qi] - 2.0 * (Xc @ Q[qi].T)
-                    r = np.rint(np.sqrt(np.maximum(d2, 0.0)) * 1e6).astype(np.int64)
-                    cand_r = np.vstack([best_r[:, qi], r])
-                    cand_id = np.vstack([best_id[:, qi], np.broadcast_to(ic[:, None], r.shape)])
-                    part = _topk_columns(cand_r, cand_id, k)
-                    best_r[:, qi] = np.take_along_axis(cand_r, part, 0)
-                    best_id[:, qi] = np.take_along_axis(cand_id, part, 0)
-        if (best_r != _EXCLUDED).any():
-            yield _out_batch(qids, best_r, best_id, id_name)
-
-    return run
-
-
-def _probes_for_recall(stored: DataFrame, q: DataFrame, C: np.ndarray, k: int, recall: float) -> int:
-    """The fewest probes with which a sample of the queries finds ``recall`` of its exact neighbours."""
-    sample = q.orderBy(F.xxhash64("qid"), "qid").limit(RECALL_QUERIES).toArrow()
-    spark = stored.sparkSession
-    asked = spark.createDataFrame(sample.append_column("n", pa.array(np.arange(sample.num_rows))))
-    exact = knn(stored, asked, k, id_col="id", vec_col="v", query_id_col="n", query_vec_col="qv")
-    hits = F.broadcast(exact.select("query_id", "id")).join(stored.select("id", "cell"), "id").toArrow()
-    Q = np.array(sample["qv"].to_pylist(), dtype=np.float64)
-    place = np.empty((len(Q), len(C)), np.int64)
-    for s, order in _cell_order(Q, C):
-        np.put_along_axis(place[s:s + len(order)], order, np.arange(len(C))[None, :], axis=1)
-    needed = np.sort(place[hits["query_id"].to_numpy(), hits["cell"].to_numpy()])
-    return int(needed[max(0, math.ceil(recall * len(needed)) - 1)]) + 1 if len(needed) else len(C)
-
-
-def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, n_cells: int | None = None,
-               n_probe: int = 8, train_rows: int = 20_000, iterations: int = 6, seed: int = 7,
-               id_col: str = "vec_id", vec_col: str = "embedding",
+def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, planes: int | None = None,
+               rows_to_see: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding",
                query_id_col: str = "query_id", query_vec_col: str = "embedding",
-               max_broadcast_bytes: int = MAX_BROADCAST_BYTES, sample_recall: float = SAMPLE_RECALL) -> DataFrame:
-    """Approximate L2 top-k with an inverted-file index built inside the job.
-
-    1. Cell centres: Spark's k-means on a corpus sample of about ``train_rows`` rows; ``n_cells``
-       defaults to about sqrt(corpus rows), at most 4096.
-    2. Every vector is stored with its nearest cell, in the shared folder.
-    3. The exact neighbours of ``RECALL_QUERIES`` sampled queries tell how many probes find
-       ``sample_recall`` of them; every query probes so many of its nearest cells, at least
-       ``n_probe``, and more until its cells hold k vectors.  So a query always gets
-       min(k, corpus rows) rows, and the recall does not fall with the size of the corpus.
-    4. One scan of the stored vectors per query block (blocks as for the exact search): a vector is
-       compared only with the queries probing its cell; each task keeps a local top-k per query,
-       merged by a final ``row_number() <= k``.
-    Results are exact within the probed cells; a neighbour in an unprobed cell is missed, which
-    is what recall measures.  No pair of corpus rows is ever formed, so a crowded cell costs
-    (its size x the queries probing it), never its size squared.
-    """
-    spark = corpus.sparkSession
-    c = corpus.select(F.col(id_col).cast("long").alias("id"),
-                      F.col(vec_col).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
-    n = c.count()
-    out_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()),
-                               T.StructField("r", T.LongType())])
-    q = queries.select(F.col(query_id_col).cast("long").alias("qid"),
-                       F.col(query_vec_col).cast("array<double>").alias("qv")).where(F.col("qv").isNotNull())
-    nq, dim = _query_shape(q)
-    if n == 0 or nq == 0:
-        return spark.createDataFrame([], "query_id long, rank long, %s long, distance double" % id_col)
-    cells = min(n, n_cells or int(min(4096, max(1, round(math.sqrt(n))))))
-    C = _centres(c, n, cells, train_rows, iterations, seed)
-    path = scratch_dir(spark, f"cells_{uuid.uuid4().hex}")
-    schema = "id long, v array<double>, cell int"
-    c.mapInArrow(_assign_cells(spark.sparkContext.broadcast(C)), schema).write.parquet(path)
-    stored = spark.read.schema(schema).parquet(path)
-    sizes = np.zeros(len(C), np.int64)
-    for r in stored.groupBy("cell").count().collect():  # at most 4096 rows
-        sizes[r["cell"]] = r["count"]
-    n_probe = min(len(C), max(n_probe, _probes_for_recall(stored, q, C, k, sample_recall)))
-    local = _per_query_block(stored, q, math.ceil(nq * (max(dim, 1) * 8 + 4 * n_probe) / max_broadcast_bytes), out_schema,
-                             lambda qids, Q: (qids, Q, *_probes(Q, C, sizes, n_probe, k)),
-                             lambda bc: _partition_ivf(bc, k, id_col))
-    w = Window.partitionBy("query_id").orderBy("r", id_col)
-    return (local.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
-                 .select("query_id", "rank", id_col, (F.col("r") / F.lit(1e6)).alias("distance")))
+               sample_recall: float = SAMPLE_RECALL, max_group_bytes: int = MAX_GROUP_BYTES) -> DataFrame:
+    """Approximate L2 top-k over a ``HyperplaneIndex`` written to the shared folder.
+
+    Every query gets min(k, corpus rows) rows, exact within the cells it visits; a neighbour in another
+    cell is missed, which is what recall measures.  How many rows are seen is measured on sampled queries
+    unless ``rows_to_see`` says it."""
+    path = scratch_dir(corpus.sparkSession, f"planes_{uuid.uuid4().hex}")
+    index = HyperplaneIndex.build(corpus, path, id_col, vec_col, planes)
+    return index.search(queries, k, query_id_col, query_vec_col, id_col, rows_to_see, sample_recall, max_group_bytes)
 
 
 def format_context(queries: DataFrame, hits: DataFrame, sections: DataFrame,

@@ -8,6 +8,7 @@ from ..functions import text as tx
 from ..functions import vectors as vx
 from ..operators import retrieval as rt
 from ..operators import sections as sec
+from ..operators import vector_index as vi
 from ..session import scratch_dir
 from ..sources import files as fs
 from . import fixtures as fx
@@ -129,7 +130,39 @@ def q_knn_cosine(spark, sf):
     return rt.knn(e, e.withColumnRenamed("vec_id", "query_id"), k=K, metric="cosine")
 
 
-@register("knn_approx")
+# the hyperplane index in SQL: planes by md5, cells by signs, cells visited by rising cost until they hold the
+# rows that the sampled queries needed
+SQL_KNN_APPROX = f"""
+WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v,
+                  list_transform(embedding, lambda x: floor(x::DOUBLE * {int(vi.UNIT)})) AS w FROM embeddings),
+size AS (SELECT count(*) AS n, max(len(v)) AS dim,
+                least({vi.MAX_PLANES}, greatest(0, floor(log2(greatest(count(*) // {vi.PLANE_ROWS}, 1)))))::INT AS planes FROM e),
+planes AS (SELECT j, list(1.0::DOUBLE - 2 * (('0x' || md5({vi.PLANE_SEED} || ':' || j || ':' || i)[1])::INT % 2) ORDER BY i) AS s
+           FROM size, range({vi.MAX_PLANES}) a(j), range(4096) b(i) WHERE j < planes AND i < dim GROUP BY j),
+m AS (SELECT id, j, list_dot_product(w, s)::BIGINT AS m FROM e, planes),
+code AS (SELECT e.id, coalesce(sum(CASE WHEN m >= 0 THEN 1 << j::INT ELSE 0 END), 0)::INT AS cell
+         FROM e LEFT JOIN m ON m.id = e.id GROUP BY e.id),
+cells AS (SELECT cell, count(*) AS n FROM code GROUP BY cell),
+cost AS (SELECT e.id AS qid, c.cell, any_value(c.n) AS n,
+                coalesce(sum(CASE WHEN (m >= 0)::INT <> (c.cell >> j::INT) % 2 THEN abs(m) ELSE 0 END), 0) AS cost
+         FROM e CROSS JOIN cells c LEFT JOIN m ON m.id = e.id GROUP BY e.id, c.cell),
+seen AS (SELECT qid, cell, coalesce(sum(n) OVER (PARTITION BY qid ORDER BY cost, cell
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM cost),
+pairs AS (SELECT q.id AS qid, c.id, round(list_distance(q.v, c.v), 6) AS distance FROM e q, e c),
+asked AS (SELECT id FROM e ORDER BY md5(id::VARCHAR), id LIMIT {vi.RECALL_QUERIES}),
+exact AS (SELECT qid, id FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, id) AS rn
+                               FROM pairs WHERE qid IN (SELECT id FROM asked)) WHERE rn <= {K}),
+need AS (SELECT list_sort(list(seen))[greatest(1, ceil({vi.SAMPLE_RECALL}::DOUBLE * count(*)))::INT] + 1 AS need
+         FROM exact JOIN code USING (id) JOIN seen ON seen.qid = exact.qid AND seen.cell = code.cell)
+SELECT query_id, rank, vec_id, distance FROM (
+  SELECT p.qid AS query_id, p.id AS vec_id, p.distance,
+         row_number() OVER (PARTITION BY p.qid ORDER BY p.distance, p.id) AS rank
+  FROM pairs p JOIN code USING (id) JOIN seen s ON s.qid = p.qid AND s.cell = code.cell
+  WHERE s.seen < (SELECT greatest({K}, need) FROM need))
+WHERE rank <= {K}"""
+
+
+@register("knn_approx", SQL_KNN_APPROX)
 def q_knn_approx(spark, sf):
     e = table(spark, sf, "embeddings")
     return rt.knn_approx(e, e.withColumnRenamed("vec_id", "query_id"), k=K)

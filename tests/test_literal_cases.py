@@ -144,13 +144,14 @@ def test_knn_ties_broken_by_id(spark):
 
 
 def test_knn_query_blocks(spark):
-    """A tiny broadcast bound forces several query blocks; the result must not change."""
+    """A tiny bound forces groups of one query, and several pivots; the result must not change."""
     rows = [(i, [float(i % 7), float(i % 3)]) for i in range(40)]
     c = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     q = c.withColumnRenamed("vec_id", "query_id")
     a = sorted(tuple(r) for r in rt.knn(c, q, k=4).collect())
-    b = sorted(tuple(r) for r in rt.knn(c, q, k=4, max_broadcast_bytes=64).collect())
-    assert a == b and len(a) == 160
+    b = sorted(tuple(r) for r in rt.knn(c, q, k=4, max_group_bytes=64).collect())
+    d = sorted(tuple(r) for r in rt.knn(c, q, k=4, pivots=9).collect())
+    assert a == b == d and len(a) == 160
 
 
 def test_duplicate_uri_in_batch(spark):

@@ -47,19 +47,6 @@ def test_url_lists_have_no_duplicates(spark, sf_small):
     assert r.where(F.size("urls") != F.size(F.array_distinct("urls"))).count() == 0
 
 
-def test_approximate_recall(spark, sf_small):
-    e = table(spark, sf_small, "embeddings")
-    q = e.withColumnRenamed("vec_id", "query_id")
-    exact = rt.knn(e, q, k=10).select("query_id", "vec_id")
-    approx = rt.knn_approx(e, q, k=10).select("query_id", "vec_id")
-    hit = exact.join(approx, ["query_id", "vec_id"]).count()
-    recall = hit / exact.count()
-    # approximate by design; recall is measured against the exact answer
-    assert recall > 0.5, recall
-    full = rt.knn_approx(e, q, k=10, n_probe=10_000).select("query_id", "vec_id")
-    assert full.join(exact, ["query_id", "vec_id"]).count() == exact.count()  # all cells probed = exact
-
-
 def test_approximate_recall_does_not_fall_with_size(spark, sf_small):
     for sf in (sf_small, "/root/testdata/sf0.1"):
         e = table(spark, sf, "embeddings")
@@ -72,18 +59,6 @@ def test_approximate_recall_does_not_fall_with_size(spark, sf_small):
         assert recall >= 0.9, (sf, recall)
 
 
-def test_approximate_search_gives_k_rows(spark, sf_small):
-    """Cells of one or two vectors: a few probes alone would not hold k of them; blocks change nothing."""
-    e = table(spark, sf_small, "embeddings").limit(60)
-    q = e.withColumnRenamed("vec_id", "query_id")
-    got = rt.knn_approx(e, q, k=10, n_cells=50, n_probe=1, sample_recall=0.0)
-    assert {r["count"] for r in got.groupBy("query_id").count().collect()} == {10}
-    assert rt.knn_approx(e, q, k=100).count() == 3600
-    small = rt.knn(e, q, k=10, max_broadcast_bytes=8000)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, rt.knn(e, q, k=10).collect()))
-    assert rt.knn_approx(e, q, k=10, n_probe=100, max_broadcast_bytes=8000).exceptAll(small).count() == 0
-
-
 def test_detected_languages_mostly_right(spark, sf_small):
     from tessera.operators import sections as sec
     d = table(spark, sf_small, "documents")
