@@ -59,13 +59,13 @@ def knn_approx(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, planes
 
 
 def format_context(queries: DataFrame, hits: DataFrame, sections: DataFrame,
-                   query_id_col: str = "query_id", id_col: str = "section_id") -> DataFrame:
+                   query_id_col: str = "query_id", id_col: str = "uri") -> DataFrame:
     """One context string per query: hits in rank order rendered as
     ``"# {title}\\nURI:{uri}\\n\\n{content}\\n"`` joined by a blank line; no hits -> "".
 
     ``hits`` is bounded (queries x k rows); sections are joined to it, so the section
     table is scanned once and never shuffled whole when the hit side is small (AQE)."""
-    h = hits.join(sections.select(id_col, "uri", "title", "content"), id_col)
+    h = hits.join(sections.select(*dict.fromkeys([id_col, "uri", "title", "content"])), id_col)
     piece = F.concat(F.lit("# "), F.col("title"), F.lit("\nURI:"), F.col("uri"), F.lit("\n\n"),
                      F.col("content"), F.lit("\n"))
     per_q = (h.groupBy(F.col("query_id").alias(query_id_col))

@@ -110,40 +110,31 @@ FUNCTION_WORDS = {
 HAN_SHARE = 0.3
 
 
-def function_word_table(spark):
-    rows = [(lang, w) for lang, ws in FUNCTION_WORDS.items() for w in ws]
-    return spark.createDataFrame(rows, "lang string, word string")
-
-
 def detect_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     detector=None) -> DataFrame:
     """(id, detected_lang, hits): the language whose function words occur most often
     (ties by language code); texts with a Han-character share above ``HAN_SHARE`` are ``zh``;
     no hit at all gives ``unknown``.
 
-    One pass over the texts: tokens are exploded and looked up in the broadcast word table (a
-    fixed few dozen rows), and the per-language counts are conditional sums grouped by text id.
-    All tokens of a text sit in the same task, so the map-side partial aggregate already
-    reduces them to one row per text before the only shuffle."""
+    Narrow: one pattern takes all function words of a text, in any language, as whole tokens, and each
+    language counts its own among them.  No row is exploded and nothing is shuffled."""
     if detector is not None:
         return detector(df, id_col, text_col)
-    spark = df.sparkSession
-    words = F.broadcast(function_word_table(spark))
+    langs = sorted(FUNCTION_WORDS)
+    every = sorted({w for ws in FUNCTION_WORDS.values() for w in ws})
+    word = r"[\p{L}\p{N}_]"
+    found = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(f"(?<!{word})(?:{'|'.join(every)})(?!{word})"), 0)
     n_chars = F.length(F.regexp_replace(F.col(text_col), r"\s", ""))
     han = F.length(F.regexp_replace(F.col(text_col), r"[^\p{IsHan}]", ""))
-    share = F.when(n_chars > 0, han / n_chars).otherwise(F.lit(0.0))
-    base = df.select(id_col, share.alias("han_share"), tx.word_tokens(F.col(text_col)).alias("toks"))
-    toks = base.select(id_col, "han_share", F.explode_outer("toks").alias("word"))
-    langs = sorted(FUNCTION_WORDS)
-    per = (toks.join(words, "word", "left")
-               .groupBy(id_col)
-               .agg(F.max("han_share").alias("han_share"),
-                    *[F.count(F.when(F.col("lang") == lg, 1)).alias(f"n_{lg}") for lg in langs]))
+    mostly_han = F.when(n_chars > 0, han / n_chars > HAN_SHARE).otherwise(F.lit(False))
+    per = df.select(id_col, mostly_han.alias("han"), found.alias("found"))
+    count = lambda lg: F.size(F.filter("found", lambda w: w.isin(*FUNCTION_WORDS[lg])))
+    per = per.select(id_col, "han", *[F.coalesce(F.greatest(count(lg), F.lit(0)), F.lit(0)).alias(f"n_{lg}")
+                                      for lg in langs])
     best = F.greatest(*[F.col(f"n_{lg}") for lg in langs])
     pick = None
     for lg in langs:  # alphabetical: the first language reaching the maximum wins a tie
         cond = F.col(f"n_{lg}") == best
         pick = F.when(cond, F.lit(lg)) if pick is None else pick.when(cond, F.lit(lg))
-    detected = (F.when(F.col("han_share") > HAN_SHARE, F.lit("zh"))
-                 .when(best == 0, F.lit("unknown")).otherwise(pick))
+    detected = F.when(F.col("han"), F.lit("zh")).when(best == 0, F.lit("unknown")).otherwise(pick)
     return per.select(id_col, detected.alias("detected_lang"), best.cast("long").alias("hits"))

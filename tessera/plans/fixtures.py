@@ -14,7 +14,6 @@ from ..operators import sections as sec
 from .common import table
 
 CHUNK_SENTENCES = 10
-SECTION_ID_STRIDE = 1_000_000  # section_id = doc_id * stride + chunk index
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,11 +36,10 @@ def doc_chunks(spark: SparkSession, sf: str, batch_size: int = CHUNK_SENTENCES,
 
 
 def chunk_sections(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
-    """Book sections of every document chunk, with an integral ``section_id``."""
+    """Book sections of every document chunk, with the chunk they come from."""
     c = doc_chunks(spark, sf, docs=docs)
     s = sec.book_sections(c)
-    return s.select((F.col("doc_id") * SECTION_ID_STRIDE + F.col("chunk_idx")).alias("section_id"),
-                    "uri", "title", "content", "embedding_content")
+    return s.select("doc_id", "chunk_idx", "uri", "title", "content", "embedding_content")
 
 
 def text_queries(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,7 +55,7 @@ def doc_section_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("doc_id") % 10 == 0, F.lit(None)).otherwise(F.col("doc_id") - 1).cast("int").alias("parent"),
         F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit(".md")).alias("path"),
         (F.col("doc_id") % 3 + 1).cast("int").alias("level"),
-        F.substring("text", 1, 40).alias("title"),
+        F.col("text").alias("title"),
         F.col("text").alias("content"))
 
 

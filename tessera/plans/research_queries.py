@@ -271,12 +271,12 @@ def q_citation_integrity(spark, sf):
 def plan_subtasks(spark, sf):
     d = table(spark, sf, "documents")
     return d.select(F.col("source").alias("plan_id"), F.col("doc_id").alias("pos"), F.col("lang").alias("id"),
-                    F.substring("text", 1, 40).alias("title"),
+                    F.col("text").alias("title"),
                     F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("objective"))
 
 
 @register("subtask_lookup", """
-WITH s AS (SELECT source AS plan_id, doc_id AS pos, lang AS id, substr(text, 1, 40) AS title,
+WITH s AS (SELECT source AS plan_id, doc_id AS pos, lang AS id, text AS title,
                   'doc ' || doc_id AS objective FROM documents),
 f AS (SELECT plan_id, id, min(pos) AS pos, arg_min(title, pos) AS title, arg_min(objective, pos) AS objective
       FROM s GROUP BY plan_id, id),

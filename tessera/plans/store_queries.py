@@ -13,9 +13,7 @@ from ..session import scratch_dir
 from ..sinks import store as st
 from . import fixtures as fx
 from .common import register, table
-from .text_queries import DIM, L2, SQL_SECTIONS, _VEC, sql_embed, sql_knn
-
-COPY_OFFSET = 10 ** 16  # positions of repeated rows come after every original row
+from .text_queries import COS, DIM, L2, SQL_SECTIONS, _VEC, sql_embed, sql_knn
 
 
 def emb_sum(vec):
@@ -23,45 +21,47 @@ def emb_sum(vec):
     return (F.round(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x), 6) + F.lit(0.0)).alias("emb_sum")
 
 
-def sections_with_doc(spark, sf):
-    return fx.chunk_sections(spark, sf).withColumn(
-        "doc_id", F.floor(F.col("section_id") / fx.SECTION_ID_STRIDE).cast("long"))
+def stored_sections(spark, sf):
+    """Sections of even documents: what is stored before the load."""
+    return fx.chunk_sections(spark, sf).where(F.col("doc_id") % 2 == 0)
 
 
 def store_fixture(spark, sf):
-    """Sections of even documents, embedded: the store before the load."""
-    s = sections_with_doc(spark, sf).where(F.col("doc_id") % 2 == 0)
-    return vx.embed_text(s, "embedding_content", "embedding", DIM).select(*st.SECTION_COLS, "embedding")
+    """A store loaded with the sections of even documents."""
+    store = st.SectionStore.create(spark, scratch_dir(spark, f"store_{uuid.uuid4().hex}"), dim=DIM)
+    store.load(stored_sections(spark, sf).withColumn("pos", F.struct("doc_id", "chunk_idx")))
+    return store
 
 
 def batch_fixture(spark, sf):
     """Every section once (in section order) plus a changed repeat of every section of
     documents with doc_id % 7 = 0, positioned after all originals."""
-    s = sections_with_doc(spark, sf)
-    first = F.struct(F.col("content").alias("content"), F.col("embedding_content").alias("embedding_content"),
-                     F.col("section_id").alias("pos"))
+    s = fx.chunk_sections(spark, sf)
+    pos = lambda copy: F.struct(F.lit(copy).alias("copy"), "doc_id", "chunk_idx").alias("pos")
+    first = F.struct("content", "embedding_content", pos(0))
     again = F.struct(F.concat("content", F.lit(" (copy)")).alias("content"),
-                     F.concat("embedding_content", F.lit(" (copy)")).alias("embedding_content"),
-                     (F.col("section_id") + F.lit(COPY_OFFSET)).alias("pos"))
+                     F.concat("embedding_content", F.lit(" (copy)")).alias("embedding_content"), pos(1))
     # one pass over the sections: each row yields itself and, for every seventh document, its repeat
     rows = F.when(F.col("doc_id") % 7 == 0, F.array(first, again)).otherwise(F.array(first))
     return s.select("uri", "title", F.inline(rows))
 
 
-SQL_SECS_DOC = f"SELECT *, section_id // 1000000 AS doc_id FROM ({SQL_SECTIONS})"
-SQL_STORE0 = f"SELECT * FROM ({SQL_SECS_DOC}) WHERE doc_id % 2 = 0"
+SQL_STORE0 = f"SELECT * FROM ({SQL_SECTIONS}) WHERE doc_id % 2 = 0"
 SQL_BATCH = f"""
-SELECT uri, title, content, embedding_content, section_id AS pos FROM ({SQL_SECS_DOC})
+SELECT 0 AS copy, doc_id, chunk_idx, uri, title, content, embedding_content FROM ({SQL_SECTIONS})
 UNION ALL
-SELECT uri, title, content || ' (copy)', embedding_content || ' (copy)', section_id + {COPY_OFFSET}
-FROM ({SQL_SECS_DOC}) WHERE doc_id % 7 = 0"""
+SELECT 1, doc_id, chunk_idx, uri, title, content || ' (copy)', embedding_content || ' (copy)'
+FROM ({SQL_SECTIONS}) WHERE doc_id % 7 = 0"""
 SQL_DEDUPED = f"""
-SELECT uri, arg_min(title, pos) AS title, arg_min(content, pos) AS content,
-       arg_min(embedding_content, pos) AS embedding_content, min(pos) AS pos, count(*) AS copies
-FROM ({SQL_BATCH}) GROUP BY uri"""
-SQL_FINAL_STORE = f"""
-WITH store0 AS ({SQL_STORE0}),
-newrows AS (SELECT * FROM ({SQL_DEDUPED}) d WHERE NOT EXISTS (SELECT 1 FROM store0 s WHERE s.uri = d.uri)),
+SELECT uri, title, content, embedding_content, copies FROM (
+  SELECT *, row_number() OVER (PARTITION BY uri ORDER BY copy, doc_id, chunk_idx) AS rn,
+         count(*) OVER (PARTITION BY uri) AS copies FROM ({SQL_BATCH})) WHERE rn = 1"""
+
+
+def sql_store(new: str) -> str:
+    """The stored rows after ``new`` rows were added."""
+    return f"""
+WITH store0 AS ({SQL_STORE0}), newrows AS ({new}),
 allrows AS (SELECT uri, title, content, embedding_content FROM store0
             UNION ALL SELECT uri, title, content, embedding_content FROM newrows),
 emb AS {sql_embed('SELECT uri, embedding_content FROM allrows', 'uri', 'embedding_content')}
@@ -69,35 +69,60 @@ SELECT a.uri, a.title, md5(a.content) AS content_md5, round(list_sum(e.emb), 6)
 FROM allrows a JOIN emb e ON e.id = a.uri"""
 
 
+SQL_FINAL_STORE = sql_store(
+    f"SELECT * FROM ({SQL_DEDUPED}) d WHERE NOT EXISTS (SELECT 1 FROM store0 s WHERE s.uri = d.uri)")
+SQL_COLLECTION = f"""
+SELECT d.*, (s.uri IS NOT NULL) AS "exists",
+       CASE WHEN d.copies > 1 THEN 'reject_duplicate' WHEN s.uri IS NOT NULL THEN 'skip_existing'
+            ELSE 'insert' END AS action
+FROM ({SQL_DEDUPED}) d LEFT JOIN ({SQL_STORE0}) s ON s.uri = d.uri"""
+
+
+def stored_rows(sections):
+    return sections.select("uri", "title", F.md5("content").alias("content_md5"), emb_sum(F.col("embedding")))
+
+
 @register("load_sections", SQL_FINAL_STORE)
 def q_load_sections(spark, sf):
-    path = scratch_dir(spark, f"store_{uuid.uuid4().hex}")
-    store_fixture(spark, sf).write.parquet(path)
-    st.load_sections(spark, path, batch_fixture(spark, sf), dim=DIM)
-    out = spark.read.parquet(path)
-    return out.select("uri", "title", F.md5("content").alias("content_md5"),
-                      emb_sum(F.col("embedding")))
+    store = store_fixture(spark, sf)
+    st.load_sections(spark, store.path, batch_fixture(spark, sf), dim=DIM)
+    return stored_rows(store.sections())
 
 
 @register("load_collection", f"""
-WITH store0 AS ({SQL_STORE0}),
-d AS (SELECT uri, count(*) AS copies FROM ({SQL_BATCH}) GROUP BY uri)
-SELECT d.uri, d.copies, (s.uri IS NOT NULL) AS "exists",
-       CASE WHEN d.copies > 1 THEN 'reject_duplicate' WHEN s.uri IS NOT NULL THEN 'skip_existing'
-            ELSE 'insert' END AS action
-FROM d LEFT JOIN store0 s ON s.uri = d.uri""")
+WITH c AS ({SQL_COLLECTION}), stored AS ({sql_store(f"SELECT * FROM ({SQL_COLLECTION}) WHERE action = 'insert'")})
+SELECT c.uri, c.copies, c."exists", c.action, s.content_md5, s.emb_sum FROM c LEFT JOIN stored s ON s.uri = c.uri""")
 def q_load_collection(spark, sf):
-    store = sections_with_doc(spark, sf).where(F.col("doc_id") % 2 == 0).select("uri")
-    return st.collection_actions(batch_fixture(spark, sf), store)
+    """The strict load's report, with what the store holds of each uri after it."""
+    store = store_fixture(spark, sf)
+    report = store.load_collection(batch_fixture(spark, sf))
+    return report.join(stored_rows(store.sections()).drop("title"), "uri", "left")
 
 
 @register("new_sections_only", f"""
-SELECT b.uri, b.pos, md5(b.content) AS content_md5 FROM ({SQL_BATCH}) b
+SELECT b.uri, b.copy, b.doc_id, b.chunk_idx, md5(b.content) AS content_md5 FROM ({SQL_BATCH}) b
 WHERE NOT EXISTS (SELECT 1 FROM ({SQL_STORE0}) s WHERE s.uri = b.uri)""")
 def q_new_sections_only(spark, sf):
-    store = sections_with_doc(spark, sf).where(F.col("doc_id") % 2 == 0).select("uri")
-    b = st.new_sections_only(batch_fixture(spark, sf), store)
-    return b.select("uri", "pos", F.md5("content").alias("content_md5"))
+    b = st.new_sections_only(batch_fixture(spark, sf), store_fixture(spark, sf))
+    return b.select("uri", "pos.copy", "pos.doc_id", "pos.chunk_idx", F.md5("content").alias("content_md5"))
+
+
+@register("search_store", f"""
+WITH stored AS (SELECT uri, title, content, embedding_content FROM ({SQL_STORE0})
+                UNION ALL SELECT uri, title, content, embedding_content FROM ({SQL_DEDUPED}) d
+                WHERE NOT EXISTS (SELECT 1 FROM ({SQL_STORE0}) s WHERE s.uri = d.uri)),
+hits AS ({sql_knn(sql_embed('SELECT item_id, text FROM benchmark', 'item_id', 'text'),
+                  sql_embed('SELECT uri, embedding_content FROM stored', 'uri', 'embedding_content'),
+                  COS, id_name='uri')})
+SELECT h.query_id, h.rank, h.uri, h.distance, s.title, md5(s.content) AS content_md5
+FROM hits h JOIN stored s ON s.uri = h.uri""")
+def q_search_store(spark, sf):
+    """Two loads by uri, then the cosine top-10 sections of every benchmark text."""
+    store = store_fixture(spark, sf)
+    store.load(batch_fixture(spark, sf))
+    qs = vx.embed_text(fx.text_queries(spark, sf), "text", "embedding", DIM)
+    hits = store.index("cosine").search(qs, rt.DEFAULT_K, id_col="uri")
+    return hits.join(store.sections().select("uri", "title", F.md5("content").alias("content_md5")), "uri")
 
 
 @register("zip_results", f"""
@@ -124,8 +149,8 @@ def q_zip_results(spark, sf):
 @register("fan_out_cap", """
 SELECT run, pos, prompt FROM (
   SELECT source AS run, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS pos,
-         substr(text, 1, 40) AS prompt FROM documents) WHERE pos <= 10""")
+         text AS prompt FROM documents) WHERE pos <= 10""")
 def q_fan_out_cap(spark, sf):
     d = table(spark, sf, "documents")
-    p = d.select(F.col("source").alias("run"), "doc_id", F.substring("text", 1, 40).alias("prompt"))
+    p = d.select(F.col("source").alias("run"), "doc_id", F.col("text").alias("prompt"))
     return ls.fan_out_cap(p, "run", "doc_id", cap=10).select("run", "pos", "prompt")

@@ -168,11 +168,8 @@ def q_stream_partial_records(spark, sf):
 @register("stream_load_sections", sq.SQL_FINAL_STORE)
 def q_stream_load_sections(spark, sf):
     base, src, ckpt = _fresh(spark, "stream_store")
-    sq.batch_fixture(spark, sf).write.parquet(src)
-    store = f"{base}/store"
-    sq.store_fixture(spark, sf).write.parquet(store)
-    out = ss.run_stream_load(spark, src, "uri string, title string, content string, embedding_content string, pos long",
-                             store, ckpt)
-    return out.select("uri", "title", F.md5("content").alias("content_md5"),
-                      sq.emb_sum(F.col("embedding")))
-
+    batch = sq.batch_fixture(spark, sf)
+    batch.where("pos.copy = 0").write.parquet(src)
+    batch.where("pos.copy = 1").write.mode("append").parquet(src)  # repeats arrive after every original
+    store = sq.store_fixture(spark, sf)
+    return sq.stored_rows(ss.run_stream_load(spark, src, batch.schema, store.path, ckpt, max_files=3))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -10,6 +12,7 @@ from ..operators import retrieval as rt
 from ..operators import sections as sec
 from ..operators import vector_index as vi
 from ..session import scratch_dir
+from ..sinks import store as st
 from ..sources import files as fs
 from . import fixtures as fx
 from .common import (q, register, sql_chunks, sql_sentences, sql_slug, sql_stem, sql_strip,
@@ -26,8 +29,8 @@ SELECT doc_id, source, path, unnest(range(len(ch))) AS chunk_idx, unnest(ch) AS
 FROM (SELECT doc_id, source, 'books/' || source || '/' || doc_id || '.pdf' AS path,
              {sql_chunks('sents', fx.CHUNK_SENTENCES)} AS ch FROM ({SQL_SENTENCES}))"""
 SQL_SECTIONS = f"""
-SELECT section_id, uri, title, content, 'title: ' || title || '{NL}{NL}' || content AS embedding_content
-FROM (SELECT doc_id * {fx.SECTION_ID_STRIDE} + chunk_idx AS section_id, path || '/' || chunk_idx AS uri,
+SELECT doc_id, chunk_idx, uri, title, content, 'title: ' || title || '{NL}{NL}' || content AS embedding_content
+FROM (SELECT doc_id, chunk_idx, path || '/' || chunk_idx AS uri,
              {sql_stem('path')} || ' #' || chunk_idx AS title, chunk AS content FROM ({SQL_CHUNKS}))"""
 
 
@@ -168,37 +171,36 @@ def q_knn_approx(spark, sf):
     return rt.knn_approx(e, e.withColumnRenamed("vec_id", "query_id"), k=K)
 
 
-def section_vectors(spark, sf):
-    s = fx.chunk_sections(spark, sf)
-    return vx.embed_text(s, "embedding_content", "embedding", DIM)
+def section_store(spark, sf):
+    """A store with the sections of every document, embedded once."""
+    store = st.SectionStore.create(spark, scratch_dir(spark, f"store_{uuid.uuid4().hex}"), dim=DIM)
+    store.load(fx.chunk_sections(spark, sf).withColumn("pos", F.struct("doc_id", "chunk_idx")))
+    return store
+
+
+def embedded_queries(spark, sf):
+    return vx.embed_text(fx.text_queries(spark, sf), "text", "embedding", DIM)
 
 
 def context_for_queries(spark, sf):
-    """The minimum slice: documents -> sentences -> chunks(10) -> sections -> embeddings ->
-    exact L2 top-10 for every benchmark text -> rendered context."""
-    secs = section_vectors(spark, sf)
-    qs = vx.embed_text(fx.text_queries(spark, sf), "text", "embedding", DIM)
-    # The hit table (queries x k rows) is used twice below; it is checkpointed to the shared
-    # folder so the corpus scan behind it runs once.
-    hits = rt.knn(secs, qs, k=K, metric="l2", id_col="section_id").checkpoint(eager=True)
-    # Rendering needs the text of at most queries x k sections: re-chunk only the documents that
-    # hold a hit.  The hit set is bounded by the checked query batch times k, so it is broadcast
-    # and the corpus is filtered by a map-side semi join before any sentence work.
-    hit_docs = hits.select(F.floor(F.col("section_id") / fx.SECTION_ID_STRIDE).cast("long").alias("doc_id"))
-    docs = fx.documents(spark, sf).join(F.broadcast(hit_docs.distinct()), "doc_id", "left_semi")
-    return rt.format_context(qs, hits, fx.chunk_sections(spark, sf, docs), id_col="section_id")
+    """The minimum slice: documents -> sentences -> chunks(10) -> sections -> loaded store ->
+    exact L2 top-10 by uri for every benchmark text -> rendered context."""
+    store, qs = section_store(spark, sf), embedded_queries(spark, sf)
+    hits = store.index().search(qs, K, id_col="uri")
+    return rt.format_context(qs, hits, store.sections(), id_col="uri")
 
 
 _SECS = f"(SELECT * FROM ({SQL_SECTIONS}))"
-_SEC_EMB = sql_embed(SQL_SECTIONS, "section_id", "embedding_content")
+_SEC_EMB = sql_embed(SQL_SECTIONS, "uri", "embedding_content")
 _Q_EMB = sql_embed("SELECT item_id, text FROM benchmark", "item_id", "text")
+SQL_HITS = sql_knn(_Q_EMB, _SEC_EMB, L2, id_name='uri')
 SQL_CONTEXT = f"""
-WITH hits AS ({sql_knn(_Q_EMB, _SEC_EMB, L2, id_name='section_id')}),
+WITH hits AS ({SQL_HITS}),
 secs AS {_SECS}
 SELECT b.item_id AS query_id,
        coalesce(string_agg('# ' || s.title || '{NL}URI:' || s.uri || '{NL}{NL}' || s.content || '{NL}',
                            '{NL}{NL}' ORDER BY h.rank), '') AS context
-FROM benchmark b LEFT JOIN hits h ON h.query_id = b.item_id LEFT JOIN secs s ON s.section_id = h.section_id
+FROM benchmark b LEFT JOIN hits h ON h.query_id = b.item_id LEFT JOIN secs s ON s.uri = h.uri
 GROUP BY b.item_id"""
 
 
@@ -207,11 +209,9 @@ def q_format_context(spark, sf):
     return context_for_queries(spark, sf)
 
 
-@register("knn_sections", f"SELECT query_id, rank, section_id, distance FROM ({sql_knn(_Q_EMB, _SEC_EMB, L2, id_name='section_id')})")
+@register("knn_sections", f"SELECT query_id, rank, uri, distance FROM ({SQL_HITS})")
 def q_knn_sections(spark, sf):
-    secs = section_vectors(spark, sf)
-    qs = vx.embed_text(fx.text_queries(spark, sf), "text", "embedding", DIM)
-    return rt.knn(secs, qs, k=K, metric="l2", id_col="section_id")
+    return section_store(spark, sf).index().search(embedded_queries(spark, sf), K, id_col="uri")
 
 
 # --- sources and per-document projections ------------------------------------
@@ -233,7 +233,7 @@ def q_read_text_docs(spark, sf):
 
 SQL_DOC_ROWS = """
 SELECT doc_id::INT AS id, CASE WHEN doc_id % 10 = 0 THEN NULL ELSE doc_id - 1 END::INT AS parent,
-       source || '/' || lang || '.md' AS path, (doc_id % 3 + 1)::INT AS level, substr(text, 1, 40) AS title,
+       source || '/' || lang || '.md' AS path, (doc_id % 3 + 1)::INT AS level, text AS title,
        text AS content FROM documents"""
 
 

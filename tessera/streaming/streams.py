@@ -136,14 +136,16 @@ def run_partial_records(spark: SparkSession, source: str, schema: str, base: str
 
 # --- streaming section loads --------------------------------------------------------
 
-def run_stream_load(spark: SparkSession, source: str, schema: str, store_path: str, checkpoint: str,
+def run_stream_load(spark: SparkSession, source: str, schema, store_path: str, checkpoint: str,
                     dim: int = vx.DEFAULT_DIM, max_files: int | None = None) -> DataFrame:
     """Sections arriving as files are loaded into the store by uri, insert-only; a replayed or
     repeated batch adds nothing (anti join against the store)."""
     s = _source(spark, source, schema, max_files)
 
+    store = st.SectionStore.open_or_create(spark, store_path, dim=dim)
+
     def write(df: DataFrame, epoch: int):
-        st.load_sections(df.sparkSession, store_path, df, dim=dim)
+        store.load(df)
 
     _run(s.writeStream.foreachBatch(write), checkpoint)
-    return spark.read.parquet(store_path)
+    return store.sections()

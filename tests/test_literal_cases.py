@@ -1,6 +1,7 @@
 """Literal cases (FIXTURES.md part 3) with expected values worked out by hand."""
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from tessera.operators import records as rc
 from tessera.operators import research as rs
 from tessera.operators import retrieval as rt
 from tessera.operators import sections as sec
+from tessera.session import scratch_dir
 from tessera.sinks import store as st
 
 
@@ -117,8 +119,8 @@ def test_sql_guard(spark):
 
 def test_no_hits_gives_empty_context(spark):
     queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<double>")
-    store = spark.createDataFrame([], "section_id long, uri string, title string, content string, embedding array<double>")
-    hits = rt.knn(store, queries, k=10, id_col="section_id")
+    store = spark.createDataFrame([], "uri string, title string, content string, embedding array<double>")
+    hits = rt.knn(store, queries, k=10, id_col="uri")
     assert rt.format_context(queries, hits, store).first()["context"] == ""
 
 
@@ -158,11 +160,14 @@ def test_duplicate_uri_in_batch(spark):
     batch = spark.createDataFrame([("u1", "t", "first", "e1", 1), ("u1", "t", "second", "e2", 2),
                                    ("u2", "t", "x", "e3", 3)],
                                   "uri string, title string, content string, embedding_content string, pos long")
-    store = spark.createDataFrame([("u2", "t", "old", [0.0] * 64)],
-                                  "uri string, title string, content string, embedding array<double>")
-    rows, dup = st.plan_load(batch, store)
+    store = st.SectionStore.create(spark, scratch_dir(spark, f"dup_{uuid.uuid4().hex}"))
+    store.load(spark.createDataFrame([("u2", "t", "old", "e0", 1)], batch.schema))
+    rows, report = store.plan(batch)
     assert [(r["uri"], r["content"]) for r in rows.collect()] == [("u1", "first")]
+    assert sorted((r["uri"], r["copies"], r["exists"]) for r in report.collect()) == [("u1", 2, False), ("u2", 1, True)]
+    dup = st.load_sections(spark, store.path, batch)
     assert [(r["uri"], r["dropped"]) for r in dup.collect()] == [("u1", 1)]
+    assert sorted((r["uri"], r["content"]) for r in store.sections().collect()) == [("u1", "first"), ("u2", "old")]
 
 
 def test_split_marked_text(spark):

@@ -9,7 +9,6 @@ import __spark_entry__ as E
 from tessera.plans import load_all
 from tessera.plans import fixtures as fx
 from tessera.plans import store_queries as sq
-from tessera.sinks import store as st
 
 SF = "/root/testdata/sf0.001"
 LIBRARY, LIBRARY_SQL = load_all()
@@ -42,12 +41,12 @@ def test_knn_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_store_dedupe_is_partial_and_probe_is_broadcast(spark):
+def test_store_probe_reads_only_the_parts_in_question(spark):
     store = sq.store_fixture(spark, SF)
-    rows, _ = st.plan_load(sq.batch_fixture(spark, SF), store)
-    p = plan(rows, "simple")
-    assert "partial_min_by" in p
-    assert "LeftSemi" in p and "BroadcastExchange" in p
+    some = store.sections().where("part IN (3, 5)").select("uri").limit(3)
+    p = plan(store.stored(some))
+    assert "PartitionFilters: [isnotnull(part" in p
+    assert "ReadSchema: struct<uri:string>" in p
 
 
 def test_fan_out_cap_partial_limit(spark):
@@ -60,6 +59,6 @@ def test_time_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in p and "LessThan(ts," in p
 
 
-def test_language_vote_partial_aggregate(spark):
+def test_language_vote_is_narrow(spark):
     p = plan(QUERIES["detect_language"](spark, SF), "simple")
-    assert "partial_count" in p and "BroadcastHashJoin" in p
+    assert "Exchange" not in p and "Generate" not in p

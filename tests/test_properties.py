@@ -28,11 +28,12 @@ def test_loading_twice_adds_nothing(spark, sf_small):
     path = scratch_dir(spark, f"test_store_{uuid.uuid4().hex}")
     batch = sq.batch_fixture(spark, sf_small)
     st.load_sections(spark, path, batch)
-    n1 = spark.read.parquet(path).count()
+    n1 = st.SectionStore.open(spark, path).sections().count()
     st.load_sections(spark, path, batch)
-    n2 = spark.read.parquet(path).count()
-    assert n1 == n2 == sq.sections_with_doc(spark, sf_small).count()
-    assert spark.read.parquet(path).groupBy("uri").count().where("count > 1").count() == 0
+    stored = st.SectionStore.open(spark, path).sections()
+    n2 = stored.count()
+    assert n1 == n2 == sq.fx.chunk_sections(spark, sf_small).count()
+    assert stored.groupBy("uri").count().where("count > 1").count() == 0
 
 
 def test_citation_numbers_dense(spark, sf_small):

@@ -50,12 +50,13 @@ def test_stream_load_is_idempotent(spark, sf_small):
 
     base = scratch_dir(spark, f"test_stream_{uuid.uuid4().hex}")
     src, store = f"{base}/src", f"{base}/store"
-    stq.batch_fixture(spark, sf_small).write.parquet(src)
-    schema = "uri string, title string, content string, embedding_content string, pos long"
+    batch = stq.batch_fixture(spark, sf_small)
+    batch.write.parquet(src)
+    schema = batch.schema
     n1 = ss.run_stream_load(spark, src, schema, store, f"{base}/ck1").count()
     # a second query with a fresh checkpoint replays every file: nothing new is stored
     n2 = ss.run_stream_load(spark, src, schema, store, f"{base}/ck2").count()
-    assert n1 == n2 == stq.sections_with_doc(spark, sf_small).count()
+    assert n1 == n2 == stq.fx.chunk_sections(spark, sf_small).count()
 
 
 def test_upsert_keeps_last_content(spark, sf_small):

@@ -18,12 +18,12 @@ def test_readme_usage(spark, sf_small):
     chunks = sec.chunk_text(sec.split_sentences(docs), batch_size=10)
     rows = sec.explode_indexed(chunks.withColumn("path", F.concat_ws("/", "source", "doc_id")),
                                "chunks", "chunk_idx", "chunk", ["doc_id", "path"])
-    sections = sec.book_sections(rows).withColumn("pos", F.col("doc_id") * 1_000_000 + F.col("chunk_idx"))
-    st.load_sections(spark, f"{shared}/store", sections.select("uri", "title", "content", "embedding_content", "pos"))
-    store = spark.read.parquet(f"{shared}/store").withColumn("section_id", F.xxhash64("uri"))
+    sections = sec.book_sections(rows).withColumn("pos", F.struct("doc_id", "chunk_idx"))
+    store = st.SectionStore.create(spark, f"{shared}/store")
+    store.load(sections.select("uri", "title", "content", "embedding_content", "pos"))
     questions = vx.embed_text(spark.read.parquet(f"{sf_small}/benchmark.parquet")
                               .withColumnRenamed("item_id", "query_id"), "text", "embedding")
-    hits = rt.knn(store, questions, k=10, id_col="section_id")
-    context = rt.format_context(questions, hits, store, id_col="section_id").collect()
+    hits = store.index().search(questions, k=10, id_col="uri")
+    context = rt.format_context(questions, hits, store.sections()).collect()
     assert len(context) == questions.count() and all(r["context"].startswith("# ") for r in context)
-    assert store.count() == sections.count()
+    assert store.sections().count() == sections.count()
