@@ -10,17 +10,14 @@ texts: a link is a weighted Jaccard similarity of at least ``THRESHOLD``.
 
 Texts with the same words in the same order form a *class* (texts without any word: equal texts);
 only one text of each class is sampled and compared, so copies make no pairs.  A *group* is a
-connected component of classes over links.  Pairs are taken in rounds: first every text of a
-bucket with the bucket's first; then, of buckets whose texts still lie in several groups, the pairs
-between groups, the most alike first.  Pairs inside one group are not needed, so a bucket of many
-near copies makes few pairs, and no link between groups is left out.
-
-At similarity 0.8 a pair shares no bucket with probability (1 - 0.8 ** 4) ** 16 = 0.0002.  In the
-later rounds pairs are passed over whose samples agree in fewer than 40 of 64 places (at 0.8 that
-is 3.5 standard deviations away: 0.0004), or whose weights exclude the threshold: two texts share
-at most the weight of either, and in buckets of more than ``CROWDED`` texts at most what is left
-without the shingles that no other text of such buckets has.  So a crowd of texts that are alike
-but below the threshold makes few pairs.
+connected component of classes over links.  Every text of a bucket is first compared with the
+bucket's first.  Buckets whose texts still lie in several groups are then cut into tiles of bounded
+size, and a task compares all texts of two tiles by one matrix product over the shingles they share;
+of the links it finds it returns those that join groups.  So no pair of a bucket is left out and none
+is a row: a crowd of texts that are alike but below the threshold costs arithmetic, not data.
+
+At similarity 0.8 a pair shares no bucket with probability (1 - 0.8 ** 4) ** 16 = 0.0002; nothing else
+is passed over.
 
 Rows with a null doc_id or a null text take no part: they are returned with a null class and
 group.  Rows that repeat a doc_id with another text count by their own text; repeated rows get
@@ -39,17 +36,17 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import blocks as B
-from .shared import fresh_path, read_back, stored
+from .shared import free_names, fresh_path, read_back, stored
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 16, 4
-AGREE_LEVELS, CROWDED = (56, 48, 40), 16
+TILE_TEXTS, TILE_WORDS, COLUMNS = 256, 1 << 18, 4096
 DF_BUCKETS, DF_CHUNK = 1 << 20, 1 << 12
 TABLE_BITS = 16
 BLOCK_BYTES = 1 << 20
 
 KEYS = "doc_id long, body long, key binary"
 PARTS = KEYS + ", chunk int, counts binary"
-SIGNATURES = "key binary, weight double, samples array<int>, buckets array<long>"
+SIGNATURES = "key binary, buckets array<long>"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -168,8 +165,7 @@ def samples(first: np.ndarray, hashes: np.ndarray, weights: np.ndarray) -> np.nd
 
 
 def _signatures(idf):
-    schema = pa.schema([("key", pa.binary()), ("weight", pa.float64()), ("samples", pa.list_(pa.int32())),
-                        ("buckets", pa.list_(pa.int64()))])
+    schema = pa.schema([("key", pa.binary()), ("buckets", pa.list_(pa.int64()))])
     salt = (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xA24BAED4963EE407)
 
     def one(rows, data, off):
@@ -185,10 +181,8 @@ def _signatures(idf):
         h = np.broadcast_to(salt, (len(keep), BANDS)).copy()
         for j in range(ROWS):
             h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + s[:, j::ROWS])
-        low = s.astype(np.uint32).view(np.int32)
         return B.batch_of(
-            schema, [keys[i] for i in keep], np.add.reduceat(w.astype(np.float64), first[:-1]),
-            pa.ListArray.from_arrays(np.arange(0, low.size + 1, low.shape[1], dtype=np.int32), pa.array(low.ravel())),
+            schema, [keys[i] for i in keep],
             pa.ListArray.from_arrays(np.arange(0, h.size + 1, BANDS, dtype=np.int32),
                                      pa.array(h.view(np.int64).ravel())))
     return B.per_block(one, max_bytes=BLOCK_BYTES)
@@ -267,25 +261,6 @@ def _texts(keys: DataFrame, docs: DataFrame, reps: DataFrame, base: str) -> Data
     return stored(docs.join(ids, ["doc_id", "body"]).select("key", "text"), base)
 
 
-def _weighted(idf):
-    schema = pa.schema([("key", pa.binary()), ("shingle", pa.int64()), ("weight", pa.float64())])
-
-    def one(rows, data, off):
-        _, first, hashes, counts = shingles(data, off)
-        owner = np.repeat(np.arange(rows.num_rows), np.diff(first))
-        return B.batch_of(schema, rows.column("key").take(pa.array(owner)), hashes.view(np.int64),
-                          idf.value[_df_bucket(hashes)].astype(np.float64) * counts)
-    return B.per_block(one, max_bytes=BLOCK_BYTES)
-
-
-def _own_weight(keys: DataFrame, docs: DataFrame, reps: DataFrame, idf, base: str) -> DataFrame:
-    """``key, own``: the weight of each text's shingles that none of the other given texts has."""
-    texts = _texts(keys, docs, reps, base).dropDuplicates(["key"])
-    return (texts.mapInArrow(_weighted(idf), "key binary, shingle long, weight double").groupBy("shingle")
-            .agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("weight").alias("weight")).where("n = 1")
-            .groupBy("key").agg(F.sum("weight").alias("own")))
-
-
 def _checked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, idf, base: str) -> DataFrame:
     """``a, b, similarity`` of every pair of keys, computed on one whole text of each class."""
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
@@ -296,40 +271,130 @@ def _checked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, idf, base: str)
     return stored(both.mapInArrow(_verify(idf), "a binary, b binary, similarity double"), base)
 
 
-def _mixed(shared: DataFrame, labels: DataFrame, base: str) -> DataFrame:
-    """``bucket, key, label, crowded`` of the buckets whose texts lie in several groups."""
-    grouped = shared.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
-    several = (grouped.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                             F.count("*").alias("n")).where("lo <> hi AND n > 2"))
-    return stored(grouped.join(several.select("bucket", (F.col("n") > CROWDED).alias("crowded")), "bucket"), base)
+def _words(batches):
+    """``key, n, words`` of texts: their shingles' hashes, each as often as it occurs, in order."""
+    schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("words", pa.binary())])
+    for rows, data, off in B.blocks(batches, "text", BLOCK_BYTES):
+        _, first, hashes, counts = shingles(data, off)
+        blobs = []
+        for i in range(rows.num_rows):
+            h = np.repeat(hashes[first[i]:first[i + 1]], counts[first[i]:first[i + 1]])
+            blobs.append(np.sort(h))
+        yield B.batch_of(schema, rows.column("key"), [len(h) for h in blobs], [h.tobytes() for h in blobs])
+
+
+class _Tile:
+    """Texts of one tile: their shingles with the weights; the k-th occurrence in a text counts as its own."""
+
+    def __init__(self, texts: pa.StructArray, idf: np.ndarray):
+        self.key, self.label = texts.field("key").to_pylist(), texts.field("label").to_pylist()
+        parts = [np.frombuffer(w.as_buffer(), np.uint64) for w in texts.field("words")]
+        size = np.array([len(w) for w in parts])
+        self.row = np.repeat(np.arange(len(parts)), size)
+        self.hash = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        n = len(self.hash)
+        new = np.ones(n, bool)
+        new[1:] = (self.hash[1:] != self.hash[:-1]) | (self.row[1:] != self.row[:-1])
+        nth = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        self.feature = _mix(self.hash + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.weight = idf[_df_bucket(self.hash)].astype(np.float64)
+        self.total = np.bincount(self.row, self.weight, len(parts))
+
+    def text(self, i: int):
+        """(hashes, weights) of one text, as ``similarity`` takes them."""
+        mine = self.row == i
+        h, at = np.unique(self.hash[mine], return_inverse=True)
+        return h, np.bincount(at, self.weight[mine], len(h))
+
+
+def _links(x: _Tile, y: _Tile | None, threshold: float):
+    """(a, b) of links between texts of different groups, as many as join all that links would join."""
+    other = x if y is None else y
+    if len(set(x.label) | set(other.label)) < 2:
+        return
+    features = np.concatenate([x.feature, other.feature]) if y is not None else x.feature
+    found, at = np.unique(features, return_inverse=True)
+    n = len(x.feature)
+    left = np.bincount(at[:n], minlength=len(found))
+    shared = (left > 0) & (np.bincount(at[n:], minlength=len(found)) > 0) if y is not None else left > 1
+    place = np.cumsum(shared) - 1
+    both = np.zeros((len(x.key), len(other.key)))
+    sides = [(t, np.flatnonzero(shared[c]), c) for t, c in ((x, at[:n]), (other, at[n:] if y is not None else at))]
+    sides = [(t, k[np.argsort(place[c[k]], kind="stable")], c) for t, k, c in sides]
+    for start in range(0, int(shared.sum()), COLUMNS):
+        m = []
+        for t, k, c in sides:
+            column = place[c[k]]
+            k = k[np.searchsorted(column, start):np.searchsorted(column, start + COLUMNS)]
+            part = np.zeros((len(t.key), COLUMNS))
+            part[t.row[k], place[c[k]] - start] = t.weight[k] if not m else 1.0
+            m.append(part)
+        both += m[0] @ m[1].T
+    union = x.total[:, None] + other.total[None, :] - both
+    alike = both / np.where(union > 0, union, 1)
+    names = {v: i for i, v in enumerate(dict.fromkeys(x.label + other.label))}
+    lx, ly = (np.array([names[v] for v in t.label]) for t in (x, other))
+    group = list(range(len(names)))
+
+    def top(i):
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+    for i, j in zip(*np.nonzero((alike >= threshold - 1e-9) & (lx[:, None] != ly[None, :])), strict=True):
+        p, q = top(lx[i]), top(ly[j])
+        if p == q or (alike[i, j] < threshold + 1e-9 and similarity(x.text(i), other.text(j)) < threshold):
+            continue
+        group[max(p, q)] = min(p, q)
+        yield x.key[i], other.key[j]
+
+
+def _tile_links(idf, threshold: float):
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            got = []
+            for i in range(batch.num_rows):
+                x, y = (batch.column(c).slice(i, 1) for c in ("texts", "others"))
+                tiles = [_Tile(t.flatten(), idf.value) if t[0].is_valid else None for t in (x, y)]
+                got += _links(*tiles, threshold)
+            if got:
+                yield B.batch_of(schema, *map(list, zip(*got, strict=True)))
+    return run
 
 
-def _between(mixed: DataFrame, own: DataFrame, signed: DataFrame, threshold: float, level: int,
+def _between(shared: DataFrame, labels: DataFrame, docs: DataFrame, reps: DataFrame, idf, threshold: float,
              base: str) -> DataFrame:
-    """``a, b``: pairs of different groups that share a bucket and may reach the threshold."""
-    loose = threshold * 0.999  # bounds allow for rounding
-    most = F.col("weight") - F.when(F.col("crowded"), F.coalesce("own", F.lit(0.0))).otherwise(0.0)
-    side = stored(mixed.join(signed.select("key", "weight", "samples", "buckets"), "key").join(own, "key", "left")
-                  .select("bucket", "key", "label", "weight", "samples", "buckets", most.alias("most"))
-                  .where(F.col("most") >= loose * F.col("weight")), base)
-    shared_most = F.least("x.most", "y.most")
-    x, y = side.alias("x"), side.alias("y")
-    agree = F.aggregate(F.zip_with("x.samples", "y.samples", lambda p, q: (p == q).cast("int")), F.lit(0),
-                        lambda s, v: s + v)
-    first = F.array_min(F.array_intersect("x.buckets", "y.buckets"))  # a pair comes from one bucket only
-    return (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.key") < F.col("y.key"))
-                   & (F.col("x.label") != F.col("y.label"))
-                   & (shared_most >= loose * (F.col("x.weight") + F.col("y.weight") - shared_most))
-                   & (agree >= level) & (first == F.col("x.bucket")))
-            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")))
+    """``a, b``: links that join the groups in each bucket whose texts lie in several."""
+    grouped = shared.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
+    several = (grouped.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                             F.count("*").alias("n")).where("lo <> hi AND n > 2").select("bucket"))
+    mixed = stored(grouped.join(several, "bucket"), base)
+    texts = _texts(mixed.select("key").distinct(), docs, reps, base).dropDuplicates(["key"])
+    words = stored(texts.mapInArrow(_words, "key binary, n long, words binary"), base)
+    mixed = mixed.join(words.select("key", "n"), "key")
+    tiles = mixed.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / TILE_TEXTS),
+                                                   F.ceil(F.sum("n") / TILE_WORDS)).cast("int").alias("tiles"))
+    # the hash deals a bucket's texts evenly over its tiles
+    dealt = (mixed.join(tiles, "bucket").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+             .join(words.select("key", "words"), "key")
+             .groupBy("bucket", "tiles", "tile").agg(F.collect_list(F.struct("key", "label", "words")).alias("texts")))
+    dealt = stored(dealt, base)
+    kind = dealt.schema["texts"].dataType
+    alone = dealt.select("texts", F.lit(None).cast(kind).alias("others"))
+    x = (dealt.where("tile < tiles - 1").withColumn("other", F.explode(F.expr("sequence(tile + 1, tiles - 1)"))))
+    y = (dealt.where("tile > 0").withColumn("first", F.explode(F.expr("sequence(0, tile - 1)")))
+         .select("bucket", F.col("first").alias("tile"), F.col("tile").alias("other"), F.col("texts").alias("others")))
+    crossed = x.join(y, ["bucket", "tile", "other"]).select("texts", "others")
+    return stored(alone.unionByName(crossed).mapInArrow(_tile_links(idf, threshold), "a binary, b binary").distinct(), base)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, body, class_id, group_id, n_links`` for every row of ``docs(doc_id, text)``.
+    """``doc_id, body, class_id, group_id`` for every row of ``docs(doc_id, text)``.
 
     body: xxhash64 of the text; class_id: the smallest doc_id with the same words; group_id: the
-    smallest doc_id of the component; n_links: verified links of the class found on the way (a
-    class in a group has at least one)."""
+    smallest doc_id of the component."""
     base = scratch_dir(spark, "near_dup")
     text = F.col("text").cast("string")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
@@ -344,8 +409,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
                   .select("key", "r.doc_id", "r.body"), base)
 
     signed = stored(whole.select("text").mapInArrow(_signatures(idf), SIGNATURES)
-                    .groupBy("key").agg(F.first("weight").alias("weight"), F.first("samples").alias("samples"),
-                                        F.first("buckets").alias("buckets")), base)
+                    .groupBy("key").agg(F.first("buckets").alias("buckets")), base)
     held = signed.select(F.explode("buckets").alias("bucket"), "key")
     shared = held.groupBy("bucket").agg(F.min("key").alias("a"), F.count("*").alias("n")).where("n > 1")
     shared = stored(held.join(shared.drop("n"), "bucket"), base)  # bucket, key, a: its first key
@@ -355,39 +419,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     links = checked.where(F.col("similarity") >= threshold)
     labels = components(links, base)
 
-    # buckets whose texts still lie in several groups: the pairs between groups not compared yet,
-    # the most alike first, as they join groups and so spare others
-    done, own = star, None
-    for level in AGREE_LEVELS:
-        mixed = _mixed(shared, labels, base)
-        if own is None:  # later rounds have fewer texts, for which these weights are still a bound
-            own = stored(_own_weight(mixed.where("crowded").select("key").distinct(), whole, reps, idf, base), base)
-        rest = stored(_between(mixed, own, signed, threshold, level, base).join(done, ["a", "b"], "left_anti"), base)
-        if rest.limit(1).count():
-            done = done.unionByName(rest)
-            more = _checked(rest, whole, reps, idf, base).where(F.col("similarity") >= threshold)
-            links = links.unionByName(more)
-            labels = _joined(labels, more, base)
+    more = _between(shared, labels, whole, reps, idf, threshold, base)
+    if more.limit(1).count():
+        labels = _joined(labels, more, base)
 
     groups = reps.join(labels, "key", "left").select("key", "doc_id", F.coalesce("label", "key").alias("label"))
     smallest = groups.groupBy("label").agg(F.min("doc_id").alias("group_id"))
-    degree = (links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key")))
-              .groupBy("key").agg(F.count("*").alias("n_links")))
-    classes = stored(groups.join(smallest, "label").join(degree, "key", "left")
-                     .select("key", F.col("doc_id").alias("class_id"), "group_id",
-                             F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), base)
-    found = members.join(classes, "key").select("doc_id", "body", "class_id", "group_id", "n_links")
+    classes = stored(groups.join(smallest, "label").select("key", F.col("doc_id").alias("class_id"), "group_id"), base)
+    found = members.join(classes, "key").select("doc_id", "body", "class_id", "group_id")
     none = F.lit(None).cast("long")
     alone = (docs.where("doc_id IS NULL OR text IS NULL")
-             .select("doc_id", "body", none.alias("class_id"), none.alias("group_id"), none.alias("n_links")))
+             .select("doc_id", "body", none.alias("class_id"), none.alias("group_id")))
     return found.unionByName(alone)
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest doc_id.  Rows that take no
     part (null doc_id or text) stay, and so do all rows that repeat a kept document."""
+    doc, body = free_names(docs, "doc", "body")
     gone = (near_duplicates(spark, docs, threshold).where("doc_id <> group_id")
-            .select(F.col("doc_id").alias("__doc"), F.col("body").alias("__body")).distinct())
-    match = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64(F.col("text").cast("string"))
-                                                                == F.col("__body"))
+            .select(F.col("doc_id").alias(doc), F.col("body").alias(body)).distinct())
+    match = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64(F.col("text").cast("string")) == F.col(body))
     return docs.join(gone, match, "left_anti")

@@ -164,7 +164,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of equal word sequences and the near-duplicate group of every document."""
     from .near_dup import near_duplicates
     out = near_duplicates(spark, table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "class_id", "group_id", "n_links")
+    return out.select("doc_id", "class_id", "group_id")
 
 
 @register("op9_token_counts")

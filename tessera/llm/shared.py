@@ -25,6 +25,17 @@ def stored(df: DataFrame, base: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them (upper and lower case are one)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold_of(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id's text, modulo ``folds`` (null id: null)."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str)

@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tessera.llm import blocks as B
 from tessera.llm import near_dup as N
@@ -47,8 +48,10 @@ def test_same_groups_as_all_pairs(spark):
     assert got == brute_groups(rows)
 
 
-def test_crowd_of_near_copies(spark):
-    """Copies with few and with many edits of one text: groups as by all pairs, in rounds."""
+@pytest.mark.parametrize("tile", [256, 9])
+def test_crowd_of_near_copies(spark, monkeypatch, tile):
+    """Copies with few and with many edits of one text: groups as by all pairs, in one tile and in many."""
+    monkeypatch.setattr(N, "TILE_TEXTS", tile)
     rng = np.random.default_rng(4)
     base = [f"b{i}" for i in range(120)]
     rows = []
@@ -92,3 +95,35 @@ def test_samples_agree_as_often_as_texts_are_alike():
     shared = sum(min(v, two.get(k, 0)) for k, v in one.items())
     true = shared / (sum(one.values()) + sum(two.values()) - shared)
     assert abs((s[0] == s[1]).mean() - true) < 0.2
+
+
+def test_tiles_find_the_links_of_all_pairs(monkeypatch):
+    """Repeated shingles, empty overlap, similarity just at the threshold; columns in several chunks."""
+    monkeypatch.setattr(N, "COLUMNS", 7)
+    rng = np.random.default_rng(6)
+    idf = rng.uniform(1, 2, N.DF_BUCKETS).astype(np.float32)
+    texts = []
+    for i in range(40):
+        h = rng.integers(0, 30, rng.integers(1, 40)).astype(np.uint64) * np.uint64(1 << 40) + np.uint64(7)
+        texts.append({"key": bytes([i]), "label": bytes([i]), "words": np.sort(h).tobytes()})
+    texts += [{**t, "key": bytes([100 + i]), "label": bytes([100 + i])} for i, t in enumerate(texts[:5])]
+    for threshold in (0.2, 0.5, 0.8, 1.0):
+        for a, b in ((texts, None), (texts[:20], texts[20:])):
+            x, y = N._Tile(pa.array(a), idf), N._Tile(pa.array(b), idf) if b else None
+            z = y or x
+            want = {(x.key[i], z.key[j]) for i in range(len(x.key)) for j in range(len(z.key))
+                    if x.key[i] != z.key[j] and N.similarity(x.text(i), z.text(j)) >= threshold}
+            got = list(N._links(x, y, threshold))
+            assert set(got) <= want and len(got) < len(x.key) + len(z.key)
+            assert joined(got) == joined(want)
+
+
+def joined(links):
+    of = {}
+    for a, b in links:
+        p, q = of.setdefault(a, {a}), of.setdefault(b, {b})
+        if p is not q:
+            p |= q
+            for k in q:
+                of[k] = p
+    return {frozenset(v) for v in of.values()}
