@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .tokens import WordTokenizer
+from .tokens import word_tokenizer
 
 CAPACITY, BATCH_WINDOWS, SLACK, TAIL_UNIT, END_ID = 4096, 128, 16, 64, 2
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
@@ -191,7 +191,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
     def run(batches):
         from pyspark import TaskContext
-        tokens, packer = WordTokenizer(tokenizer_path), Packer(TaskContext.get().partitionId(), capacity)
+        tokens, packer = word_tokenizer(tokenizer_path), Packer(TaskContext.get().partitionId(), capacity)
         for part, data, off in B.blocks(batches):
             for doc, ids in zip(part.column("doc_id").to_pylist(), tokens.encode(data, off, end_id), strict=True):
                 packer.add(doc, ids)
