@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import blocks as B
-from .shared import fresh_path, read_back
+from .shared import free_names, fresh_path, read_back
 
 WINDOW = 13
 BLOCK_BYTES = 1 << 20
@@ -344,5 +344,6 @@ def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
     one that repeats a doc_id with another text is judged by its own text."""
     row = F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))
     found = decontaminate(spark, docs.select(row.alias("doc_id"), "text"), benchmark)
-    gone = found.where("contaminated").select(F.col("doc_id").alias("__row")).distinct()
-    return docs.join(gone, row == F.col("__row"), "left_anti")
+    name, = free_names(docs, "row")
+    gone = found.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, row == F.col(name), "left_anti")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import blocks as B
-from .shared import fresh_path, read_back
+from .shared import free_names, fresh_path, read_back
 
 MIN_DOCS, MIN_CHARS = 5, 40
 SHARD_KEYS = 1_000_000
@@ -302,20 +302,24 @@ class LineStore:
 
     def dedup(self, docs: DataFrame, lines: bool = False) -> DataFrame:
         """``docs`` with the lines of frequent keys taken out of ``text``; with ``lines``, also
-        ``n_lines`` (before) and ``n_dropped``."""
-        gone = self.dropped().select(F.col("doc_id").alias("__doc"), F.col("body").alias("__body"),
-                                     F.col("lines").alias("__lines"))
+        ``n_lines`` (before) and ``n_dropped``, in place of columns that have these names."""
+        doc, body, gone_lines, parts = free_names(docs, "doc", "body", "lines", "parts")
+        gone = self.dropped().select(F.col("doc_id").alias(doc), F.col("body").alias(body),
+                                     F.col("lines").alias(gone_lines))
         text = F.col("text").cast("string")
-        j = docs.join(gone.hint("shuffle_hash"), (F.col("doc_id") == F.col("__doc")) &
-                      (F.xxhash64(text) == F.col("__body")), "left")
-        parts = F.split(text, "\n", -1)
-        rest = F.filter(parts, lambda _, i: ~F.array_contains("__lines", i))
-        kept = F.when(F.col("__lines").isNull(), text).otherwise(F.array_join(rest, "\n"))
-        cols = [kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+        j = docs.join(gone.hint("shuffle_hash"), (F.col("doc_id") == F.col(doc)) &
+                      (F.xxhash64(text) == F.col(body)), "left")
+        j = j.withColumn(parts, F.when(F.col(gone_lines).isNotNull(), F.split(text, "\n", -1)))
+        # the numbers of the lines that stay, by a hash set: in proportion to the lines
+        rest = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone_lines)
+        kept = F.when(F.col(gone_lines).isNull(), text).otherwise(
+            F.array_join(F.transform(rest, lambda i: F.get(parts, i)), "\n"))
+        counts = ("n_lines", "n_dropped") if lines else ()
+        cols = [kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c.lower() not in counts]
         if lines:
             cols += [(1 + F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))), F.lit(0)))
                      .cast("long").alias("n_lines"),
-                     F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_dropped")]
+                     F.coalesce(F.size(gone_lines), F.lit(0)).cast("long").alias("n_dropped")]
         return j.select(*cols)
 
 

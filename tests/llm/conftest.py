@@ -7,7 +7,8 @@ SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, key string, label int, row int, "
-        "body long, lines int, start long, ids string, item_id string, n_words long, score double")
+        "body long, lines int, start long, ids string, item_id string, n_words long, score double, __doc long, __body long, "
+        "__lines int, __row long, n_lines long, doc long, parts string, word string, n long, added string, base string")
 
 
 def words(text):
@@ -22,7 +23,8 @@ def crc(doc_id):
 def make_docs(spark):
     """A documents table with extra columns whose names the operators use inside, some null."""
     def make(rows):
-        full = [(i, t, lang, "s", None if t is None else len(t), None, 1, None, 2, None, 3, "x", None, 4, None)
+        full = [(i, t, lang, "s", None if t is None else len(t), None, 1, None, 2, None, 3, "x", None, 4, None,
+                 5, None, 6, None, 7, None, "p", None, 8, None, "b")
                 for i, t, lang in rows]
         return spark.createDataFrame(full, DOCS).repartition(3)
     return make

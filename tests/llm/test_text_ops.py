@@ -51,7 +51,7 @@ def test_lines_as_by_brute_force(spark, make_docs):
     rows = line_rows()
     docs = make_docs([(i, t, "en") for i, t in rows])
     out = line_dedup.dedup_lines(spark, docs, lines=True)
-    assert out.columns[:len(docs.columns)] == docs.columns
+    assert out.columns == [*(c for c in docs.columns if c != "n_lines"), "n_lines", "n_dropped"]
     assert digest(out) == brute_lines(rows)
     assert line_dedup.dedup_lines(spark, make_docs([])).count() == 0
 
@@ -269,3 +269,32 @@ def test_factors_are_learned():
     gain = [toxicity.logit(with_pairs, np.array(x)) - toxicity.logit(alone, np.array(x)) for x in ([1, 2], [1], [2])]
     assert gain[0] > 0 and abs(gain[1]) < 1e-6 and abs(gain[2]) < 1e-6
     assert toxicity.logit(with_pairs, np.array([1, 2])) > max(toxicity.logit(with_pairs, np.array([k])) for k in (1, 2))
+
+
+def test_many_dropped_lines_take_linear_time(spark):
+    """A text of 40,000 lines that all stand in five documents."""
+    import time
+
+    from tessera.llm import line_dedup
+    lines = [f"a line of more than forty characters with the number {i:06d}" for i in range(40_000)]
+    rows = [(d, "\n".join([f"own {d}", *lines])) for d in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
+    docs.count()
+    start = time.time()
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(spark, docs, lines=True).collect()}
+    assert time.time() - start < 30
+    assert [out[d].n_dropped for d in range(5)] == [40_000] * 4 + [0] and out[0].text == "own 0"
+    assert out[4].text == rows[4][1]
+
+
+def test_columns_with_inner_names_are_kept(spark):
+    from tessera.llm import decontam, line_dedup, near_dup
+    line = "a line of well over forty characters that stands in many documents"
+    names = "__doc long, __body long, __lines int, __row long, n_lines long, doc long, body long, lines int, parts int, row int"
+    docs = spark.createDataFrame([(i, f"{line}\nown {i}", *range(10)) for i in range(6)], f"doc_id long, text string, {names}")
+    bench = spark.createDataFrame([("b", "own 3")], "item_id string, text string")
+    for out in (line_dedup.dedup_lines(spark, docs), near_dup.keep_first(spark, docs), decontam.keep_clean(spark, docs, bench)):
+        assert out.columns == docs.columns and out.count() > 0
+        assert all(tuple(r)[2:] == tuple(range(10)) for r in out.collect())
+    both = line_dedup.dedup_lines(spark, docs, lines=True)
+    assert both.columns.count("n_lines") == 1 and {r.n_lines for r in both.collect()} == {2}
