@@ -66,9 +66,9 @@ SELECT conv_id, strftime(make_timestamp(({EPOCH_2024} + conv_id * 3600 + turn) *
 FROM conversations WHERE role IN ('user', 'assistant') AND (role = 'user' OR length(text) > 0)""")
 def q_stream_message_upsert(spark, sf):
     base, src, ckpt = _fresh(spark, "upsert")
-    chat_line_stream(spark, sf).write.parquet(src)
+    chat_line_stream(spark, sf).repartition(MICRO_BATCHES * 2, F.xxhash64("conv_id", "seq")).write.parquet(src)
     out = ss.run_message_upsert(spark, src, "conv_id long, seq long, line string", f"{base}/log", ckpt,
-                                max_files=_files_per_batch(spark, src))
+                                max_files=_files_per_batch(spark, src), fold_after=2)
     return out.select("conv_id", "timestamp", "role", F.md5("content").alias("content_md5"),
                       F.length("content").cast("long").alias("content_chars"), "first_seq")
 
@@ -90,9 +90,9 @@ FROM (SELECT conv_id, turn, seq, substr(text, 1, (seq + 1) * {PIECE}) AS so_far,
 GROUP BY conv_id, turn, window_start""")
 def q_stream_debounce(spark, sf):
     base, src, ckpt = _fresh(spark, "debounce")
-    chunk_stream(spark, sf).write.parquet(src)
+    chunk_stream(spark, sf).repartition(MICRO_BATCHES * 2, F.xxhash64("conv_id", "turn", "seq")).write.parquet(src)
     out = ss.run_debounce(spark, src, "conv_id long, turn long, seq long, event_time timestamp, text_so_far string",
-                          f"{base}/log", ckpt, max_files=_files_per_batch(spark, src))
+                          f"{base}/log", ckpt, max_files=_files_per_batch(spark, src), fold_after=2)
     return out.select("conv_id", "turn", F.unix_millis("window_start").alias("window_start"), "seq",
                       F.md5("text").alias("text_md5"))
 
@@ -148,20 +148,23 @@ c AS (SELECT list_id, text, unnest(range(0, (length(text) + {LIST_PIECE - 1}) //
              (length(text) + {LIST_PIECE - 1}) // {LIST_PIECE} AS n FROM l),
 s AS (SELECT list_id, seq, seq = n - 1 AS is_last, substr(text, 1, (seq + 1) * {LIST_PIECE}) AS so_far FROM c),
 o AS (SELECT *, regexp_extract_all(so_far, '\\{{[^{{}}]*\\}}') AS objs FROM s)
-SELECT list_id, seq, is_last, len(objs) AS n_complete,
+SELECT list_id, seq, is_last, n_complete, n_valid,
+       CASE WHEN is_last THEN coalesce(json_valid(so_far) AND json_type(so_far) = 'ARRAY', false) AND n_valid = n_complete
+       END AS strict_ok
+FROM (SELECT *, len(objs) AS n_complete,
        len(list_filter(objs, lambda x: json_extract_string(x, '$.name') IS NOT NULL
                                     AND json_extract_string(x, '$.length') IS NOT NULL
                                     AND (json_extract_string(x, '$.weight') IS NULL
-                                         OR json_extract_string(x, '$.weight')::DOUBLE >= 50))) AS n_valid,
-       CASE WHEN is_last THEN coalesce(json_valid(so_far) AND json_type(so_far) = 'ARRAY', false) END AS strict_ok
-FROM o"""
+                                         OR json_extract_string(x, '$.weight')::DOUBLE >= 50))) AS n_valid FROM o)"""
 
 
 @register("stream_partial_records", _sql_partial())
 def q_stream_partial_records(spark, sf):
     base, src, ckpt = _fresh(spark, "partial")
-    list_chunks(spark, sf).write.parquet(src)
-    out = ss.run_partial_records(spark, src, "list_id long, seq long, delta string, is_last boolean", base, ckpt)
+    # dealt by a hash of list and position: pieces of one list arrive in any order
+    list_chunks(spark, sf).repartition(MICRO_BATCHES * 2, F.xxhash64("list_id", "seq")).write.parquet(src)
+    out = ss.run_partial_records(spark, src, "list_id long, seq long, delta string, is_last boolean", base, ckpt,
+                                 max_files=_files_per_batch(spark, src))
     return out.select("list_id", "seq", "is_last", "n_complete", "n_valid", "strict_ok")
 
 

@@ -1,10 +1,9 @@
 """Structured Streaming forms of the message and store operators.
 
-Streams keep no state and set no watermark, so no row is too late: the
-upsert / window sinks aggregate inside each micro-batch and append to a log
-read back through a last-wins view (``max_by`` and ``min`` merge in any
-order), the store sink is an anti-join insert.  Both are idempotent, so a
-replayed micro-batch after an executor loss does not change the result.
+The upsert and window sinks aggregate inside each micro-batch and append to a keyed log, whose view
+merges in any order (``keyed_log``), so no row is too late; lists that arrive in pieces are scanned with
+keyed state (``partial``); the store sink is an anti-join insert.  All are idempotent: a micro-batch that
+is replayed after an executor loss does not change the result.
 """
 
 from __future__ import annotations
@@ -14,11 +13,11 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import vectors as vx
-from ..operators import messages as mg
 from ..sinks import store as st
+from .keyed_log import FOLD_AFTER, KeyedLog
+from .partial import RESULT, scan_lists
 
 CHAT_LINE_SCHEMA = S.CHAT_MESSAGE
-PARTIAL_OBJECT = r"\{[^{}]*\}"
 
 
 def _run(writer, checkpoint: str, available_now: bool = True):
@@ -32,31 +31,33 @@ def _run(writer, checkpoint: str, available_now: bool = True):
 
 # --- last-wins message upsert ---------------------------------------------------
 
-def message_upserts(lines: DataFrame) -> DataFrame:
-    """Micro-batch of NDJSON chat lines (conv_id, seq, line) -> per message (keyed by its timestamp)
-    the latest content and the first position seen.  Lines of one character or less are skipped."""
+def message_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """NDJSON chat lines (conv_id, seq, line) -> (messages, rejects).  Lines of one character or less are
+    skipped; a line that is no message, or whose timestamp is none, is rejected with its reason."""
     p = (lines.where(F.length("line") > 1)
-              .select("conv_id", "seq", F.from_json("line", CHAT_LINE_SCHEMA).alias("m"))
-              .select("conv_id", "seq", "m.*")
-              .withColumn("msg_ts", F.to_timestamp("timestamp")))
-    return (p.groupBy("conv_id", "msg_ts", "timestamp")
-             .agg(F.max_by(F.struct("seq", "role", "content"), "seq").alias("last"),
-                  F.min("seq").alias("first_seq")))
+              .select("conv_id", "seq", "line", F.from_json("line", CHAT_LINE_SCHEMA).alias("m")))
+    reason = (F.when(F.col("m").isNull() | F.col("m.timestamp").isNull(), F.lit("no message"))
+               .when(F.try_to_timestamp("m.timestamp").isNull(), F.lit("bad timestamp")))
+    p = p.withColumn("reason", reason)
+    return (p.where("reason IS NULL").select("conv_id", "m.timestamp", F.struct("seq", "m.role", "m.content").alias("last"),
+                                             F.col("seq").alias("first_seq")),
+            p.where("reason IS NOT NULL").select("conv_id", "seq", "line", "reason"))
 
 
-def upsert_log_sink(path: str, aggregate):
-    """foreachBatch sink appending the ``aggregate`` of each micro-batch's rows with its epoch."""
-    def write(df: DataFrame, epoch: int):
-        aggregate(df).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(path)
-    return write
+def merge_messages(rows: DataFrame) -> DataFrame:
+    """Per message (keyed by its timestamp) the latest content and the first position seen."""
+    return rows.groupBy("conv_id", "timestamp").agg(F.max_by("last", F.col("last.seq")).alias("last"),
+                                                    F.min("first_seq").alias("first_seq"))
+
+
+def message_log(spark: SparkSession, path: str, fold_after: int = FOLD_AFTER) -> KeyedLog:
+    return KeyedLog(spark, f"{path}/messages", merge_messages, fold_after)
 
 
-def latest_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Last-wins view over the upsert log: latest content per key, first position ever seen."""
-    log = spark.read.parquet(path)
-    return (log.groupBy("conv_id", "timestamp")
-               .agg(F.max_by("last", F.col("last.seq")).alias("last"), F.min("first_seq").alias("first_seq"))
-               .select("conv_id", "timestamp", "last.role", "last.content", "first_seq"))
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``conv_id, seq, line, reason`` of the lines that made no message."""
+    return spark.read.schema("conv_id long, seq long, line string, reason string, epoch long").parquet(f"{path}/rejects") \
+        .drop("epoch")
 
 
 def _source(spark: SparkSession, source: str, schema: str, max_files: int | None):
@@ -67,71 +68,55 @@ def _source(spark: SparkSession, source: str, schema: str, max_files: int | None
 
 
 def run_message_upsert(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str,
-                       max_files: int | None = None) -> DataFrame:
-    lines = _source(spark, source, schema, max_files)
-    _run(lines.writeStream.foreachBatch(upsert_log_sink(out, message_upserts)), checkpoint)
-    return latest_messages(spark, out)
+                       max_files: int | None = None, fold_after: int = FOLD_AFTER) -> DataFrame:
+    log = message_log(spark, out, fold_after)
 
+    def write(df: DataFrame, epoch: int):
+        messages, rejects = message_lines(df)
+        rejects.write.mode("overwrite").parquet(f"{out}/rejects/epoch={epoch}")
+        log.append(messages, epoch)
 
-# --- debounce -------------------------------------------------------------------
-
-def debounced(chunks: DataFrame, interval: str = "10 milliseconds") -> DataFrame:
-    """Per message and aligned ``interval`` window: the latest cumulative text (by seq).
-    Windows are aligned to the epoch, not to the first arrival (documented deviation)."""
-    return (chunks.groupBy("conv_id", "turn", F.window("event_time", interval).alias("w"))
-                  .agg(F.max_by(F.struct("seq", "text_so_far"), "seq").alias("last")))
-
+    _run(_source(spark, source, schema, max_files).writeStream.foreachBatch(write), checkpoint)
+    return log.read().select("conv_id", "timestamp", "last.role", "last.content", "first_seq")
 
-def run_debounce(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str,
-                 interval: str = "10 milliseconds", max_files: int | None = None) -> DataFrame:
-    s = _source(spark, source, schema, max_files)
-    _run(s.writeStream.foreachBatch(upsert_log_sink(out, lambda df: debounced(df, interval))), checkpoint)
-    log = spark.read.parquet(out)
-    return (log.groupBy("conv_id", "turn", F.col("w.start").alias("window_start"))
-               .agg(F.max_by("last", F.col("last.seq")).alias("last"))
-               .select("conv_id", "turn", "window_start", F.col("last.seq").alias("seq"),
-                       F.col("last.text_so_far").alias("text")))
 
+# --- debounce -------------------------------------------------------------------
 
-# --- partial list validation --------------------------------------------------------
+def windowed(chunks: DataFrame, interval: str = "10 milliseconds") -> DataFrame:
+    """Chunks with their aligned ``interval`` window.  Windows are aligned to the epoch, not to the first
+    arrival (documented deviation)."""
+    return (chunks.withColumn("w", F.window("event_time", interval))
+                  .select("conv_id", "turn", F.col("w.start").alias("window_start"),
+                          F.struct("seq", "text_so_far").alias("last")))
 
-WHALE_SCHEMA = S.WHALE
 
+def merge_windows(rows: DataFrame) -> DataFrame:
+    """Per message and window the latest cumulative text (by seq)."""
+    return rows.groupBy("conv_id", "turn", "window_start").agg(F.max_by("last", F.col("last.seq")).alias("last"))
 
-def validate_partial(cum: DataFrame) -> DataFrame:
-    """Cumulative list text per (list_id, seq, is_last) -> complete flat objects so far, how
-    many pass the record rules, and (on the final chunk) whether the whole text parses."""
-    objs = F.regexp_extract_all("text_so_far", F.lit(PARTIAL_OBJECT), 0)
-    def ok(o):
-        w = F.from_json(o, WHALE_SCHEMA)
-        return (w.isNotNull() & w["name"].isNotNull() & w["length"].isNotNull() &
-                (w["weight"].isNull() | (w["weight"] >= 50)))
-    strict = F.from_json("text_so_far", f"array<struct<{WHALE_SCHEMA.replace(' string', ':string').replace(' double', ':double')}>>")
-    return cum.select("list_id", "seq", "is_last",
-                      F.size(objs).cast("long").alias("n_complete"),
-                      F.size(F.filter(objs, ok)).cast("long").alias("n_valid"),
-                      F.when(F.col("is_last"), strict.isNotNull()).alias("strict_ok"))
 
+def run_debounce(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str,
+                 interval: str = "10 milliseconds", max_files: int | None = None,
+                 fold_after: int = FOLD_AFTER) -> DataFrame:
+    log = KeyedLog(spark, out, merge_windows, fold_after)
+    s = _source(spark, source, schema, max_files)
+    _run(s.writeStream.foreachBatch(lambda df, epoch: log.append(windowed(df, interval), epoch)), checkpoint)
+    return log.read().select("conv_id", "turn", "window_start", F.col("last.seq").alias("seq"),
+                             F.col("last.text_so_far").alias("text"))
 
-def partial_records_sink(chunk_path: str, out_path: str):
-    """foreachBatch: store the new chunks, rebuild the cumulative text of the lists they touch,
-    and append validation rows for the new positions only."""
-    def write(df: DataFrame, epoch: int):
-        df.write.mode("append").parquet(chunk_path)
-        spark = df.sparkSession
-        touched = df.select("list_id").distinct()
-        allc = spark.read.parquet(chunk_path).join(touched, "list_id", "left_semi").dropDuplicates(["list_id", "seq"])
-        cum = mg.running_text(allc, ["list_id"])
-        res = validate_partial(cum).join(df.select("list_id", "seq"), ["list_id", "seq"], "left_semi")
-        res.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out_path)
-    return write
 
+# --- partial list validation --------------------------------------------------------
 
 def run_partial_records(spark: SparkSession, source: str, schema: str, base: str, checkpoint: str,
                         max_files: int | None = None) -> DataFrame:
-    s = _source(spark, source, schema, max_files)
-    _run(s.writeStream.foreachBatch(partial_records_sink(f"{base}/chunks", f"{base}/out")), checkpoint)
-    return spark.read.parquet(f"{base}/out").dropDuplicates(["list_id", "seq"]).drop("epoch")
+    """Answers of ``partial.scan_lists`` over the files of ``source``; a replayed micro-batch writes its own
+    rows anew."""
+    def write(df: DataFrame, epoch: int):
+        df.write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}")
+
+    found = scan_lists(_source(spark, source, schema, max_files))
+    _run(found.writeStream.outputMode("append").foreachBatch(write), checkpoint)
+    return spark.read.schema(f"{RESULT}, epoch long").parquet(f"{base}/out").drop("epoch")
 
 
 # --- streaming section loads --------------------------------------------------------
