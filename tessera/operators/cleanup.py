@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +58,69 @@ def scrub_text(df: DataFrame, columns: list[str], allow: list[tuple[str, str]] |
             v = F.regexp_replace(v, pats, SCRUB_REPLACEMENT)
         out = out.withColumn(c, v)
     return out
+
+
+# a string, a bracket or mark, or a run of anything else (numbers, words)
+JSON_TOKEN = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"|[{}\[\]:,]|[^\s"{}\[\]:,]+|"', re.S)
+
+
+def _python_pattern(pattern: str) -> str:
+    """One of the scrub patterns for Python: a leading case flag holds for this pattern only."""
+    return f"(?i:{pattern[4:]})" if pattern.startswith("(?i)") else f"(?:{pattern})"
+
+
+def scrub_tree(text: str, pattern: re.Pattern, allow: set) -> str:
+    """JSON ``text`` with the matches in its string values replaced, but those in ``allow`` (path, match).
+
+    A path is the tuple of keys and list positions that lead to the value.  Everything else stays as it
+    is written: keys, numbers, order and white space."""
+    out, last, path, keys = [], 0, [], []
+    is_key = False  # whether the next string is a key
+
+    def put(m):
+        return m.group() if (tuple(path), m.group()) in allow else SCRUB_REPLACEMENT
+    for token in JSON_TOKEN.finditer(text):
+        t = token.group()
+        if t in "{[":
+            keys.append(t)
+            path.append(None if t == "{" else 0)
+            is_key = t == "{"
+        elif t in "}]" and keys:
+            keys.pop()
+            path.pop()
+            is_key = False
+        elif t == "," and keys:
+            is_key = keys[-1] == "{"
+            if not is_key:
+                path[-1] += 1
+        elif t[0] == '"' and len(t) > 1:
+            value = json.loads(t, strict=False)
+            if is_key:
+                path[-1], is_key = value, False
+            elif (clean := pattern.sub(put, value)) != value:
+                out += [text[last:token.start()], json.dumps(clean, ensure_ascii=False)]
+                last = token.end()
+    return "".join(out) + text[last:]
+
+
+def scrub_json(df: DataFrame, column: str, allow: list[tuple[tuple, str]] | None = None,
+               patterns: list[str] | None = None) -> DataFrame:
+    """Replace pattern matches in all string values of a column of JSON texts by ``[scrubbed]``, at any
+    depth, unless the value's path and the whole match are allow-listed.  A text that is no JSON is
+    scrubbed as one string."""
+    pattern = re.compile("|".join(map(_python_pattern, patterns or SCRUB_PATTERNS)), re.ASCII)
+    allowed = {(tuple(path), match) for path, match in allow or []}
+
+    def one(text):
+        if text is None:
+            return None
+        try:
+            json.loads(text, strict=False)
+        except (ValueError, RecursionError):
+            return pattern.sub(SCRUB_REPLACEMENT, text)
+        return scrub_tree(text, pattern, allowed)
+
+    @F.arrow_udf("string")
+    def scrub(texts: pa.Array) -> pa.Array:
+        return pa.array([one(t) for t in texts.to_pylist()], pa.string())
+    return df.withColumn(column, scrub(F.col(column)))

@@ -3,10 +3,13 @@ text views, fetched-page extraction, usage roll-ups and running text."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import posexplode_rows
+from ..session import scratch_dir
 
 PART_FIELDS = "part_kind:string, content:{c}, tool_name:string, args:{a}, timestamp:string"
 MESSAGE_SCHEMA = f"array<struct<kind:string, timestamp:string, parts:array<struct<{PART_FIELDS.format(c='string', a='string')}>>>>"
@@ -149,6 +152,46 @@ def pieces(df: DataFrame, text_col: str, size: int, keep: list[str], prefix_col:
 
 
 def running_text(chunks: DataFrame, key_cols: list[str], seq_col: str = "seq", delta_col: str = "delta") -> DataFrame:
-    """Cumulative text per message: the concatenation of all deltas up to and including ``seq``."""
+    """Cumulative text per message: the concatenation of all deltas up to and including ``seq``.
+
+    A message's text is joined once; each row takes its prefix, whose length is a running sum."""
+    rest = [c for c in chunks.columns if c not in (*key_cols, seq_col, delta_col)]
+    parts = F.array_sort(F.collect_list(F.struct(seq_col, delta_col, *rest)))
+    whole = (chunks.groupBy(*key_cols).agg(parts.alias("__parts"))
+             .select(*key_cols, F.array_join(F.col(f"__parts.{delta_col}"), "").alias("__text"), F.inline("__parts")))
     w = Window.partitionBy(*key_cols).orderBy(seq_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return chunks.withColumn("text_so_far", F.array_join(F.collect_list(delta_col).over(w), ""))
+    upto = F.sum(F.coalesce(F.length(delta_col), F.lit(0))).over(w).cast("int")
+    return whole.withColumn("text_so_far", F.substring("__text", F.lit(1), upto)).select(*chunks.columns, "text_so_far")
+
+
+def usage_by_run(runs: DataFrame, by: str = "model") -> DataFrame:
+    """Usage of every run with its sub-runs: ``run_id, <by>, runs, request_tokens, response_tokens``.
+
+    ``runs`` has one row per run: ``run_id, parent, <by>, request_tokens, response_tokens``; a run whose
+    parent is null or unknown is a root.  Pointer jumping: after round k each run knows its 2^k-th ancestor
+    and the sums of its descendants less than 2^k below it, so a tree takes as many rounds as the logarithm
+    of its depth.  Sums are grouped before they are joined, so a run with very many sub-runs costs no more
+    than others.  Parents in a circle raise an error."""
+    base = scratch_dir(runs.sparkSession, f"usage_{uuid.uuid4().hex}")
+
+    def kept(df, name):
+        df.write.parquet(f"{base}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{base}/{name}")
+    one = F.lit(1).cast("long")
+    rows = kept(runs.select("run_id", "parent", by, one.alias("runs"), F.col("request_tokens").cast("long").alias("request_tokens"),
+                            F.col("response_tokens").cast("long").alias("response_tokens")), "runs")
+    sums = rows.drop("parent")
+    known = rows.select(F.col("run_id").alias("up"))
+    up = kept(rows.select("run_id", F.col("parent").alias("up")).where("up IS NOT NULL").join(known, "up", "left_semi"), "up0")
+    limit, k = rows.count().bit_length() + 1, 0
+    while not up.isEmpty():
+        k += 1
+        if k > limit:
+            raise ValueError("runs are each other's parents")
+        further = sums.join(up, "run_id").groupBy(F.col("up").alias("run_id"), by).agg(
+            *[F.sum(c).alias(c) for c in ("runs", "request_tokens", "response_tokens")])
+        sums = kept(sums.unionByName(further).groupBy("run_id", by).agg(
+            *[F.sum(c).alias(c) for c in ("runs", "request_tokens", "response_tokens")]), f"sums{k}")
+        up = kept(up.join(up.select(F.col("run_id").alias("up"), F.col("up").alias("top")), "up")
+                  .select("run_id", F.col("top").alias("up")), f"up{k}")
+    return sums

@@ -68,3 +68,25 @@ SELECT doc_id, {_sql_scrub('source', [m for c, m in ALLOW if c == 'source'])} AS
 def q_scrub_text(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "source", "text")
     return cl.scrub_text(d, ["source", "text"], allow=ALLOW)
+
+
+SAFE = ("attributes", "my_safe_value")
+
+
+@register("scrub_json", f"""
+SELECT doc_id, regexp_replace(safe, {q('|'.join(f'(?:{p})' for p in cl.SCRUB_PATTERNS[1:]))}, {q(cl.SCRUB_REPLACEMENT)}, 'g') AS safe,
+       {_sql_scrub('safe', [])} AS unsafe, {_sql_scrub('text', [])} AS note, {_sql_scrub('safe', [])} AS first_event, doc_id AS id
+FROM (SELECT doc_id, text, 'the password of ' || source || ' is token = "' || doc_id || '"' AS safe FROM documents)""")
+def q_scrub_json(spark, sf):
+    """Nested records of every document; ``password`` stays at one path only."""
+    d = table(spark, sf, "documents").select("doc_id", "source", "text")
+    value = F.concat(F.lit("the password of "), "source", F.lit(' is token = "'), F.col("doc_id").cast("string"), F.lit('"'))
+    record = F.to_json(F.struct(
+        F.struct(value.alias("my_safe_value"), value.alias("value"), F.col("text").alias("note")).alias("attributes"),
+        F.array(F.struct(value.alias("my_safe_value")), F.struct(F.lit("none").alias("my_safe_value"))).alias("events"),
+        F.col("doc_id").alias("id")))
+    r = cl.scrub_json(d.select("doc_id", record.alias("r")), "r", allow=[(SAFE, "password")])
+    shape = "attributes struct<my_safe_value:string,value:string,note:string>, events array<struct<my_safe_value:string>>, id long"
+    r = r.select("doc_id", F.from_json("r", shape).alias("r"))
+    return r.select("doc_id", F.col("r.attributes.my_safe_value").alias("safe"), F.col("r.attributes.value").alias("unsafe"),
+                    "r.attributes.note", F.col("r.events")[0]["my_safe_value"].alias("first_event"), "r.id")

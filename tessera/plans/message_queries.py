@@ -177,6 +177,36 @@ def q_usage_rollup(spark, sf):
     return mg.usage_rollup(per_run, "model")
 
 
+def run_tree(spark, sf):
+    """Every turn is a run: turn t of a conversation was started by turn (t - 1) div 2, and a conversation's
+    first turn by the first of conversation (conv_id - 1) div 3."""
+    c = table(spark, sf, "conversations")
+    name = lambda conv, turn: F.concat(conv.cast("string"), F.lit(":"), turn.cast("string"))
+    conv, turn = F.col("conv_id"), F.col("turn")
+    up = F.when(turn > 0, name(conv, F.floor((turn - 1) / 2).cast("long"))).when(
+        conv > 0, name(F.floor((conv - 1) / 3).cast("long"), F.lit(0)))
+    tokens = lambda role: F.when(F.col("role") == role, F.length("text")).otherwise(0)
+    return c.select(name(conv, turn).alias("run_id"), up.alias("parent"),
+                    F.concat(F.lit("m"), ((conv + turn) % 3).cast("string")).alias("model"),
+                    tokens("user").alias("request_tokens"), tokens("assistant").alias("response_tokens"))
+
+
+@register("usage_by_run", """
+WITH RECURSIVE r AS (
+  SELECT conv_id || ':' || turn AS run_id, 'm' || ((conv_id + turn) % 3) AS model,
+         CASE WHEN turn > 0 THEN conv_id || ':' || ((turn - 1) // 2)
+              WHEN conv_id > 0 THEN ((conv_id - 1) // 3) || ':0' END AS parent,
+         CASE WHEN role = 'user' THEN length(text) ELSE 0 END AS req,
+         CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END AS resp FROM conversations),
+up AS (
+  SELECT run_id AS run, run_id AS at FROM r
+  UNION ALL SELECT up.run, p.run_id FROM up JOIN r ON r.run_id = up.at JOIN r p ON p.run_id = r.parent)
+SELECT up.at AS run_id, r.model, count(*) AS runs, sum(req)::BIGINT AS request_tokens, sum(resp)::BIGINT AS response_tokens
+FROM up JOIN r ON r.run_id = up.run GROUP BY 1, 2""")
+def q_usage_by_run(spark, sf):
+    return mg.usage_by_run(run_tree(spark, sf))
+
+
 def assistant_pieces(spark, sf):
     c = table(spark, sf, "conversations").where(F.col("role") == "assistant")
     return mg.pieces(c, "text", PIECE, ["conv_id", "turn"])
