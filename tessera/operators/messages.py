@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import posexplode_rows
 from ..session import scratch_dir
+from ..sinks.named_files import write_named_files
 
 PART_FIELDS = "part_kind:string, content:{c}, tool_name:string, args:{a}, timestamp:string"
 MESSAGE_SCHEMA = f"array<struct<kind:string, timestamp:string, parts:array<struct<{PART_FIELDS.format(c='string', a='string')}>>>>"
@@ -46,6 +47,10 @@ def append_message_log(batches: DataFrame, path: str) -> None:
     batches.select("batch_id", "message_list").write.mode("append").parquet(path)
 
 
+def read_message_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("batch_id long, message_list string").parquet(path)
+
+
 def chat_messages(messages: DataFrame) -> DataFrame:
     """Dispatch on message kind and first part: request + user-prompt -> role ``user`` with the
     part's timestamp; response + text -> role ``model`` with the message timestamp; anything else
@@ -68,8 +73,20 @@ def ndjson_lines(chat: DataFrame) -> DataFrame:
     return ok.select("batch_id", "pos", F.to_json(F.struct("role", "timestamp", "content")).alias("line"))
 
 
-def write_ndjson(lines: DataFrame, folder: str) -> None:
-    lines.select("line").write.mode("overwrite").text(folder)
+def write_ndjson(lines: DataFrame, folder: str, key: str = "batch_id") -> None:
+    """One file ``<key>.ndjson`` per key in ``folder``: its lines in order, each ended by a line feed."""
+    per = lines.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("ls"))
+    text = F.array_join(F.transform("ls", lambda x: F.concat(x["line"], F.lit("\n"))), "")
+    write_named_files(per.select(F.concat(F.col(key).cast("string"), F.lit(".ndjson")).alias("name"), text.alias("text")),
+                      folder)
+
+
+def read_ndjson(spark: SparkSession, folder: str) -> DataFrame:
+    """``name, line_no, line`` of the files that ``write_ndjson`` wrote (line_no from 0)."""
+    files = spark.read.option("pathGlobFilter", "*.ndjson").text(folder, wholetext=True)
+    named = files.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.ndjson$", 1).alias("name"),
+                         F.split(F.regexp_replace("value", r"\n\z", ""), "\n", -1).alias("lines"))
+    return posexplode_rows(named, ["name"], "lines", "line_no", "line").withColumn("line_no", F.col("line_no").cast("long"))
 
 
 def parts_of(messages: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..session import scratch_dir
+from ..sinks.named_files import write_named_files
 from . import page_index as pi
 from .lists import probe_join
 
@@ -120,8 +121,8 @@ def export_report(reports: DataFrame, topic_col: str = "topic", text_col: str =
 
 
 def write_reports(reports: DataFrame, folder: str) -> None:
-    """One folder per file name holding the body as text."""
-    reports.write.mode("overwrite").partitionBy("file_name").text(folder)
+    """Each report as the file of its name in ``folder``; reports of that name there are replaced."""
+    write_named_files(reports, folder, "file_name", "body")
 
 
 def extract_urls(df: DataFrame, text_col: str = "text", out_col: str = "urls") -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import messages as mg
+from ..session import scratch_dir
 from .common import register, table
 
 EPOCH_2024 = 1704067200  # 2024-01-01T00:00:00Z
@@ -96,7 +99,11 @@ SELECT batch_id, pos, json_extract_string(m, '$.kind') AS kind, json_extract_str
        json_array_length(m, '$.parts') AS n_parts, json_extract_string(m, '$.parts[0].part_kind') AS first_part_kind
 FROM {SQL_MSGS}""")
 def q_message_log(spark, sf):
-    m = mg.message_log(message_batches(spark, sf))
+    path = scratch_dir(spark, f"messages_{uuid.uuid4().hex}")
+    batches = message_batches(spark, sf)
+    mg.append_message_log(batches.where("batch_id % 2 = 0"), path)
+    mg.append_message_log(batches.where("batch_id % 2 = 1"), path)
+    m = mg.message_log(mg.read_message_log(spark, path))
     return m.select("batch_id", "pos", "kind", "timestamp", F.size("parts").cast("long").alias("n_parts"),
                     F.try_element_at("parts", F.lit(1))["part_kind"].alias("first_part_kind"))
 
@@ -121,10 +128,14 @@ def q_chat_messages(spark, sf):
 
 
 @register("ndjson_export", f"""
-SELECT batch_id, pos, json_object('role', role, 'timestamp', timestamp, 'content', content)::VARCHAR AS line
+SELECT batch_id, row_number() OVER (PARTITION BY batch_id ORDER BY pos) - 1 AS line_no,
+       json_object('role', role, 'timestamp', timestamp, 'content', content)::VARCHAR AS line
 FROM {SQL_CHAT} WHERE reject_reason IS NULL""")
 def q_ndjson_export(spark, sf):
-    return mg.ndjson_lines(mg.chat_messages(mg.message_log(message_batches(spark, sf))))
+    """A file per batch, written and read back."""
+    folder = scratch_dir(spark, f"ndjson_{uuid.uuid4().hex}")
+    mg.write_ndjson(mg.ndjson_lines(mg.chat_messages(mg.message_log(message_batches(spark, sf)))), folder)
+    return mg.read_ndjson(spark, folder).select(F.col("name").cast("long").alias("batch_id"), "line_no", "line")
 
 
 @register("fetched_pages_filter", f"""

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.arrays import posexplode_rows
 from ..operators import research as rs
+from ..session import scratch_dir
+from ..sources import files as fs
 from .common import (q, register, sql_html_text, sql_html_title, sql_key_terms_table, sql_sentences,
                      sql_urls, sql_word_tokens, table)
 
@@ -170,7 +174,9 @@ GROUP BY 1""")
 def q_export_report(spark, sf):
     s = summaries(spark, sf)
     reports = s.groupBy("topic").agg(F.max_by("summary", "pos").alias("report"), F.max("pos").alias("pos"))
-    return rs.export_report(reports)
+    folder = scratch_dir(spark, f"reports_{uuid.uuid4().hex}")
+    rs.write_reports(rs.export_report(reports), folder)
+    return fs.read_text_docs(spark, folder).select(F.col("name").alias("file_name"), F.col("text").alias("body"))
 
 
 # --- reports and citations ------------------------------------------------------

@@ -13,6 +13,7 @@ from ..operators import sections as sec
 from ..operators import vector_index as vi
 from ..session import scratch_dir
 from ..sinks import store as st
+from ..sinks.named_files import write_named_files
 from ..sources import files as fs
 from . import fixtures as fx
 from .common import (q, register, sql_chunks, sql_sentences, sql_slug, sql_stem, sql_strip,
@@ -225,9 +226,10 @@ def q_list_files(spark, sf):
 @register("read_text_docs", "SELECT doc_id, md5(text) AS text_md5, length(text) AS n_chars FROM documents")
 def q_read_text_docs(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
-    folder = fs.write_text_docs(d, scratch_dir(spark, "text_docs"), "doc_id", "text")
-    r = fs.read_text_docs_written(spark, folder)
-    return r.select(F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("long").alias("doc_id"),
+    folder = scratch_dir(spark, f"text_docs_{uuid.uuid4().hex}")
+    write_named_files(d.withColumn("name", F.concat("doc_id", F.lit(".md"))), folder)
+    r = fs.read_text_docs(spark, folder)
+    return r.select(F.regexp_extract("name", r"^(-?\d+)\.md$", 1).cast("long").alias("doc_id"),
                     F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
 
 

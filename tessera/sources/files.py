@@ -31,31 +31,18 @@ def list_files(spark: SparkSession, parent: str, ext: str) -> DataFrame:
               .withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1)))
 
 
-def read_text_docs(spark: SparkSession, folder: str, glob: str = "*.md", recursive: bool = False) -> DataFrame:
-    """One row per file: (path, text) with the whole file as text."""
-    r = spark.read.option("pathGlobFilter", glob)
-    if recursive:
-        r = r.option("recursiveFileLookup", True)
-    return r.text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+def read_text_docs(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
+    """One row per matching file directly inside ``folder``: (path, name, text), the whole file as text.
+    Small files are read many to a task."""
+    r = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
+    path = F.col("_metadata.file_path")
+    return r.select(path.alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
 
 
 def _unique(folder: str) -> str:
     return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def write_text_docs(df: DataFrame, folder: str, id_col: str, text_col: str) -> str:
-    """Write each document as its own text file (one folder per id); returns the folder."""
-    out = _unique(folder)
-    # The text writer adds a line break after the value; it is removed again on read.
-    (df.select(id_col, text_col).repartition(id_col).write.partitionBy(id_col).text(out))
-    return out
-
-
-def read_text_docs_written(spark: SparkSession, folder: str) -> DataFrame:
-    r = read_text_docs(spark, folder, glob="*.txt", recursive=True)
-    return r.withColumn("text", F.regexp_replace("text", r"\n\z", ""))
-
-
 def write_json_lines(df: DataFrame, folder: str) -> str:
     out = _unique(folder)
     df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.text(out)
