@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import posexplode_rows
 from ..session import scratch_dir
-from ..sinks.named_files import write_named_files
+from ..sinks.named_files import read_named_files, write_named_files
 
 PART_FIELDS = "part_kind:string, content:{c}, tool_name:string, args:{a}, timestamp:string"
 MESSAGE_SCHEMA = f"array<struct<kind:string, timestamp:string, parts:array<struct<{PART_FIELDS.format(c='string', a='string')}>>>>"
@@ -83,9 +83,9 @@ def write_ndjson(lines: DataFrame, folder: str, key: str = "batch_id") -> None:
 
 def read_ndjson(spark: SparkSession, folder: str) -> DataFrame:
     """``name, line_no, line`` of the files that ``write_ndjson`` wrote (line_no from 0)."""
-    files = spark.read.option("pathGlobFilter", "*.ndjson").text(folder, wholetext=True)
-    named = files.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.ndjson$", 1).alias("name"),
-                         F.split(F.regexp_replace("value", r"\n\z", ""), "\n", -1).alias("lines"))
+    named = read_named_files(spark, folder, "*.ndjson").select(
+        F.regexp_extract("name", r"^(.*)\.ndjson$", 1).alias("name"),
+        F.split(F.regexp_replace("text", r"\n\z", ""), "\n", -1).alias("lines"))
     return posexplode_rows(named, ["name"], "lines", "line_no", "line").withColumn("line_no", F.col("line_no").cast("long"))
 
 

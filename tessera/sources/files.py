@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.named_files import read_named_files
+
 DOC_SECTION_SCHEMA = T.StructType([
     T.StructField("id", T.IntegerType()),
     T.StructField("parent", T.IntegerType()),
@@ -33,10 +35,9 @@ def list_files(spark: SparkSession, parent: str, ext: str) -> DataFrame:
 
 def read_text_docs(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
     """One row per matching file directly inside ``folder``: (path, name, text), the whole file as text.
-    Small files are read many to a task."""
-    r = spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
-    path = F.col("_metadata.file_path")
-    return r.select(path.alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
+    Spark's own file sources leave out empty files; this one does not."""
+    r = read_named_files(spark, folder, glob)
+    return r.select(F.concat(F.lit(folder.rstrip("/") + "/"), "name").alias("path"), "name", "text")
 
 
 def _unique(folder: str) -> str:

