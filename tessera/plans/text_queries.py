@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import vectors as vx
+from ..operators import abbreviations as ab
 from ..operators import retrieval as rt
 from ..operators import sections as sec
 from ..operators import vector_index as vi
@@ -73,6 +74,43 @@ def q_split_sentences(spark, sf):
     return sec.explode_indexed(s, "sentences", "sent_idx", "sentence", ["doc_id"])
 
 
+SQL_ABBREVIATIONS = f"""
+WITH runs AS (SELECT list_filter(string_split_regex(lower(text), '\\s+'), lambda r: r <> '') AS l FROM documents),
+words AS (SELECT unnest(list_slice(l, 1, len(l) - 1)) AS run FROM runs),
+counts AS (SELECT regexp_replace(run, '\\.$', '') AS word, count(*) AS n, count(*) FILTER (run LIKE '%.') AS n_stop
+           FROM words WHERE regexp_full_match(run, '[\\p{{L}}]+(\\.[\\p{{L}}]+)*\\.?') GROUP BY 1),
+total AS (SELECT sum(n_stop)::DOUBLE / sum(n)::DOUBLE AS p FROM counts),
+l AS (SELECT word, n, n_stop, length(replace(word, '.', ''))::DOUBLE AS letters,
+             (CASE WHEN n_stop = 0 THEN 0 ELSE n_stop * ln(p) END + CASE WHEN n = n_stop THEN 0 ELSE (n - n_stop) * ln(1 - p) END)
+             - (n_stop * ln({ab.CERTAIN}::DOUBLE) + (n - n_stop) * ln(1 - {ab.CERTAIN}::DOUBLE)) AS d
+      FROM counts, total WHERE n_stop > 0),
+s AS (SELECT word, n, n_stop, round(-2 * d * exp(-letters) * (length(word) - letters + 1) * pow(letters, n_stop - n), 6) AS score FROM l)
+SELECT word, n, n_stop, score + 0.0 AS score, score >= {ab.SCORE} AS abbreviation FROM s"""
+
+
+@register("abbreviations", SQL_ABBREVIATIONS)
+def q_abbreviations(spark, sf):
+    """The score of every word of the documents that stands before a full stop."""
+    a = ab.abbreviations(table(spark, sf, "documents").select("text"))
+    return a.withColumn("score", F.col("score") + F.lit(0.0))
+
+
+@register("split_sentences_learned", f"""
+WITH known AS (SELECT word FROM ({SQL_ABBREVIATIONS}) WHERE abbreviation),
+s AS (SELECT doc_id, unnest(range(len(sents))) AS pos, unnest(sents) AS sentence FROM ({SQL_SENTENCES})),
+w AS (SELECT *, sentence LIKE '%.' AND regexp_replace(string_split_regex(lower(sentence), '\\s+')[-1], '\\.$', '')
+                IN (SELECT word FROM known) AS held FROM s),
+g AS (SELECT *, coalesce(sum(CASE WHEN held THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS sent_idx FROM w)
+SELECT doc_id, sent_idx, string_agg(sentence, ' ' ORDER BY pos) AS sentence FROM g GROUP BY doc_id, sent_idx""")
+def q_split_sentences_learned(spark, sf):
+    """Sentences that do not end at the abbreviations learned from all documents."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    known = ab.abbreviations(docs).where("abbreviation")
+    s = sec.split_sentences(docs, splitter=ab.learned_splitter(known))
+    return sec.explode_indexed(s, "sentences", "sent_idx", "sentence", ["doc_id"])
+
+
 @register("chunk_text", f"SELECT doc_id, chunk_idx, chunk FROM ({SQL_CHUNKS})")
 def q_chunk_text(spark, sf):
     return fx.doc_chunks(spark, sf).select("doc_id", "chunk_idx", "chunk")
