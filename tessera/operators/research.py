@@ -135,11 +135,22 @@ def allowed_citations(report_urls: DataFrame, allowed: DataFrame) -> DataFrame:
     return report_urls.join(allowed.select("url"), "url", "left_semi")
 
 
-def citation_numbers(report_urls: DataFrame, existing: DataFrame, report_col: str = "report_id") -> DataFrame:
+def page_titles(pages: DataFrame) -> DataFrame:
+    """``url, title`` of pages(page_id, url, html): the title of the first page of each url."""
+    return (pages.groupBy("url").agg(F.min_by(F.struct("html"), "page_id").alias("p"))
+                 .select("url", tx.html_title(F.col("p.html")).alias("title")))
+
+
+def citation_numbers(report_urls: DataFrame, existing: DataFrame, report_col: str = "report_id",
+                     titles: DataFrame | None = None) -> DataFrame:
     """Number the urls of each report in first-use order; urls with an existing number keep it,
     new urls continue after the largest existing number.
 
-    report_urls: (report_id, pos, url); existing: (report_id, url, n)."""
+    report_urls: (report_id, pos, url); existing: (report_id, url, n).  With ``titles(url, title)`` each
+    citation has its title (null: unknown url)."""
+    if titles is not None:
+        return citation_numbers(report_urls, existing, report_col).join(titles, "url", "left") \
+            .select(report_col, "url", "n", "title")
     first = report_urls.groupBy(report_col, "url").agg(F.min("pos").alias("pos"))
     new = first.join(existing.select(report_col, "url"), [report_col, "url"], "left_anti")
     base = existing.groupBy(report_col).agg(F.max("n").alias("base"))

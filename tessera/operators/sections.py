@@ -33,10 +33,11 @@ def chunk_text(df: DataFrame, sentences_col: str = "sentences", batch_size: int
     return df.withColumn(out_col, tx.chunk_array(F.col(sentences_col), batch_size))
 
 
-def explode_indexed(df: DataFrame, array_col: str, idx_col: str, value_col: str, keep: list[str]) -> DataFrame:
-    """One row per array element with its 0-based position (``posexplode``)."""
+def explode_indexed(df: DataFrame, array_col: str, idx_col: str, value_col: str, keep: list[str],
+                    start: int = 0) -> DataFrame:
+    """One row per array element, numbered from ``start`` (``posexplode``: no shuffle and no sort)."""
     return posexplode_rows(df, keep, array_col, idx_col, value_col) \
-        .withColumn(idx_col, F.col(idx_col).cast("long"))
+        .withColumn(idx_col, (F.col(idx_col) + start).cast("long"))
 
 
 def book_sections(chunks: DataFrame, path_col: str = "path", idx_col: str = "chunk_idx",
@@ -68,7 +69,8 @@ def doc_sections(df: DataFrame, base_url: str = DOC_BASE_URL) -> DataFrame:
 
 def enumerate_rows(df: DataFrame, group_cols: list[str], order_cols: list[str], start: int = 0,
                    out_col: str = "row_idx") -> DataFrame:
-    """Running index per group in the given order, from ``start`` (0 for chunks, 1 for display)."""
+    """Running index per group in the given order, from ``start`` (0 for chunks, 1 for display), for rows
+    that come from a table; elements of an array are numbered by ``explode_indexed``."""
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     return df.withColumn(out_col, (F.row_number().over(w) - 1 + start).cast("long"))
 

@@ -77,7 +77,15 @@ def q_normalize_search_results(spark, sf):
     return rs.normalize_search_results(payloads(spark, sf), MAX_RESULTS)
 
 
-@register("rows_to_xml")
+def _sql_xml(tag):
+    text = f"replace(replace(replace({tag}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    return f"'    <{tag}>' || {text} || '</{tag}>' || chr(10)"
+
+
+@register("rows_to_xml", f"""
+SELECT search_id, '<search_results>' || chr(10) || string_agg(x, chr(10) ORDER BY rank, x) || chr(10) || '</search_results>' AS xml
+FROM (SELECT search_id, rank, '<result>' || chr(10) || {" || ".join(map(_sql_xml, ("title", "url", "content", "summary")))} || '</result>' AS x
+      FROM ({SQL_NORMALIZED})) GROUP BY search_id""")
 def q_rows_to_xml(spark, sf):
     n = rs.normalize_search_results(payloads(spark, sf), MAX_RESULTS)
     return rs.rows_to_xml(n, "search_id", "rank", ["title", "url", "content", "summary"])
@@ -182,17 +190,19 @@ def q_export_report(spark, sf):
 # --- reports and citations ------------------------------------------------------
 
 def reports(spark, sf):
-    """One report per page: links to pages i, i+1, i, 3i (a missing page gets a placeholder url)."""
-    p = table(spark, sf, "pages").select("page_id", "url")
+    """One report per page: links to pages i, i+1, i, 3i (a missing page gets a placeholder url), then the
+    page as it is."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    p = pages.drop("html")
     p1 = p.select(F.col("page_id").alias("j1"), F.col("url").alias("u1"))
     p3 = p.select(F.col("page_id").alias("j3"), F.col("url").alias("u3"))
-    r = (p.join(p1, F.col("j1") == F.col("page_id") + 1, "left")
+    r = (pages.join(p1, F.col("j1") == F.col("page_id") + 1, "left")
           .join(p3, F.col("j3") == F.col("page_id") * 3, "left"))
     u1 = F.coalesce("u1", F.concat(F.lit("https://missing.example/"), (F.col("page_id") + 1).cast("string")))
     u3 = F.coalesce("u3", F.concat(F.lit("https://missing.example/"), (F.col("page_id") * 3).cast("string")))
     i = F.col("page_id").cast("string")
     text = F.concat(F.lit("Report "), i, F.lit(" cites [page "), i, F.lit("]("), F.col("url"), F.lit(") and "), u1,
-                    F.lit(" here. Then [again]("), F.col("url"), F.lit(") and finally "), u3, F.lit(" end."))
+                    F.lit(" here. Then [again]("), F.col("url"), F.lit(") and finally "), u3, F.lit(" end. "), F.coalesce("html", F.lit("")))
     return r.select(F.col("page_id").alias("report_id"), text.alias("report"))
 
 
@@ -200,7 +210,7 @@ SQL_REPORTS = """
 SELECT p.page_id AS report_id,
        'Report ' || p.page_id || ' cites [page ' || p.page_id || '](' || p.url || ') and ' ||
        coalesce(p1.url, 'https://missing.example/' || (p.page_id + 1)) || ' here. Then [again](' || p.url ||
-       ') and finally ' || coalesce(p3.url, 'https://missing.example/' || (p.page_id * 3)) || ' end.' AS report
+       ') and finally ' || coalesce(p3.url, 'https://missing.example/' || (p.page_id * 3)) || ' end. ' || coalesce(p.html, '') AS report
 FROM pages p LEFT JOIN pages p1 ON p1.page_id = p.page_id + 1 LEFT JOIN pages p3 ON p3.page_id = p.page_id * 3"""
 SQL_REPORT_URLS = f"""
 SELECT report_id, unnest(range(len(u))) AS pos, unnest(u) AS url FROM (
@@ -240,13 +250,17 @@ ex AS (SELECT p.page_id AS report_id, p1.url, 1::BIGINT AS n FROM pages p JOIN p
        WHERE p.page_id % 2 = 0),
 f AS (SELECT report_id, url, min(pos) AS pos FROM u GROUP BY report_id, url),
 nw AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.report_id = f.report_id AND ex.url = f.url)),
-base AS (SELECT report_id, max(n) AS base FROM ex GROUP BY report_id)
+base AS (SELECT report_id, max(n) AS base FROM ex GROUP BY report_id),
+numbered AS (
 SELECT report_id, url, n FROM ex
 UNION ALL
 SELECT nw.report_id, nw.url, coalesce(base.base, 0) + row_number() OVER (PARTITION BY nw.report_id ORDER BY nw.pos) AS n
-FROM nw LEFT JOIN base ON base.report_id = nw.report_id""")
+FROM nw LEFT JOIN base ON base.report_id = nw.report_id),
+titles AS (SELECT url, arg_min({sql_html_title('html')}, page_id) AS title FROM pages GROUP BY url)
+SELECT c.report_id, c.url, c.n, t.title FROM numbered c LEFT JOIN titles t ON t.url = c.url""")
 def q_citation_numbers(spark, sf):
-    return rs.citation_numbers(report_urls(spark, sf), existing_citations(spark, sf))
+    titles = rs.page_titles(table(spark, sf, "pages"))
+    return rs.citation_numbers(report_urls(spark, sf), existing_citations(spark, sf), titles=titles)
 
 
 def annotated_reports(spark, sf):
