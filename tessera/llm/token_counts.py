@@ -243,26 +243,29 @@ def apply_edits(trees: DataFrame, path: str, pattern: str) -> DataFrame:
                         F.col("edits").cast(EDITS).alias("edits")).mapInArrow(run, COUNTS)
 
 
-# What the masking edits replace, and by what.
-MASKS = [(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "[email]"), (r"\+?[0-9][0-9 ()-]{6,}[0-9]", "[number]")]
+# What the masking edits replace, and by what.  A mail address starts where its run of characters
+# does, or right behind the last match (\G): elsewhere in the run it would be found no more and no less, and
+# runs of any length are read once.
+MASKS = [(r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "[email]"), (r"\+?[0-9][0-9 ()-]{6,}[0-9]", "[number]")]
+
+
+def mask_places(text: str | None, masks: list[tuple[str, str]] = MASKS) -> list[dict]:
+    """The edits that mask a text, from its end to its beginning."""
+    import regex
+    if not text:
+        return []
+    both = regex.compile("|".join(f"(?P<m{i}>{p})" for i, (p, _) in enumerate(masks)))
+    return [{"start": m.start(), "length": m.end() - m.start(), "replacement": masks[int(m.lastgroup[1:])][1]}
+            for m in both.finditer(text)][::-1]
 
 
 def masking_edits(docs: DataFrame, masks: list[tuple[str, str]] = MASKS) -> DataFrame:
     """``docs`` with the column ``edits``: one edit for every place of a mask's pattern, from the
     text's end to its beginning.  Of overlapping places the first in the text counts."""
-    def places(text: str) -> list[dict]:
-        import regex
-        found = []
-        if text:
-            both = regex.compile("|".join(f"(?P<m{i}>{p})" for i, (p, _) in enumerate(masks)))
-            found = [{"start": m.start(), "length": m.end() - m.start(), "replacement": masks[int(m.lastgroup[1:])][1]}
-                     for m in both.finditer(text)]
-        return found[::-1]
-
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("replacement", pa.string())]))
 
     @arrow_udf(EDITS)
     def edits(text: pa.Array) -> pa.Array:
-        return pa.array([places(t) for t in text.to_pylist()], kind)
+        return pa.array([mask_places(t, masks) for t in text.to_pylist()], kind)
 
     return docs.withColumn("edits", edits(F.col("text").cast("string")))

@@ -50,3 +50,22 @@ def test_tables(spark, make_docs, odd_rows):
     masked = {r["doc_id"]: r for r in T.apply_edits(T.masking_edits(trees), PATH, PATTERN).collect()}
     assert masked[12]["text"] == "mail [email], [number]." and masked[12]["n_tokens"] == n("mail [email], [number].")
     assert T.apply_edits(T.masking_edits(T.build(make_docs([]), PATH, PATTERN)), PATH, PATTERN).count() == 0
+
+
+def test_masks_are_those_of_the_plain_patterns():
+    import random
+    import re
+    plain = re.compile(r"(?P<m0>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)|(?P<m1>\+?[0-9][0-9 ()-]{6,}[0-9])")
+    rng = random.Random(8)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a1.@-+ _%(19é") for _ in range(rng.randint(0, 50)))
+        want = [(m.start(), m.end() - m.start(), T.MASKS[int(m.lastgroup[1:])][1]) for m in plain.finditer(text)][::-1]
+        assert T.mask_places(text) == [{"start": a, "length": n, "replacement": r} for a, n, r in want], text
+
+
+def test_masking_of_long_runs_ends():
+    import time
+    for text in ("a" * 1_000_000, "1" + " " * 1_000_000, "a@" * 300_000, "a." * 500_000 + "@", "1-" * 500_000):
+        start = time.time()
+        T.mask_places(text)
+        assert time.time() - start < 10
