@@ -26,9 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from . import blocks as B
+from .shared import stored
 
 DIM, ORDER, PER_LANG = 1024, 3, 1500
+SHARES, MAX_SENT = 64, 250_000
 UNKNOWN = "und"
 BLOCK_BYTES = 1 << 20
 DENSE = 2048  # n-grams of a block that are bundled by a matrix product
@@ -148,9 +151,14 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, dim: int = DIM, order: int =
     """Prototypes from ``docs(doc_id, text, lang)``; rows with a null text or lang teach nothing."""
     d = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"),
                     F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (d.select("doc_id", "lang").withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_lang)
-              .select("doc_id", "lang").distinct())
+    # the smallest hashes of each language: first within shares of it, as one language may hold most rows
+    chosen = d.select("doc_id", "lang").withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)))
+    for keys in (("lang", "share"), ("lang",)):
+        w = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = chosen.withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_lang).drop("n")
+    chosen = stored(chosen.select("doc_id", "lang").distinct(), scratch_dir(docs.sparkSession, "language"))
+    if chosen.count() <= MAX_SENT:  # at most per_lang rows a language; texts need not move then
+        chosen = F.broadcast(chosen)
 
     def sums(batches):
         total: dict[str, np.ndarray] = {}

@@ -298,3 +298,18 @@ def test_columns_with_inner_names_are_kept(spark):
         assert all(tuple(r)[2:] == tuple(range(10)) for r in out.collect())
     both = line_dedup.dedup_lines(spark, docs, lines=True)
     assert both.columns.count("n_lines") == 1 and {r.n_lines for r in both.collect()} == {2}
+
+
+def test_language_fit_learns_from_the_smallest_hashes(spark, make_docs):
+    """The same rows as by one ordering of each language, whatever its shares."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm import language_id as li
+    rows = [(i, f"{'the small ' if i % 3 else 'der kleine '}word{i} " * 5, "en" if i % 3 else "de") for i in range(300)]
+    docs = make_docs([*rows, (None, "no number", "en"), (1, None, "en"), (2, "no language", None)])
+    got = li.fit(docs, per_lang=20)
+    few = [r.doc_id for lang in ("en", "de") for r in docs.where(F.col("lang") == lang).where("text IS NOT NULL")
+           .select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(20).collect()]
+    want = li.fit(docs.where(F.col("doc_id").isin([i for i in few if i is not None])), per_lang=1000)
+    assert got.langs == want.langs == ["de", "en"]
+    assert abs(got.prototypes - want.prototypes).max() < 1e-6
