@@ -122,12 +122,13 @@ def q_book_sections(spark, sf):
 
 
 @register("enumerate_rows", f"""
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY sent_idx) AS row_idx, md5(sentence) AS sentence_md5
+SELECT doc_id, sent_idx, row_number() OVER (PARTITION BY doc_id ORDER BY sent_idx) - 1 AS row_idx, md5(sentence) AS sentence_md5
 FROM (SELECT doc_id, unnest(range(len(sents))) AS sent_idx, unnest(sents) AS sentence FROM ({SQL_SENTENCES}))""")
 def q_enumerate_rows(spark, sf):
-    """Display numbers (from 1) of every document's sentences, in the row."""
-    s = sec.explode_indexed(fx.doc_sentences(spark, sf), "sentences", "row_idx", "sentence", ["doc_id"], start=1)
-    return s.select("doc_id", "row_idx", F.md5("sentence").alias("sentence_md5"))
+    """Running index of every document's sentences, numbered as rows of a table."""
+    s = sec.explode_indexed(fx.doc_sentences(spark, sf), "sentences", "sent_idx", "sentence", ["doc_id"])
+    s = s.select("doc_id", "sent_idx", F.md5("sentence").alias("sentence_md5"))
+    return sec.enumerate_rows(s, ["doc_id"], ["sent_idx"], start=0).select("doc_id", "sent_idx", "row_idx", "sentence_md5")
 
 
 @register("enumerate_table_rows", """

@@ -62,3 +62,10 @@ def test_time_filters_reach_the_scan(spark):
 def test_language_vote_is_narrow(spark):
     p = plan(QUERIES["detect_language"](spark, SF), "simple")
     assert "Exchange" not in p and "Generate" not in p
+
+
+def test_rows_are_numbered_as_rows(spark):
+    df = QUERIES["enumerate_rows"](spark, SF)
+    assert df.columns == ["doc_id", "sent_idx", "row_idx", "sentence_md5"]
+    assert "Window [row_number()" in plan(df, "simple")
+    assert df.agg({"row_idx": "min"}).first()[0] == 0
