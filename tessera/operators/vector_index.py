@@ -5,10 +5,13 @@ of at most one Arrow batch of rows of one cell.  Rows are dealt to blocks by ran
 hash of the id), so a cell that holds a third of all rows, or one vector repeated any number of times,
 is spread over many blocks and tasks.
 
-A search never gathers queries: each query is sent to the cells that it has to visit, as rows of a table
-that is joined to the blocks on ``cell`` (only those partitions are read).  Visits of one cell are grouped
-up to a bound of bytes, and a task multiplies a block by a group.  What is shuffled after that is at most
-k rows per query and block.
+A search never gathers queries.  Each query's visits are one row: its vector and one bit per cell.  Queries
+are dealt by a hash to shares, cells in their order to stripes of about as many rows each, and a task meets
+one share with one stripe: it holds the share's queries and reads the stripe's blocks one after the other.
+So a query is sent to at most one task per stripe and a block to one per share, and both numbers are fixed
+as long as a share stays within ``HELD_BYTES``: what is shuffled grows with the vectors, not with vectors
+times cells.  Only blocks of visited cells are read.  A task answers with the rows within the k-th distance
+that it has seen for the query so far, at most k per query and block.
 
 ``PivotIndex`` is exact.  A cell holds the rows whose nearest pivot it is, and knows the smallest and
 largest distance to the pivot.  Each query first visits its nearest cells until they hold k rows; the k-th
@@ -40,7 +43,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
-MAX_GROUP_BYTES = 2 * 1024 * 1024
+MAX_GROUP_BYTES, HELD_BYTES = 2 * 1024 * 1024, 64 * 1024 * 1024
+SHARES, TASKS = 8, 64  # shares of queries and tasks of a search whose queries pass MAX_GROUP_BYTES
+FAR = int(np.iinfo(np.int64).max >> 12)  # the bound, in steps, of a query that has none yet
 CELL_ROWS, MAX_PIVOTS = 2048, 1024
 PLANE_ROWS, MAX_PLANES, PLANE_SEED, UNIT = 64, 12, 7, float(1 << 20)
 RECALL_QUERIES, SAMPLE_RECALL = 256, 0.95  # the sample's recall leaves room for its error above 0.9
@@ -73,9 +78,26 @@ def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d2, 0))
 
 
+def _ranked(x: np.ndarray, q: np.ndarray, k: int, metric: str, limit: np.ndarray, row: np.ndarray, query: np.ndarray):
+    """Of the pairs ``(row, query)`` the k nearest of each query within ``limit``: (query, row, distance in steps)."""
+    exact = np.empty(len(row))
+    for s in range(0, len(row), 1 << 16):
+        a, b = x[row[s:s + (1 << 16)]], q[query[s:s + (1 << 16)]]
+        if metric == "cosine":
+            exact[s:s + (1 << 16)] = 1.0 - (a * b).sum(1) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1))
+        else:
+            exact[s:s + (1 << 16)] = np.sqrt(((a - b) ** 2).sum(1))
+    r = np.rint(exact / STEP).astype(np.int64)
+    ok = r <= limit[query]
+    row, query, r = row[ok], query[ok], r[ok]
+    order = np.lexsort((row, r, query))
+    row, query, r = row[order], query[order], r[order]
+    near = np.arange(len(query)) - np.searchsorted(query, np.arange(len(q)))[query] < k
+    return query[near], row[near], r[near]
+
+
 def _chosen(x: np.ndarray, q: np.ndarray, k: int, metric: str, limit: np.ndarray):
-    """(query, row, distance in steps) of the k nearest rows of ``x`` to each of ``q``, ties by row, among those
-    within ``limit`` (in steps)."""
+    """(query, row, distance in steps) of the k nearest rows of ``x`` to each of ``q``, ties by row."""
     if metric == "cosine":
         d = 1.0 - (x @ q.T) / (np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(q, axis=1)[None, :])
         slack = np.full(d.shape, 1e-12)
@@ -88,22 +110,22 @@ def _chosen(x: np.ndarray, q: np.ndarray, k: int, metric: str, limit: np.ndarray
     # every row that may round into the k nearest
     high = d + slack
     top = np.partition(high, k - 1, axis=0)[k - 1] if len(x) > k else np.full(len(q), np.inf)
-    row, query = np.nonzero(d - slack <= np.minimum(top, limit * STEP) + STEP)
+    row, query = np.nonzero(d - slack <= top + STEP)
+    return _ranked(x, q, k, metric, limit, row, query)
+
+
+def _within(x: np.ndarray, q: np.ndarray, k: int, metric: str, limit: np.ndarray):
+    """What ``_chosen`` gives where every query has a limit: only rows that may be within it are looked at."""
+    far = (limit + 1) * STEP
     if metric == "cosine":
-        exact = d[row, query]
+        query, row = np.nonzero(_unit(q, metric) @ _unit(x, metric).T >= (1.0 - far - 1e-12)[:, None])
     else:
-        exact = np.empty(len(row))
-        for s in range(0, len(row), 1 << 16):
-            diff = x[row[s:s + (1 << 16)]] - q[query[s:s + (1 << 16)]]
-            exact[s:s + (1 << 16)] = np.sqrt((diff * diff).sum(1))
-    r = np.rint(exact / STEP).astype(np.int64)
-    ok = r <= limit[query]
-    row, query, r = row[ok], query[ok], r[ok]
-    order = np.lexsort((row, r, query))
-    row, query, r = row[order], query[order], r[order]
-    first = np.searchsorted(query, np.arange(len(q)))
-    near = np.arange(len(query)) - first[query] < k
-    return query[near], row[near], r[near]
+        sx, sq = (x * x).sum(1), (q * q).sum(1)
+        part = (q * -2.0) @ x.T
+        part += sx[None, :]
+        error = 64 * np.finfo(float).eps * (sx.max() + sq + far * far)
+        query, row = np.nonzero(part <= (far * far + error - sq)[:, None])
+    return _ranked(x, q, k, metric, limit, row, query)
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,33 +153,119 @@ def write_blocks(rows: DataFrame, path: str) -> None:
      .write.partitionBy("cell").parquet(path))
 
 
-def _match(k: int, metric: str):
-    """Blocks joined to groups of visits -> the k nearest of each visit's query in the block."""
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows of an array as binary values."""
+    flat = np.ascontiguousarray(rows)
+    width = flat.dtype.itemsize * flat.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(flat), [None, pa.py_buffer(np.arange(len(flat) + 1, dtype=np.int32) * width),
+                                                          pa.py_buffer(flat)])
+
+
+def _unbinary(column: pa.Array, kind) -> np.ndarray:
+    """Binary values of one length as rows of an array."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def spans(many: np.ndarray, stripes: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last stripe of each cell when cells of ``many`` rows are laid along stripes of equal length."""
+    upto, total = np.cumsum(many), max(1, int(many.sum()))
+    return (upto - many) * stripes // total, np.maximum(upto - 1, 0) * stripes // total
+
+
+def _in_stripes(many: np.ndarray, stripes: int) -> np.ndarray:
+    """1 where a cell lies in a stripe."""
+    first, last = spans(many, stripes)
+    return ((np.arange(stripes) >= first[:, None]) & (np.arange(stripes) <= last[:, None])).astype(np.float32)
+
+
+def _visit_rows(part: pa.RecordBatch, v: np.ndarray, go: np.ndarray, reach: np.ndarray, bound: np.ndarray,
+                span: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``VISITS`` of the queries that visit a cell: ``go`` says which, ``span`` each cell's stripes."""
+    some = np.flatnonzero(go.any(1))
+    go = go[some]
+    hit = go.astype(np.float32) @ span > 0
+    stripes = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(hit.sum(1)))).astype(np.int32)),
+                                       pa.array(np.nonzero(hit)[1].astype(np.int32)))
+    return pa.RecordBatch.from_arrays(
+        [part.column("qno").take(pa.array(some)), _binary(v[some]), pa.array(reach[some]), pa.array(bound[some]),
+         _binary(np.packbits(go, axis=1)), pa.array(go.sum(1).astype(np.int32)), stripes],
+        names=["qno", "v", "reach", "bound", "bits", "cells", "stripes"])
+
+
+class _Share:
+    """The queries of one share in a task, with the k smallest distances that each has met so far."""
+
+    def __init__(self, parts: list[pa.RecordBatch], k: int, metric: str):
+        self.k, self.metric = k, metric
+        self.qno, self.reach, bound = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts])
+                                       for c in ("qno", "reach", "bound"))
+        self.q = np.concatenate([_unbinary(p.column("v"), np.float64) for p in parts])
+        self.bits = np.concatenate([_unbinary(p.column("bits"), np.uint8) for p in parts])
+        self.best = np.repeat(bound[:, None], k, axis=1)
+        self.limit = bound.copy()
+
+    def visitors(self, at: int, low: float, high: float, centres: np.ndarray | None) -> np.ndarray:
+        """The queries that visit cell number ``at`` and come near enough to a block with this interval."""
+        near = np.flatnonzero(self.bits[:, at >> 3] >> (7 - (at & 7)) & 1)
+        if centres is None or not len(near):
+            return near
+        dq = _apart(_unit(self.q[near], self.metric), centres[at:at + 1])[:, 0]
+        return near[(dq - self.reach[near] <= high) & (dq + self.reach[near] >= low)]
+
+    def meet(self, x: np.ndarray, visitors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(qno, row of ``x``, distance in steps): the k nearest of ``x`` within what each visitor has met."""
+        step = max(1, _PAIRS // len(x))
+        known = self.limit[visitors] < FAR
+        for choose, some in ((_within, visitors[known]), (_chosen, visitors[~known])):
+            for s in range(0, len(some), step):
+                part = some[s:s + step]
+                query, row, r = choose(x, self.q[part], self.k, self.metric, self.limit[part])
+                if not len(query):
+                    continue
+                new = np.full((len(part), self.k), FAR)
+                new[query, np.arange(len(query)) - np.searchsorted(query, query)] = r
+                met = np.unique(query)
+                best = np.partition(np.concatenate([self.best[part[met]], new[met]], axis=1), self.k - 1, axis=1)
+                self.best[part[met]], self.limit[part[met]] = best[:, :self.k], best[:, self.k - 1]
+                yield self.qno[part[query]], row, r
+
+
+def _match(k: int, metric: str, sent):
+    """Rows by key, a share's queries (``cell`` -1) before a stripe's blocks -> the answers of each block.  ``sent``
+    has the numbers of the cells and, of an index with pivots, these."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, centres = sent.value
+        now, parts, share = None, [], None
         for batch in batches:
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                ids, visits = one.column("ids").flatten(), one.column("visits").flatten()
-                x = np.frombuffer(one.column("v")[0].as_buffer(), np.float64).reshape(len(ids), -1)
-                low, high = one.column("low")[0].as_py(), one.column("high")[0].as_py()
-                dq, limit = (visits.field(c).to_numpy(zero_copy_only=False) for c in ("dq", "reach"))
-                near = np.flatnonzero((dq - limit <= high) & (dq + limit >= low))
-                if not len(near):
+            key, cell = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "cell"))
+            kind = key.astype(np.int64) * 2 + (cell >= 0)
+            edge = np.flatnonzero(np.concatenate(([True], kind[1:] != kind[:-1], [True]))) if len(key) else []
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                if key[a] != now:
+                    now, parts, share = key[a], [], None
+                if cell[a] < 0:
+                    parts.append(batch.slice(a, b - a))
                     continue
-                visits = visits.take(pa.array(near))
-                q = _matrix(visits.field("qv"))
-                qno, bound = (visits.field(c).to_numpy(zero_copy_only=False) for c in ("qno", "bound"))
-                step = max(1, _PAIRS // len(x))
-                for s in range(0, len(q), step):
-                    query, row, r = _chosen(x, q[s:s + step], k, metric, bound[s:s + step])
-                    if len(query):
-                        yield pa.RecordBatch.from_arrays([pa.array(qno[s + query]), ids.take(pa.array(row)), pa.array(r)],
+                if share is None:
+                    share, parts = _Share(parts, k, metric), []
+                for i in range(a, b):
+                    one = batch.slice(i, 1)
+                    visitors = share.visitors(int(np.searchsorted(number, cell[i])), one.column("low")[0].as_py(),
+                                              one.column("high")[0].as_py(), centres)
+                    if not len(visitors):
+                        continue
+                    ids = one.column("ids").flatten()
+                    x = np.frombuffer(one.column("v")[0].as_buffer(), np.float64).reshape(len(ids), -1)
+                    for qno, row, r in share.meet(x, visitors):
+                        yield pa.RecordBatch.from_arrays([pa.array(qno), ids.take(pa.array(row)), pa.array(r)],
                                                          names=["qno", "id", "r"])
     return run
 
 
 CELLS = "cell int, n long, low double, high double, v array<double>"
 ABOUT = "metric string, n long, dim int, planes int, ids string"
+# a query's visits: its vector, a bit for each cell, how many of these are set, and the stripes of those cells
+VISITS = "qno long, v binary, reach double, bound long, bits binary, cells int, stripes array<int>"
 
 
 class _Index:
@@ -195,19 +303,43 @@ class _Index:
         q = usable(queries, id_col, vec_col, self.metric)
         return self._kept(q.withColumn("qno", F.monotonically_increasing_id()), "queries")
 
-    def _answers(self, visits: DataFrame, name: str, k: int, max_group_bytes: int) -> DataFrame:
-        """``qno, id, r`` of the k nearest rows in each block that a visit (``qno, qv, cell, dq, reach, bound``)
-        meets; ``reach`` is in the index's distances, ``bound`` in steps of the result's."""
-        visits = self._kept(visits, f"{name}_visits")
-        # at most one row per cell
-        room = F.lit(max(1, max_group_bytes // (8 * (self.dim + 4))))
-        crowd = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / room).alias("parts"))
-        groups = (visits.join(F.broadcast(crowd), "cell")
-                  .groupBy("cell", F.pmod(F.xxhash64("qno"), F.col("parts")).alias("part"))
-                  .agg(F.collect_list(F.struct("qno", "qv", "dq", "reach", "bound")).alias("visits")))
-        return self.blocks().join(self._kept(groups.drop("part"), f"{name}_groups"), "cell") \
-            .select("ids", "v", "low", "high", "visits") \
-            .mapInArrow(_match(k, self.metric), f"qno long, id {self.ids}, r long")
+    def _layout(self, queries: DataFrame, max_group_bytes: int) -> tuple[int, int]:
+        """Shares of the queries and stripes of the cells."""
+        size = 8 * (self.dim + 4)
+        asked = queries.count() * size
+        shares = max(SHARES if asked > max_group_bytes else 1, -(-asked // HELD_BYTES))
+        return shares, max(SHARES, TASKS // shares) if self.n * size > max_group_bytes else 1
+
+    def _answers(self, visits: DataFrame, name: str, k: int, layout: tuple[int, int], number: np.ndarray,
+                 many: np.ndarray, centres: np.ndarray | None = None) -> DataFrame:
+        """``qno, id, r``: of each block that a query of ``visits`` meets its nearest rows, at most k; ``reach`` is in
+        the index's distances, ``bound`` in steps of the result's."""
+        shares, stripes = layout
+        visits = self._kept(visits.withColumn("share", F.pmod(F.xxhash64("qno"), F.lit(shares)).cast("int")), f"{name}_visits")
+        first, last = spans(many, stripes)
+        wide = (len(number) + 7) // 8
+
+        def wanted(batches):
+            """The cells that each share visits."""
+            seen = np.zeros((shares, wide), np.uint8)
+            for batch in batches:
+                if batch.num_rows:
+                    share = batch.column("share").to_numpy(zero_copy_only=False)
+                    np.bitwise_or.at(seen, share, _unbinary(batch.column("bits"), np.uint8))
+            share, at = np.nonzero(np.unpackbits(seen, axis=1)[:, :len(number)])
+            yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int32)) for a in (share, number[at], first[at], last[at])],
+                                             names=["share", "cell", "first", "last"])
+        # at most shares * cells rows
+        some = visits.select("share", "bits").mapInArrow(wanted, "share int, cell int, first int, last int").distinct()
+        key = lambda stripe: (F.col("share") * stripes + stripe).cast("int").alias("key")
+        at = F.col("first") + F.pmod(F.xxhash64("ids"), F.col("last") - F.col("first") + 1)
+        asked = visits.select("*", F.explode("stripes").alias("stripe")).select(
+            key(F.col("stripe")), F.lit(-1).alias("cell"), "v", "qno", "reach", "bound", "bits")
+        met = self.blocks().join(F.broadcast(some), "cell").select(key(at), "cell", "v", "low", "high", "ids")
+        return asked.unionByName(met, allowMissingColumns=True).repartitionById(shares * stripes, F.col("key")) \
+            .sortWithinPartitions("key", "cell") \
+            .mapInArrow(_match(k, self.metric, self.spark.sparkContext.broadcast((number, centres))),
+                        f"qno long, id {self.ids}, r long")
 
     @staticmethod
     def _best(answers: DataFrame, k: int) -> DataFrame:
@@ -273,13 +405,15 @@ class PivotIndex(_Index):
         q = self._numbered(queries, query_id_col, query_vec_col)
         cells = spark.read.schema(CELLS).parquet(f"{self.path}/cells").orderBy("cell").toArrow()  # at most MAX_PIVOTS rows
         centres = _matrix(cells["v"].combine_chunks())
-        sent = spark.sparkContext.broadcast((cells["cell"].to_numpy(), cells["n"].to_numpy(), cells["low"].to_numpy(),
-                                             cells["high"].to_numpy(), centres))
+        number, many = cells["cell"].to_numpy(), cells["n"].to_numpy()
+        layout = self._layout(q, max_group_bytes)
+        sent = spark.sparkContext.broadcast((many, cells["low"].to_numpy(), cells["high"].to_numpy(), centres,
+                                             _in_stripes(many, layout[1])))
 
         def visits(first: bool):
             """The first visits: nearest cells until they hold k rows.  The second: all others within reach."""
             def run(batches):
-                number, many, low, high, c = sent.value
+                many, low, high, c, span = sent.value
                 for batch in batches:
                     if not batch.num_rows:
                         continue
@@ -292,29 +426,23 @@ class PivotIndex(_Index):
                         before = np.cumsum(many[order], axis=1) - many[order]
                         go = np.zeros(d.shape, bool)
                         np.put_along_axis(go, order, before < k, axis=1)
-                        bound = np.full(len(d), np.iinfo(np.int64).max >> 12) if first \
+                        bound = np.full(len(d), FAR) if first \
                             else part.column("bound").to_numpy(zero_copy_only=False)
                         far = bound.astype(np.float64) + 1  # in steps: rounding may go either way
                         reach = np.sqrt(2 * far * STEP) if metric == "cosine" else far * STEP
                         reach = reach + 1e-7 * (1 + reach + d.max(1, initial=0))
                         if not first:
                             go = ~go & (d - reach[:, None] <= high) & (d + reach[:, None] >= low)
-                        row, cell = np.nonzero(go)
-                        take = lambda name: part.column(name).take(pa.array(row))
-                        yield pa.RecordBatch.from_arrays(
-                            [take("qno"), take("v"), pa.array(number[cell]), pa.array(d[row, cell]),
-                             pa.array(reach[row]), pa.array(bound[row])],
-                            names=["qno", "qv", "cell", "dq", "reach", "bound"])
+                        yield _visit_rows(part, v[s:s + step], go, reach, bound, span)
             return run
-        schema = "qno long, qv array<double>, cell int, dq double, reach double, bound long"
-        near = self._best(self._answers(q.select("qno", "v").mapInArrow(visits(True), schema), "first", k, max_group_bytes), k)
+        answers = lambda rows, name: self._answers(rows, name, k, layout, number, many, centres)
+        near = self._best(answers(q.select("qno", "v").mapInArrow(visits(True), VISITS), "first"), k)
         if len(centres) == 1:
             return self._named(near, q, id_col)
         near = self._kept(near.select("qno", "id", "r", "rank"), "near")
         # fewer than k rows in all: every cell was visited
         bound = near.where(F.col("rank") == k).select("qno", F.col("r").alias("bound"))
-        second = q.select("qno", "v").join(bound, "qno").mapInArrow(visits(False), schema)
-        more = self._answers(second, "second", k, max_group_bytes)
+        more = answers(q.select("qno", "v").join(bound, "qno").mapInArrow(visits(False), VISITS), "second")
         return self._named(self._best(near.drop("rank").unionByName(more), k), q, id_col)
 
 
@@ -376,55 +504,63 @@ class HyperplaneIndex(_Index):
         many = np.zeros(1 << self.planes, np.int64)
         for r in spark.read.schema("cell int, n long").parquet(f"{self.path}/cells").collect():  # at most 2^MAX_PLANES rows
             many[r["cell"]] = r["n"]
-        number = np.flatnonzero(many)
+        number = np.flatnonzero(many).astype(np.int32)
+        many = many[number]
         bits = (number[:, None] >> np.arange(len(signs))) & 1
-        sent = spark.sparkContext.broadcast((signs, number, many[number], bits))
+        sent = spark.sparkContext.broadcast((signs, many, bits))
+
+        def order(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Cells by rising cost, and the rows seen before each."""
+            signs, many, bits = sent.value
+            m = _margins(v, signs)
+            # exact while the sum of margins stays below 2^53 units
+            cost = np.abs(m) * (m >= 0) @ (1 - bits).T + np.abs(m) * (m < 0) @ bits.T
+            by = np.argsort(cost, axis=1, kind="stable")
+            return by, np.cumsum(many[by], axis=1) - many[by]
+
+        def visits(need: int, layout: tuple[int, int]):
+            """The cells that each query visits until they hold ``need`` rows."""
+            span = spark.sparkContext.broadcast(_in_stripes(many, layout[1]))
 
-        def visits(need: int | None):
-            """Cells visited by each query; without ``need`` every cell, with the rows seen before it in ``bound``."""
             def run(batches):
-                signs, number, many, bits = sent.value
                 for batch in batches:
                     if not batch.num_rows:
                         continue
                     v = _matrix(batch.column("v"))
                     step = max(1, _PAIRS // len(number))
                     for s in range(0, len(v), step):
-                        part, m = batch.slice(s, step), _margins(v[s:s + step], signs)
-                        # exact while the sum of margins stays below 2^53 units
-                        cost = np.abs(m) * (m >= 0) @ (1 - bits).T + np.abs(m) * (m < 0) @ bits.T
-                        order = np.argsort(cost, axis=1, kind="stable")
-                        seen = np.cumsum(many[order], axis=1) - many[order]
-                        row, at = np.nonzero(seen < (need if need is not None else np.iinfo(np.int64).max))
-                        far = np.full(len(row), np.iinfo(np.int64).max >> 12)
-                        take = lambda name: part.column(name).take(pa.array(row))
-                        yield pa.RecordBatch.from_arrays(
-                            [take("qno"), take("v"), pa.array(number[order[row, at]].astype(np.int32)),
-                             pa.array(np.zeros(len(row))), pa.array(np.full(len(row), np.inf)),
-                             pa.array(far if need is not None else seen[row, at])],
-                            names=["qno", "qv", "cell", "dq", "reach", "bound"])
+                        by, seen = order(v[s:s + step])
+                        go = np.zeros(by.shape, bool)
+                        np.put_along_axis(go, by, seen < need, axis=1)
+                        yield _visit_rows(batch.slice(s, step), v[s:s + step], go, np.full(len(go), np.inf),
+                                          np.full(len(go), FAR), span.value)
             return run
-        schema = "qno long, qv array<double>, cell int, dq double, reach double, bound long"
+
+        def seen_before(batches):
+            """Every cell with the rows that a query sees before it."""
+            for batch in batches:
+                if batch.num_rows:
+                    by, seen = order(_matrix(batch.column("v")))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("qno").take(pa.array(np.repeat(np.arange(len(by)), by.shape[1]))),
+                         pa.array(number[by].ravel()), pa.array(seen.ravel())], names=["qno", "cell", "seen"])
+
+        def ask(rows: DataFrame, name: str, need: int) -> DataFrame:
+            layout = self._layout(rows, max_group_bytes)
+            found = rows.select("qno", "v").mapInArrow(visits(need, layout), VISITS)
+            return self._best(self._answers(found, name, k, layout, number, many), k)
         if rows_to_see is None:
-            rows_to_see = self._measured(q, k, visits(None), schema, sample_recall)
-        need = max(k, min(rows_to_see, self.n))
-        answers = self._answers(q.select("qno", "v").mapInArrow(visits(need), schema), "found", k, max_group_bytes)
-        return self._named(self._best(answers, k), q, id_col)
+            rows_to_see = self._measured(q, ask, seen_before, sample_recall)
+        return self._named(ask(q, "found", max(k, min(rows_to_see, self.n))), q, id_col)
 
-    def _measured(self, q: DataFrame, k: int, every_cell, schema: str, recall: float) -> int:
+    def _measured(self, q: DataFrame, ask, seen_before, recall: float) -> int:
         """The rows that sampled queries have to see for ``recall`` of their exact neighbours."""
         sample = self._kept(q.orderBy(F.md5(F.col("id").cast("string")), "qno").limit(RECALL_QUERIES).select("qno", "v"),
                             "sample")
-        flat = sample.withColumns({"cell": F.lit(None).cast("int"), "dq": F.lit(0.0), "reach": F.lit(float("inf")),
-                                   "bound": F.lit(np.iinfo(np.int64).max >> 12).cast("long")}) \
-            .withColumnRenamed("v", "qv")
-        cells = self.spark.read.schema("cell int, n long").parquet(f"{self.path}/cells").collect()
-        # the sample is at most RECALL_QUERIES rows and the cells 2^MAX_PLANES: every pair is a visit
-        every = flat.drop("cell").withColumn("cell", F.explode(F.lit([r["cell"] for r in cells]))) \
-            .select("qno", "qv", "cell", "dq", "reach", "bound")
-        exact = self._best(self._answers(every, "exact", k, MAX_GROUP_BYTES), k).select("qno", "id")
+        exact = ask(sample, "exact", self.n).select("qno", "id")  # all rows: every cell is visited
         ids = self.blocks().select("cell", F.explode("ids").alias("id"))
-        seen = sample.mapInArrow(every_cell, schema).select("qno", "cell", F.col("bound").alias("seen"))
+        # at most RECALL_QUERIES rows times 2^MAX_PLANES cells
+        seen = sample.mapInArrow(seen_before, "qno long, cell int, seen long")
         # at most RECALL_QUERIES * k rows
         needed = np.sort(exact.join(ids, "id").join(seen, ["qno", "cell"]).select("seen").toArrow()["seen"].to_numpy())
         return int(needed[max(0, math.ceil(recall * len(needed)) - 1)]) + 1 if len(needed) else 0

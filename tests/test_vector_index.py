@@ -93,3 +93,25 @@ def test_plane_signs_are_those_of_md5():
     for j in range(3):
         for i in range(4):
             assert s[j, i] == (1 if int(hashlib.md5(f"7:{j}:{i}".encode()).hexdigest()[0], 16) % 2 == 0 else -1)
+
+
+def test_queries_that_visit_every_cell_are_kept_once(spark, tmp_path):
+    """Vectors without clusters: all cells are within reach, and a query's vector is still written once."""
+    x = np.random.default_rng(5).normal(size=(400, 48))
+    v, q = frame(spark, "vec_id", list(range(400)), x), frame(spark, "query_id", list(range(60)), x[:60])
+    want = brute(range(60), x[:60], range(400), x, 5)
+    exact = PivotIndex.build(v, f"{tmp_path}/p", pivots=20)
+    assert answers(exact.search(q, k=5, max_group_bytes=2000)) == want
+    signs = HyperplaneIndex.build(v, f"{tmp_path}/h", planes=5)
+    assert answers(signs.search(q, k=5, rows_to_see=400, max_group_bytes=2000)) == want
+    for base, name in ((exact.base, "second"), (signs.base, "found")):
+        visits = spark.read.parquet(f"{base}/{name}_visits")
+        assert visits.count() == visits.select("qno").distinct().count() == 60
+        assert visits.agg({"cells": "sum"}).first()[0] > 60 * 15
+        # a query is sent to each stripe at most once
+        assert all(len(set(r.stripes)) == len(r.stripes) <= vi.SHARES for r in visits.select("stripes").collect())
+
+
+def test_cells_are_laid_along_stripes():
+    first, last = vi.spans(np.array([1, 1, 94, 2, 2]), 4)
+    assert first.tolist() == [0, 0, 0, 3, 3] and last.tolist() == [0, 0, 3, 3, 3]
