@@ -27,12 +27,13 @@ DEFAULT_DIM = 64
 
 
 _TOKEN_CACHE: dict[tuple[str, int], tuple[int, int]] = {}
-_CACHE_LIMIT = 2_000_000
+_TOKENS = 1 << 18
+_CACHE_LIMIT = 1 << 16  # a corpus has more distinct tokens the larger it is; frequent ones come back soon
 
 
 def _token_hashes(uniq: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, sign) of each distinct token; kept in a bounded per-worker cache."""
-    if len(_TOKEN_CACHE) > _CACHE_LIMIT:
+    """(bucket, sign) of each distinct token; up to ``_CACHE_LIMIT`` of them are kept in a worker."""
+    if len(_TOKEN_CACHE) >= _CACHE_LIMIT:
         _TOKEN_CACHE.clear()
     b = np.empty(len(uniq), dtype=np.int64)
     s = np.empty(len(uniq), dtype=np.float64)
@@ -41,28 +42,36 @@ def _token_hashes(uniq: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
         if hs is None:
             h = hashlib.md5(t.encode("utf-8")).hexdigest()
             hs = (int(h[:7], 16) % dim, -1 if int(h[7], 16) & 1 else 1)
-            _TOKEN_CACHE[(t, dim)] = hs
+            if len(_TOKEN_CACHE) < _CACHE_LIMIT:
+                _TOKEN_CACHE[(t, dim)] = hs
         b[j], s[j] = hs
     return b, s
 
 
 def _hashed_vector_udf(dim: int):
+    def sums(tokens: pa.Array, lens: np.ndarray) -> np.ndarray:
+        # no per-row Python: flatten the token lists, dictionary-encode them so each distinct token is
+        # hashed once, and sum signed counts into a (rows x dim) matrix with a single bincount
+        n = len(tokens)
+        enc = pc.dictionary_encode(pc.list_flatten(tokens))
+        codes = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        bucket, sign = _token_hashes(np.asarray(enc.dictionary.to_pylist(), dtype=object), dim)
+        rows = np.repeat(np.arange(n, dtype=np.int64), lens)
+        m = np.bincount(rows * dim + bucket[codes], weights=sign[codes], minlength=n * dim).reshape(n, dim)
+        nrm = np.sqrt((m * m).sum(1))
+        return np.divide(m, nrm[:, None], out=np.zeros_like(m), where=nrm[:, None] > 0)
+
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def embed(tokens: pa.Array) -> pa.Array:
-        # One pass per Arrow batch, no per-row Python: flatten the token lists, dictionary-encode
-        # them so each distinct token is hashed once, and sum signed counts into a (rows x dim)
-        # matrix with a single bincount; the result goes back as one list array.
+        # rows of about _TOKENS tokens at a time; the result goes back as one list array
         n = len(tokens)
         lens = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        m = np.zeros((n, dim), dtype=np.float64)
-        if lens.sum():
-            enc = pc.dictionary_encode(pc.list_flatten(tokens))
-            codes = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            bucket, sign = _token_hashes(np.asarray(enc.dictionary.to_pylist(), dtype=object), dim)
-            rows = np.repeat(np.arange(n, dtype=np.int64), lens)
-            m = np.bincount(rows * dim + bucket[codes], weights=sign[codes], minlength=n * dim).reshape(n, dim)
-            nrm = np.sqrt((m * m).sum(1))
-            m = np.divide(m, nrm[:, None], out=np.zeros_like(m), where=nrm[:, None] > 0)
+        upto, m, start = np.cumsum(lens), np.zeros((n, dim), dtype=np.float64), 0
+        while start < n:
+            stop = max(start + 1, int(np.searchsorted(upto, upto[start] - lens[start] + _TOKENS, "right")))
+            if upto[stop - 1] > upto[start] - lens[start]:
+                m[start:stop] = sums(tokens.slice(start, stop - start), lens[start:stop])
+            start = stop
         offsets = pa.array(np.arange(0, n * dim + 1, dim, dtype=np.int32))
         return pa.ListArray.from_arrays(offsets, pa.array(m.reshape(-1)))
 
