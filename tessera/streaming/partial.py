@@ -4,9 +4,11 @@
 list it stands, the depth, whether it is inside a string or behind a backslash, and the text of the
 record that is still open.  So each piece is read once, and a brace inside a string ends nothing.
 
-``scan_lists`` runs one scanner per list as keyed streaming state.  Pieces that arrive before an earlier
-one wait in the state; a piece is answered when all before it have come, so the answers do not depend on
-the order of arrival or on the micro-batches.  A piece that comes again is ignored.
+``scan_lists`` runs one scanner per list as keyed streaming state.  The state's key is a slot, a hash of the
+list's id, so that a call of the state function, which costs far more than a piece, serves all lists of a
+slot.  Pieces that arrive before an earlier one wait in the state; a piece is answered when all before it
+have come, so the answers do not depend on the order of arrival or on the micro-batches.  A piece that
+comes again is ignored.
 """
 
 from __future__ import annotations
@@ -17,14 +19,16 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 START, FIRST, RECORD, AFTER, NEXT, END = range(6)
 IN_STRING, IN_RECORD = re.compile(r'["\\]'), re.compile(r'["{}]')
 WEIGHT_MIN = 50
 
 RESULT = "list_id long, seq long, is_last boolean, n_complete long, n_valid long, strict_ok boolean"
-STATE = ("next_seq long, place int, depth int, in_string boolean, escaped boolean, held string, bad boolean, "
-         "n_complete long, n_valid long, waiting string")
+# per list of the slot, as JSON: its id, the next seq, the scanner's state and the pieces that wait
+STATE = "lists string"
+SLOTS = 1 << 11
 
 
 def _number(v) -> bool:
@@ -106,25 +110,29 @@ class ListScanner:
 
 
 def _step(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    lists: dict[int, list] = {}  # next seq, scanner, waiting pieces
     if state.exists:
-        next_seq, *scan, waiting = state.get
-        scanner, waiting = ListScanner(*scan), {int(k): v for k, v in json.loads(waiting).items()}
-    else:
-        next_seq, scanner, waiting = 0, ListScanner(), {}
+        for list_id, next_seq, scan, waiting in json.loads(state.get[0]):
+            lists[list_id] = [next_seq, ListScanner(*scan), {seq: (delta, last) for seq, delta, last in waiting}]
+    out = []
     for frame in frames:
-        for seq, delta, last in zip(frame["seq"], frame["delta"], frame["is_last"], strict=True):
+        for list_id, seq, delta, last in zip(frame["list_id"].tolist(), frame["seq"].tolist(), frame["delta"],
+                                             frame["is_last"], strict=True):
+            one = lists.setdefault(list_id, [0, ListScanner(), {}])
+            next_seq, scanner, waiting = one
             if seq >= next_seq and seq not in waiting:
-                waiting[int(seq)] = (delta if isinstance(delta, str) else "", last is not None and bool(last))
-        out = []
-        while next_seq in waiting:
-            delta, last = waiting.pop(next_seq)
-            scanner.feed(delta)
-            out.append((key[0], next_seq, last, scanner.n_complete, scanner.n_valid, scanner.strict_ok() if last else None))
-            next_seq += 1
-        if out:
-            yield pd.DataFrame(out, columns=["list_id", "seq", "is_last", "n_complete", "n_valid", "strict_ok"]) \
-                .astype({"strict_ok": "object"})
-    state.update((next_seq, *scanner.state(), json.dumps(waiting)))
+                waiting[seq] = (delta if isinstance(delta, str) else "", last is not None and bool(last))
+            while next_seq in waiting:
+                delta, last = waiting.pop(next_seq)
+                scanner.feed(delta)
+                out.append((list_id, next_seq, last, scanner.n_complete, scanner.n_valid, scanner.strict_ok() if last else None))
+                next_seq += 1
+            one[0] = next_seq
+    state.update((json.dumps([(list_id, next_seq, scanner.state(), [(seq, *piece) for seq, piece in waiting.items()])
+                              for list_id, (next_seq, scanner, waiting) in lists.items()]),))
+    if out:
+        yield pd.DataFrame(out, columns=["list_id", "seq", "is_last", "n_complete", "n_valid", "strict_ok"]) \
+            .astype({"strict_ok": "object"})
 
 
 def scan_lists(pieces: DataFrame) -> DataFrame:
@@ -132,5 +140,6 @@ def scan_lists(pieces: DataFrame) -> DataFrame:
     many keep the rules, and on the last piece whether the whole list does.  ``seq`` counts from 0."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    return pieces.where("list_id IS NOT NULL AND seq IS NOT NULL").groupBy("list_id").applyInPandasWithState(
+    slot = F.pmod(F.xxhash64("list_id"), F.lit(SLOTS)).cast("int")
+    return pieces.where("list_id IS NOT NULL AND seq IS NOT NULL").withColumn("slot", slot).groupBy("slot").applyInPandasWithState(
         _step, RESULT, STATE, "append", GroupStateTimeout.NoTimeout)

@@ -126,3 +126,45 @@ def test_a_read_does_not_grow_with_the_epochs(spark):
     done = log._bases()
     assert done >= 4
     assert "PartitionFilters: [isnotnull(epoch#" in (p := log.read()._jdf.queryExecution().toString()) and f"> {done})" in p
+
+
+class _State:
+    def __init__(self):
+        self.value = None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+
+def test_one_call_of_the_state_function_serves_many_lists():
+    import pandas as pd
+
+    from tessera.streaming.partial import _step
+    text = '[{"name":"a}","length":1},{"name":"b","length":2,"weight":3}]'
+    pieces = [(n, i, text[i * 10:i * 10 + 10], i == 6) for n in range(5) for i in range(7)]
+    state, got = _State(), []
+    for part in (pieces[33::-2], pieces[::2], pieces[3:9]):  # the last pieces come again
+        frame = pd.DataFrame(part, columns=["list_id", "seq", "delta", "is_last"])
+        got += [r for f in _step((0,), iter([frame[:9], frame[9:]]), state) for r in f.itertuples(index=False, name=None)]
+    assert sorted(r[:3] for r in got) == sorted((n, i, last) for n, i, _, last in pieces)
+    assert {r[3:] for r in got if r[2]} == {(2, 1, False)}
+
+
+def test_growing_texts_are_dealt_by_message_and_sorted_after_that(spark):
+    from tessera.streaming.streams import merge_messages, merge_windows
+    last = "struct<seq: long, text_so_far: string>"
+    w = spark.createDataFrame([(1, 2, s // 2, (s, "x" * s)) for s in range(6)],
+                              f"conv_id long, turn long, window_start long, last {last}")
+    m = spark.createDataFrame([(1, "t", (s, "model", "x" * s), s) for s in range(6)],
+                              "conv_id long, timestamp string, last struct<seq: long, role: string, content: string>, first_seq long")
+    for rows, merge, key in ((w, merge_windows, "conv_id#"), (m, merge_messages, "conv_id#")):
+        merged = merge(rows)
+        lines = merged._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(" + key in line]
+        assert len(at) == 1 and not any("Exchange" in line for i, line in enumerate(lines) if i not in at)
+        assert not any("Aggregate" in line for line in lines[at[0]:])
+    assert sorted(r["last"]["seq"] for r in merge_windows(w).collect()) == [1, 3, 5]
+    assert [(r["last"]["seq"], r["first_seq"]) for r in merge_messages(m).collect()] == [(5, 0)]
